@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import hashable, row_hash
+from ..session import stage
 
 
 def null_metrics(df: DataFrame) -> list[Column]:
@@ -56,14 +57,18 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     Only 8-byte hashes are shuffled for the whole table. Rows whose hash is
     unique have no copy; just the others are compared in full, where copies
     collapse before the shuffle. Hash collisions therefore cannot change the
-    result. Tables with a map column have no hash of their whole row and are
-    not supported, as with ``distinct``.
+    result. The repeated hashes are written first: from the size of their files
+    Spark knows whether to broadcast them before it would shuffle the rows.
+    Tables with a map column have no hash of their whole row and are not
+    supported, as with ``distinct``.
     """
     unsupported = [f.name for f in df.schema if not hashable(f.dataType)]
     if unsupported:
         raise TypeError(f"columns that cannot be compared: {unsupported}")
     hashed = df.withColumn("_hash", row_hash(df))
-    repeated = hashed.groupBy("_hash").count().filter("count > 1").select("_hash")
+    repeated = stage(
+        hashed.groupBy("_hash").count().filter("count > 1").select("_hash"), "repeated"
+    )
     copies = (
         hashed.join(repeated, "_hash", "left_semi")
         .groupBy(*[F.col(f"`{c}`") for c in df.columns])

@@ -97,10 +97,13 @@ def arrivals(
     """The versions a snapshot opens, with ``_is_new`` for ids seen for the first time.
 
     Keys continue after the highest of all versions: changed ids first, then new
-    ones, each in natural-key order. Both joins shuffle the same incoming rows,
-    so they share one exchange.
+    ones, each in natural-key order. Rows without an id cannot be versioned and
+    open none; filtering them up front also gives both joins the same input, so
+    that they share one exchange of the snapshot.
     """
-    incoming = incoming.select(*spec.incoming_columns)
+    incoming = incoming.select(*spec.incoming_columns).filter(
+        F.col(spec.natural_key).isNotNull()
+    )
     again = changed_rows(dim, incoming, spec, null_safe).withColumn("_is_new", F.lit(False))
     first = new_rows(dim, incoming, spec).withColumn("_is_new", F.lit(True))
     numbered = continue_key(

@@ -40,6 +40,9 @@ select cast(s_suppkey as int) as EmployeeId, split_part(s_name, '#', 1) as First
   join region on n_regionkey = r_regionkey""",
     "role_playlist": """
 select r_regionkey as PlaylistId, r_name as Name from region""",
+    "role_playlisttrack": """
+select distinct cast(l_suppkey % 5 as int) as PlaylistId, cast(l_partkey as int) as TrackId
+  from lineitem""",
     "all_customer": """
 select cast(c_custkey as int) as CustomerId, split_part(c_name, '#', 1) as FirstName
      , split_part(c_name, '#', 2) as LastName
@@ -238,19 +241,23 @@ def _null_counts(view: str) -> str:
     )
 
 
-def _rule(table: str, view: str, rule: str, level: str, failed: str) -> str:
+def _rule(table: str, rule: str, level: str, failed: str) -> str:
     return (
         f"select '{table}' as table_name, '{rule}' as rule, '{level}' as level"
-        f", count(*) filter ({failed}) as failed_records from {view}"
+        f", count(*) filter ({failed}) as failed_records from role_{table}"
     )
 
 
-def _summary(table: str, view: str, failed: str) -> str:
+def _required(table: str, columns: str) -> list[str]:
+    return [_rule(table, f"{c}:not_null", "error", f"{c} is null") for c in columns.split()]
+
+
+def _summary(table: str, failed: str) -> str:
     return (
         f"select '{table}' as table_name, timestamp '2024-01-15 06:30:00' as run_timestamp"
         f", count(*) as total_records, count(*) filter (not ({failed})) as passed_records"
         f", count(*) filter ({failed}) as failed_records, date '2024-01-15' as created_date"
-        f" from {view}"
+        f" from role_{table}"
     )
 
 
@@ -354,35 +361,44 @@ select 'invoiceline', timestamp '2024-01-15 06:30:00', '["Quantity:min_value"]'
             , TrackId, ',"Quantity":', Quantity, ',"UnitPrice":', UnitPrice, '}')
   from role_invoiceline where Quantity < 1""",
     "dq_rule_counts": _union(
-        [
-            _rule("invoice", "role_invoice", f"{c}:not_null", level, f"{c} is null")
-            for c, level in (
-                ("InvoiceId", "error"),
-                ("CustomerId", "error"),
-                ("InvoiceDate", "error"),
-                ("Total", "warn"),
-            )
-        ]
-        + [_rule("invoice", "role_invoice", "Total:min_value", "warn", "Total < 0")]
+        _required("invoice", "InvoiceId CustomerId InvoiceDate")
         + [
-            _rule("invoiceline", "role_invoiceline", f"{c}:not_null", "error", f"{c} is null")
-            for c in ("InvoiceLineId", "InvoiceId", "TrackId", "Quantity")
+            _rule("invoice", "Total:not_null", "warn", "Total is null"),
+            _rule("invoice", "Total:min_value", "warn", "Total is null or Total < 0"),
         ]
+        + _required("invoiceline", "InvoiceLineId InvoiceId TrackId Quantity")
         + [
             _rule(
-                "invoiceline", "role_invoiceline", "Quantity:min_value", "error", "Quantity < 1"
-            ),
-            _rule(
-                "customer", "role_customer", "CustomerId:not_null", "error", "CustomerId is null"
-            ),
-            _rule("customer", "role_customer", "Email:not_null_and_not_empty", "warn", _BLANK),
+                "invoiceline",
+                "Quantity:min_value",
+                "error",
+                "Quantity is null or Quantity < 1",
+            )
         ]
+        + _required("customer", "CustomerId")
+        + [_rule("customer", "Email:not_null_and_not_empty", "warn", _BLANK)]
+        + _required("track", "TrackId Name")
+        + _required("album", "AlbumId Title")
+        + _required("artist", "ArtistId")
+        + _required("genre", "GenreId")
+        + _required("mediatype", "MediaTypeId")
+        + _required("employee", "EmployeeId")
+        + _required("playlist", "PlaylistId")
+        + _required("playlisttrack", "PlaylistId TrackId")
     ),
     "dq_run_summary": _union(
         [
-            _summary("invoice", "role_invoice", _BAD_INVOICE),
-            _summary("invoiceline", "role_invoiceline", _BAD_LINE),
-            _summary("customer", "role_customer", "CustomerId is null"),
+            _summary("invoice", _BAD_INVOICE),
+            _summary("invoiceline", _BAD_LINE),
+            _summary("customer", "CustomerId is null"),
+            _summary("track", "TrackId is null or Name is null"),
+            _summary("album", "AlbumId is null or Title is null"),
+            _summary("artist", "ArtistId is null"),
+            _summary("genre", "GenreId is null"),
+            _summary("mediatype", "MediaTypeId is null"),
+            _summary("employee", "EmployeeId is null"),
+            _summary("playlist", "PlaylistId is null"),
+            _summary("playlisttrack", "PlaylistId is null or TrackId is null"),
         ]
     ),
     "clean_trim": "select * replace (trim(Email) as Email) from role_customer",

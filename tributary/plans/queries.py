@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +63,10 @@ class Store:
 
     @cached_property
     def dates(self) -> DataFrame:
-        return dimensions.date_dimension(self.cleaned("invoice"), "InvoiceDate")
+        """Written, as all Gold tables are, so that joins know how small it is."""
+        return stage(
+            dimensions.date_dimension(self.cleaned("invoice"), "InvoiceDate"), "dim_date"
+        )
 
     def customers(self, role: str) -> DataFrame:
         """A customer snapshot under the names of the dimension."""
@@ -257,7 +260,7 @@ def dq_quarantine(store: Store) -> DataFrame:
 
 @query
 def dq_no_rules(store: Store) -> DataFrame:
-    """A table without rules passes whole, with an empty quarantine."""
+    """A table without rules passes whole; its quarantine is empty."""
     valid, quarantine = quality.split(store.roles["track"], [])
     return valid.withColumn(quality.ERRORS, F.lit("[]")).unionByName(quarantine)
 
@@ -273,22 +276,26 @@ def quarantine_rows(store: Store) -> DataFrame:
     return rows.withColumn("run_timestamp", F.col("run_timestamp").cast("timestamp_ntz"))
 
 
+def _every_table(work: Callable[[str], DataFrame]) -> DataFrame:
+    """The same work on each registered table, as one frame."""
+    parts = [work(table.lower()) for table, _ in settings.registry_entries()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def dq_rule_counts(store: Store) -> DataFrame:
-    parts = [
-        quality.rule_counts(store.roles[table], settings.rules(table), table)
-        for table in ("invoice", "invoiceline", "customer")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Failing rows for all rules of all tables."""
+    return _every_table(
+        lambda table: quality.rule_counts(store.roles[table], settings.rules(table), table)
+    )
 
 
 @query
 def dq_run_summary(store: Store) -> DataFrame:
-    parts = [
-        quality.summarize(store.roles[table], settings.rules(table), table, RUN_AT)
-        for table in ("invoice", "invoiceline", "customer")
-    ]
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """The quality log of a run over all tables."""
+    rows = _every_table(
+        lambda table: quality.summarize(store.roles[table], settings.rules(table), table, RUN_AT)
+    )
     return rows.withColumn("run_timestamp", F.col("run_timestamp").cast("timestamp_ntz"))
 
 
@@ -369,7 +376,7 @@ def dim_playlist(store: Store) -> DataFrame:
 
 @query
 def dim_date(store: Store) -> DataFrame:
-    return store.dates
+    return dimensions.date_dimension(store.cleaned("invoice"), "InvoiceDate")
 
 
 # --- the versioned customer dimension --------------------------------------------
@@ -570,11 +577,10 @@ def conform_fact(store: Store) -> DataFrame:
 
 def _checks(store: Store, names: tuple[str, ...], check) -> DataFrame:
     """One contract check over several Gold tables, as one frame."""
-    known, result = settings.contracts(), None
-    for name in names:
-        part = check(store.gold(name), known[name])
-        result = part if result is None else result.unionByName(part)
-    return result
+    known = settings.contracts()
+    return reduce(
+        DataFrame.unionByName, [check(store.gold(name), known[name]) for name in names]
+    )
 
 
 @query
@@ -616,16 +622,16 @@ def contract_fk(store: Store) -> DataFrame:
     left = contracts.Reference("CustomerId", "customer", "CustomerId")
     invoices, customers = store.roles["invoice"], store.roles["customer_day2"]
     checked.append(("invoice", invoices, left, customers))
-    result = None
-    for name, child, reference, parent in checked:
-        part = contracts.foreign_key(child, parent, reference).select(
+    parts = [
+        contracts.foreign_key(child, parent, reference).select(
             F.lit(name).alias("table_name"),
             F.lit(reference.column).alias("column_name"),
             F.col("missing_key").cast("bigint").alias("missing_key"),
             "rows",
         )
-        result = part if result is None else result.unionByName(part)
-    return result
+        for name, child, reference, parent in checked
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # --- keyed changes ---------------------------------------------------------------

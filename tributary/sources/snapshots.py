@@ -8,6 +8,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+class CountMismatch(ValueError):
+    """A snapshot does not hold the rows that were read from its source."""
+
+    def __init__(self, source_rows: int, target_rows: int):
+        super().__init__(f"row counts differ: source {source_rows}, target {target_rows}")
+        self.source_rows, self.target_rows = source_rows, target_rows
+
+
 def location(base: str, table: str, run_at: dt.datetime) -> str:
     """``base/table/yyyy/MM/dd/table_yyyyMMdd_HHmmss.parquet``, the stamp in UTC."""
     if run_at.tzinfo is not None:
@@ -35,5 +43,5 @@ def reconcile(df: DataFrame, path: str) -> tuple[int, int]:
     source_rows = write(df, path)
     target_rows = read(df.sparkSession, path).count()  # Parquet footers only
     if source_rows != target_rows:
-        raise ValueError(f"row counts differ: source {source_rows}, target {target_rows}")
+        raise CountMismatch(source_rows, target_rows)
     return source_rows, target_rows
