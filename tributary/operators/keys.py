@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import row_hash
-from ..session import stage
+from ..session import stage, stage_counted
 
 ROWS_PER_SLICE = 500_000  # rows sorted by one task
 MAX_SLICES = 20_000  # bounds what the driver sees of the slice sizes
@@ -38,13 +38,13 @@ def dense_key(
     """
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     columns = df.columns
-    rows = stage(
+    rows, count = stage_counted(
         df.withColumn("_tie", row_hash(df, order_by)).withColumn(
             "_row", F.monotonically_increasing_id()
         ),
         "rows",
     )
-    slices = min(max(1, math.ceil(rows.count() / rows_per_slice)), MAX_SLICES)
+    slices = min(max(1, math.ceil(count / rows_per_slice)), MAX_SLICES)
     order = [*order_by, "_tie", "_row"]
     ranked = (
         rows.repartitionByRange(slices, *order)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +44,6 @@ class Store:
         self.spark, self.folder = spark, folder
         self.roles = Roles(spark, folder)
         self.spec = settings.customer_versions()
-        self._dimensions: dict[str, DataFrame] = {}
         self._gold: dict[str, DataFrame] = {}
 
     def cleaned(self, role: str, table: str | None = None) -> DataFrame:
@@ -54,19 +54,11 @@ class Store:
 
     def dimension(self, name: str) -> DataFrame:
         """A type-1 dimension."""
-        if name not in self._dimensions:
-            d = settings.dimensions()[name]
-            self._dimensions[name] = dimensions.build(
-                self.cleaned(d.source), d.mapping, d.natural_key, d.key
-            )
-        return self._dimensions[name]
+        d = settings.dimensions()[name]
+        return dimensions.build(self.cleaned(d.source), d.mapping, d.natural_key, d.key)
 
-    @cached_property
     def dates(self) -> DataFrame:
-        """Written, as all Gold tables are, so that joins know how small it is."""
-        return stage(
-            dimensions.date_dimension(self.cleaned("invoice"), "InvoiceDate"), "dim_date"
-        )
+        return dimensions.date_dimension(self.cleaned("invoice"), "InvoiceDate")
 
     def customers(self, role: str) -> DataFrame:
         """A customer snapshot under the names of the dimension."""
@@ -80,32 +72,28 @@ class Store:
 
     @cached_property
     def incoming(self) -> DataFrame:
+        """The second snapshot."""
         return self.customers("customer_day2")
 
-    @cached_property
     def arrivals(self) -> DataFrame:
         return scd2.arrivals(self.day1, self.incoming, self.spec, DAY2)
 
-    @cached_property
     def day2(self) -> DataFrame:
         """The customer dimension after the second snapshot."""
         return scd2.apply(self.day1, self.incoming, self.spec, DAY2)
 
-    @cached_property
     def fact(self) -> DataFrame:
+        """The sales fact over written dimensions, whose sizes Spark knows."""
+        self.write_gold("dim_customer", "dim_track", "dim_date", "dim_employee")
         return facts.sales(
             self.cleaned("invoiceline"),
             self.cleaned("invoice"),
-            scd2.current(self.day2),
-            self.dimension("dim_track"),
-            self.dates,
-            self.dimension("dim_employee"),
+            scd2.current(self.gold("dim_customer")),
+            self.gold("dim_track"),
+            self.gold("dim_date"),
+            self.gold("dim_employee"),
         )
 
-    @cached_property
-    def fact_by_customer(self) -> DataFrame:
-        return facts.sales_by_customer(self.fact, scd2.current(self.day2))
-
     def gold(self, name: str) -> DataFrame:
         """A Gold table by name: conformed to its contract and written once."""
         if name not in self._gold:
@@ -113,16 +101,22 @@ class Store:
             self._gold[name] = stage(contracts.conform(frame, settings.contracts()[name]), name)
         return self._gold[name]
 
+    def write_gold(self, *names: str) -> None:
+        """Write Gold tables that do not depend on each other side by side."""
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            list(pool.map(self.gold, names))
+
     def _gold_frame(self, name: str) -> DataFrame:
-        frames = {
-            "dim_date": lambda: self.dates,
-            "dim_customer": lambda: self.day2,
-            "fact_sales": lambda: self.fact,
-            "fact_sales_customer_agg": lambda: facts.sales_by_customer(
-                self.gold("fact_sales"), scd2.current(self.gold("dim_customer"))
-            ),
-        }
-        return frames[name]() if name in frames else self.dimension(name)
+        if name == "dim_date":
+            return self.dates()
+        if name == "dim_customer":
+            return self.day2()
+        if name == "fact_sales":
+            return self.fact()
+        if name == "fact_sales_customer_agg":
+            customers = scd2.current(self.gold("dim_customer"))
+            return facts.sales_by_customer(self.gold("fact_sales"), customers)
+        return self.dimension(name)
 
 
 def query(function: Callable[[Store], DataFrame]) -> Callable[[Store], DataFrame]:
@@ -376,7 +370,7 @@ def dim_playlist(store: Store) -> DataFrame:
 
 @query
 def dim_date(store: Store) -> DataFrame:
-    return dimensions.date_dimension(store.cleaned("invoice"), "InvoiceDate")
+    return store.dates()
 
 
 # --- the versioned customer dimension --------------------------------------------
@@ -389,7 +383,7 @@ def scd2_initial(store: Store) -> DataFrame:
 
 @query
 def scd2_current(store: Store) -> DataFrame:
-    return scd2.current(store.day2)
+    return scd2.current(store.day2())
 
 
 @query
@@ -410,30 +404,30 @@ def scd2_expired(store: Store) -> DataFrame:
 
 @query
 def scd2_new_versions(store: Store) -> DataFrame:
-    return store.arrivals.filter(~F.col("_is_new")).drop("_is_new")
+    return store.arrivals().filter(~F.col("_is_new")).drop("_is_new")
 
 
 @query
 def scd2_inserts(store: Store) -> DataFrame:
-    return store.arrivals.filter(F.col("_is_new")).drop("_is_new")
+    return store.arrivals().filter(F.col("_is_new")).drop("_is_new")
 
 
 @query
 def scd2_merge(store: Store) -> DataFrame:
-    return store.day2
+    return store.day2()
 
 
 @query
 def scd2_missing_kept(store: Store) -> DataFrame:
     """Customers that left the source are still current."""
-    return scd2.current(store.day2).join(
+    return scd2.current(store.day2()).join(
         store.incoming.select("customer_id"), "customer_id", "left_anti"
     )
 
 
 @query
 def scd2_as_of(store: Store) -> DataFrame:
-    return scd2.as_of(store.day2, BETWEEN)
+    return scd2.as_of(store.day2(), BETWEEN)
 
 
 # --- joins, fact and aggregate ---------------------------------------------------
@@ -450,7 +444,7 @@ def join_inner(store: Store) -> DataFrame:
 @query
 def join_left_scd2(store: Store) -> DataFrame:
     """Invoices with the current version of their customer, if there is one."""
-    customer = scd2.current(store.day2).select("customer_key", "customer_id", "support_rep_id")
+    customer = scd2.current(store.gold("dim_customer")).select("customer_key", "customer_id", "support_rep_id")
     return (
         store.cleaned("invoice")
         .join(customer, F.col("CustomerId") == F.col("customer_id"), "left")
@@ -460,7 +454,7 @@ def join_left_scd2(store: Store) -> DataFrame:
 
 @query
 def join_on_expression(store: Store) -> DataFrame:
-    day = store.dates.select("full_date", "date_key")
+    day = store.gold("dim_date").select("full_date", "date_key")
     return (
         store.cleaned("invoice")
         .join(day, F.to_date("InvoiceDate") == F.col("full_date"), "left")
@@ -482,12 +476,13 @@ def anti_join_new(store: Store) -> DataFrame:
 
 @query
 def fact_sales(store: Store) -> DataFrame:
-    return store.fact
+    return store.fact()
 
 
 @query
 def fact_sales_customer_agg(store: Store) -> DataFrame:
-    return store.fact_by_customer
+    fact = store.fact()
+    return facts.sales_by_customer(fact, scd2.current(store.gold("dim_customer")))
 
 
 # --- surrogate keys --------------------------------------------------------------
@@ -578,6 +573,7 @@ def conform_fact(store: Store) -> DataFrame:
 def _checks(store: Store, names: tuple[str, ...], check) -> DataFrame:
     """One contract check over several Gold tables, as one frame."""
     known = settings.contracts()
+    store.write_gold(*[n for n in names if n.startswith("dim")])
     return reduce(
         DataFrame.unionByName, [check(store.gold(name), known[name]) for name in names]
     )
@@ -613,6 +609,7 @@ def contract_pk(store: Store) -> DataFrame:
 def contract_fk(store: Store) -> DataFrame:
     """Keys without a parent row, over all references of the Gold tables."""
     known = settings.contracts()
+    store.write_gold(*[n for n in known if n.startswith("dim")])
     checked = [
         (name, store.gold(name), reference, store.gold(reference.parent))
         for name in ("dim_album", "dim_track", "fact_sales", "fact_sales_customer_agg")

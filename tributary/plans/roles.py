@@ -10,10 +10,14 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.keys import dense_key
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def _every(column: str, n: int) -> Column:
     return F.col(column) % n == 0
 
@@ -29,7 +33,11 @@ class Roles:
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A given table; its schema is read from the file footer only once."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)()

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -48,12 +49,19 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """Write ``df`` once to the shared folder; returns it read back, and its rows.
 
     Cuts the lineage, so later passes neither recompute the input nor see other
-    row positions after an executor is lost.
+    row positions after an executor is lost. The rows are counted by the writing
+    tasks, of which Spark takes one success each.
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """As ``stage_counted``, without the count."""
+    return stage_counted(df, label)[0]
