@@ -8,6 +8,7 @@ Only counts and table names come back to the driver.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -15,6 +16,7 @@ from functools import reduce
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..operators import cleaning, contracts, dimensions, facts, profiling, quality, scd2
 from ..sources import registry, relational, runlog, snapshots
@@ -40,6 +42,7 @@ QUARANTINE_COLUMNS = (
     "table_name string, run_timestamp timestamp, _error_details string, _row_data string"
 )
 
+log = logging.getLogger(__name__)
 Item, Result = TypeVar("Item"), TypeVar("Result")
 
 
@@ -100,9 +103,10 @@ def load_raw(
             counts = snapshots.reconcile(df, path)
             status = runlog.SUCCESS
         except snapshots.CountMismatch as error:
+            log.error("snapshot of %s: %s", table, error)
             counts = (error.source_rows, error.target_rows)
         except Exception:  # one bad table must not stop the others
-            pass
+            log.exception("snapshot of %s failed", table)
         return runlog.Run(table, run_at, status, *counts, path, run_at.date())
 
     runs = _each(load, active_tables(lake), threads)
@@ -254,6 +258,31 @@ def publish(lake: Lake, run_date: dt.date, threads: int = 4) -> dict[str, int]:
     return counts
 
 
+def violations(lake: Lake) -> DataFrame:
+    """How often the Gold tables break their contracts, per table, column and check."""
+    parts = []
+    for name, contract in settings.contracts().items():
+        df = lake.read(f"{lake.gold}.{name}")
+        parts.append(contracts.not_null(df, contract))
+        if contract.max_lengths:
+            parts.append(contracts.max_length(df, contract))
+        broken = [(contract.primary_key[0], "primary_key", contracts.primary_key(df, contract))]
+        for reference in contract.references:
+            parent = lake.read(f"{lake.gold}.{reference.parent}")
+            orphans = contracts.foreign_key(df, parent, reference)
+            broken.append((reference.column, "foreign_key", orphans))
+        for column, check, rows in broken:
+            parts.append(
+                rows.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")).select(
+                    F.lit(name).alias("table_name"),
+                    F.lit(column).alias("column_name"),
+                    F.lit(check).alias("check"),
+                    "violations",
+                )
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run(
     lake: Lake, source: relational.Source, base: str, run_at: dt.datetime, threads: int = 4
 ) -> dict[str, int]:
