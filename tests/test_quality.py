@@ -110,3 +110,28 @@ def test_quarantine_scan_is_pushed_down(spark, tmp_path):
     assert "PushedFilters: [Or(IsNull(id),Or(IsNull(quantity),LessThan(quantity,1)))" in plan or (
         "PushedFilters: [Or(Or(IsNull(id),IsNull(quantity)),LessThan(quantity,1))" in plan
     )
+
+
+def test_rules_from_dicts():
+    entries = [
+        {"col": "id", "check": "not_null", "criticality": "error"},
+        {"col": "n", "check": "min_value", "min_val": 2, "criticality": "warn"},
+        {"col": "n", "check": "min_value"},
+    ]
+    assert quality.make_rules(entries) == [
+        NotNull("id"),
+        MinValue("n", "warn", 2),
+        MinValue("n", bound=0),
+    ]
+
+
+def test_route_matches_split(sample):
+    rules = [NotNull("id"), MinValue("amount", bound=1)]
+    valid, quarantine = quality.split(sample, rules)
+    routed = quality.route(sample, rules)
+    kept = routed.filter("not _failed").select(*sample.columns)
+    assert kept.exceptAll(valid).count() == valid.exceptAll(kept).count() == 0
+    failed = routed.filter("_failed").select("_error_details", "_row_data")
+    expected = quality.to_quarantine(quarantine, "t", RUN_AT).select(*failed.columns)
+    assert failed.exceptAll(expected).count() == expected.exceptAll(failed).count() == 0
+    assert routed.filter("_failed and (id is not null or name is not null)").count() == 0

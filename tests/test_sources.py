@@ -188,3 +188,15 @@ def test_shared_folder(spark, monkeypatch):
         session.shared_dir(Session(None, "yarn"))
     own = session.shared_dir(Session(None, "local[2]"))
     assert own == session.shared_dir(Session(None, "local[2]"))
+
+
+@pytest.mark.parametrize("condition", ["id < 3", "true", "false"])
+def test_flagged_rows_are_kept_out_of_the_table(spark, lake, condition):
+    name = f"{lake.gold}.t"
+    df = spark.range(10).selectExpr("id", "concat('r', id) why", f"{condition} bad")
+    flagged = lake.replace_unflagged(df, name, "bad", ["id"])
+    expected = df.filter(condition).count()
+    assert lake.read(name).columns == ["id"]
+    assert lake.read(name).count() == 10 - expected
+    assert (flagged.count() if flagged else 0) == expected
+    assert flagged is None or flagged.columns == ["why"]

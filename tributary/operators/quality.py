@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,7 @@ from ..functions.columns import any_of, row_json
 
 ERROR, WARN = "error", "warn"
 ERRORS = "_dq_errors"
+FAILED, DETAILS, DATA = "_failed", "_error_details", "_row_data"
 
 
 @dataclass(frozen=True)
@@ -75,6 +76,14 @@ def make_rule(column: str, check: str, level: str = ERROR, bound: float | None =
     return CHECKS[check](column, level)
 
 
+def make_rules(entries: Iterable[Mapping]) -> list[Rule]:
+    """Rules from dicts with ``col``, ``check``, ``criticality`` and maybe ``min_val``."""
+    return [
+        make_rule(e["col"], e["check"], e.get("criticality", ERROR), e.get("min_val"))
+        for e in entries
+    ]
+
+
 def check_columns(df: DataFrame, rules: Sequence[Rule]) -> None:
     """Raise for rules on columns the frame lacks, naming them."""
     missing = [r.label for r in rules if r.column not in df.columns]
@@ -92,12 +101,21 @@ def failing(df: DataFrame, rule: Rule) -> DataFrame:
     return df.filter(rule.fails())
 
 
+def failed(rules: Sequence[Rule]) -> Column:
+    """Does the row break an error rule? Never NULL."""
+    return any_of(r.fails() for r in errors(rules))
+
+
+def _broken(rules: Sequence[Rule]) -> Column:
+    """The JSON array of the broken error rules, in rule order."""
+    labels = [F.when(r.fails(), F.lit(r.label)) for r in errors(rules)]
+    return F.to_json(F.array_compact(F.array(*labels))) if labels else F.lit("[]")
+
+
 def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Add the JSON array of the broken error rules, in rule order."""
+    """Add the JSON array of the broken error rules."""
     check_columns(df, rules)
-    broken = [F.when(r.fails(), F.lit(r.label)) for r in errors(rules)]
-    found = F.to_json(F.array_compact(F.array(*broken))) if broken else F.lit("[]")
-    return df.withColumn(ERRORS, found)
+    return df.withColumn(ERRORS, _broken(rules))
 
 
 def split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
@@ -107,8 +125,26 @@ def split(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     quarantine side skips Parquet row groups whose statistics rule out a failure.
     """
     check_columns(df, rules)
-    failed = any_of(r.fails() for r in errors(rules))
-    return df.filter(~failed), tag(df.filter(failed), rules)
+    bad = failed(rules)
+    return df.filter(~bad), tag(df.filter(bad), rules)
+
+
+def route(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Both sides of a split in one frame, to be written from a single scan.
+
+    ``_failed`` tells the sides apart. Failing rows carry their errors and
+    themselves as JSON; their data columns are NULL, as later steps are only
+    meant for rows that passed.
+    """
+    check_columns(df, rules)
+    bad = failed(rules)
+    data = [c for c in df.columns if not c.startswith("_")]
+    return df.select(
+        *[F.when(~bad, F.col(c)).alias(c) for c in df.columns],
+        F.when(bad, _broken(rules)).alias(DETAILS),
+        F.when(bad, row_json(data)).alias(DATA),
+        bad.alias(FAILED),
+    )
 
 
 def to_quarantine(quarantine: DataFrame, table: str, run_at: dt.datetime) -> DataFrame:
@@ -117,18 +153,18 @@ def to_quarantine(quarantine: DataFrame, table: str, run_at: dt.datetime) -> Dat
     return quarantine.select(
         F.lit(table).alias("table_name"),
         F.lit(run_at).cast("timestamp").alias("run_timestamp"),
-        F.col(ERRORS).alias("_error_details"),
-        row_json(data).alias("_row_data"),
+        F.col(ERRORS).alias(DETAILS),
+        row_json(data).alias(DATA),
     )
 
 
 def run_metrics(rules: Sequence[Rule]) -> list[Column]:
     """Total, passed and failed rows as aggregates, for ``agg`` or ``observe``."""
-    failed = any_of(r.fails() for r in errors(rules))
+    bad = failed(rules)
     return [
         F.count(F.lit(1)).alias("total_records"),
-        F.count_if(~failed).alias("passed_records"),
-        F.count_if(failed).alias("failed_records"),
+        F.count_if(~bad).alias("passed_records"),
+        F.count_if(bad).alias("failed_records"),
     ]
 
 

@@ -9,7 +9,8 @@ import re
 
 VIEWS = {
     "role_artist": """
-select n_nationkey as ArtistId, concat(' ', n_name, ' ') as Name from nation""",
+select distinct n_nationkey as ArtistId, concat(' ', n_name, ' ') as Name
+  from supplier join nation on s_nationkey = n_nationkey""",
     "role_album": """
 select cast(s_suppkey as int) as AlbumId, s_name as Title, s_nationkey as ArtistId
   from supplier""",
@@ -39,7 +40,8 @@ select cast(s_suppkey as int) as EmployeeId, split_part(s_name, '#', 1) as First
   from supplier join nation on s_nationkey = n_nationkey
   join region on n_regionkey = r_regionkey""",
     "role_playlist": """
-select r_regionkey as PlaylistId, r_name as Name from region""",
+select distinct r_regionkey as PlaylistId, r_name as Name
+  from lineitem join region on l_suppkey % 5 = r_regionkey""",
     "role_playlisttrack": """
 select distinct cast(l_suppkey % 5 as int) as PlaylistId, cast(l_partkey as int) as TrackId
   from lineitem""",

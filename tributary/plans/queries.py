@@ -166,7 +166,7 @@ def _registry(store: Store) -> DataFrame:
 @query
 def insert_if_absent(store: Store) -> DataFrame:
     seed = registry.entries(store.spark, settings.registry_entries(), DAY1)
-    known = _registry(store)
+    known = stage(_registry(store), "registry")  # read twice below
     again = known.withColumn("active_flag", F.lit("N"))  # present already, so not added
     return registry.insert_if_absent(known, seed.unionByName(again))
 

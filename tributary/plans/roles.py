@@ -50,9 +50,10 @@ class Roles:
         )
 
     def artist(self) -> DataFrame:
-        return self.base("nation").select(
-            F.col("n_nationkey").alias("ArtistId"),
-            F.concat(F.lit(" "), "n_name", F.lit(" ")).alias("Name"),
+        """The nations that have suppliers, names padded."""
+        ids = self.base("supplier").select(F.col("s_nationkey").alias("ArtistId")).distinct()
+        return ids.join(self.base("nation"), F.col("ArtistId") == F.col("n_nationkey")).select(
+            "ArtistId", F.concat(F.lit(" "), "n_name", F.lit(" ")).alias("Name")
         )
 
     def album(self) -> DataFrame:
@@ -116,15 +117,20 @@ class Roles:
         )
 
     def playlist(self) -> DataFrame:
-        return self.base("region").select(
-            F.col("r_regionkey").alias("PlaylistId"), F.col("r_name").alias("Name")
+        """The playlists that have tracks, named after regions."""
+        ids = self.base("lineitem").select(self._playlist_number()).distinct()
+        return ids.join(self.base("region"), F.col("PlaylistId") == F.col("r_regionkey")).select(
+            "PlaylistId", F.col("r_name").alias("Name")
         )
 
+    def _playlist_number(self) -> Column:
+        return (F.col("l_suppkey") % 5).cast("int").alias("PlaylistId")
+
     def playlisttrack(self) -> DataFrame:
         return (
             self.base("lineitem")
             .select(
-                (F.col("l_suppkey") % 5).cast("int").alias("PlaylistId"),
+                self._playlist_number(),
                 F.col("l_partkey").cast("int").alias("TrackId"),
             )
             .distinct()

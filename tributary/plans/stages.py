@@ -137,12 +137,24 @@ def refine(
     concurrent appends to one Parquet table would get in each other's way.
     """
 
-    def work(table: str) -> Report:
+    def work(table: str) -> tuple[Report, DataFrame | None]:
         return _refine_table(lake, table.lower(), count_duplicates)
 
-    reports = _each(work, active_tables(lake), threads)
-    _quarantine(lake, [r.table for r in reports if r.failed], run_at)
-    day = run_at.date()
+    results = _each(work, active_tables(lake), threads)
+    failed = [
+        rows.select(
+            F.lit(report.table).alias("table_name"),
+            F.lit(run_at).cast("timestamp").alias("run_timestamp"),
+            quality.DETAILS,
+            quality.DATA,
+        )
+        for report, rows in results
+        if rows is not None
+    ]
+    if failed:
+        lake.append(reduce(DataFrame.unionByName, failed), f"{lake.silver}.{QUARANTINE_TABLE}")
+
+    reports, day = [report for report, _ in results], run_at.date()
     quality_rows = [
         (r.table, run_at, r.total, r.passed, r.failed, day, r.status) for r in reports
     ]
@@ -155,31 +167,19 @@ def refine(
     return reports
 
 
-def _quarantine(lake: Lake, tables: list[str], run_at: dt.datetime) -> None:
-    """Append the failing rows of these tables.
-
-    Their conditions are pushed into the scan, where Parquet statistics skip
-    the row groups without a failure.
-    """
-    parts = []
-    for table in tables:
-        bronze = lake.read(f"{lake.bronze}.{table}")
-        _, failed = quality.split(bronze, settings.rules(table))
-        parts.append(quality.to_quarantine(failed, table, run_at))
-    if parts:
-        lake.append(reduce(DataFrame.unionByName, parts), f"{lake.silver}.{QUARANTINE_TABLE}")
-
-
-def _refine_table(lake: Lake, table: str, count_duplicates: bool) -> Report:
-    """Write one Silver table, counting everything on the way.
+def _refine_table(
+    lake: Lake, table: str, count_duplicates: bool
+) -> tuple[Report, DataFrame | None]:
+    """Write one Silver table; returns what was found and the failing rows, if any.
 
-    Profile, quality and rule counts are observed on the write, which scans the
-    table once; only the duplicate count takes a scan of its own.
+    One scan does it all: profile, quality and rule counts are observed on the
+    way, and valid and failing rows are written side by side. Only the duplicate
+    count takes a scan of its own.
     """
     if not lake.exists(f"{lake.bronze}.{table}"):
-        return Report(table, "MISSING")
+        return Report(table, "MISSING"), None
     df = lake.read(f"{lake.bronze}.{table}")
-    rules = settings.rules(table)
+    rules, steps = settings.rules(table), settings.CLEANING.get(table, [])
     quality.check_columns(df, rules)
     seen = Observation()
     metrics = (
@@ -187,14 +187,21 @@ def _refine_table(lake: Lake, table: str, count_duplicates: bool) -> Report:
         *quality.run_metrics(rules),
         *quality.rule_metrics(rules),
     )
-    valid, _ = quality.split(df.observe(seen, *metrics), rules)
-    cleaned = cleaning.clean(valid, settings.CLEANING.get(table, []))
-    lake.replace(cleaned, f"{lake.silver}.{table}")
+    routed = quality.route(df.observe(seen, *metrics), rules)
+    if lake.table_format == "parquet":
+        cleaned = cleaning.clean(routed, steps)
+        failed = lake.replace_unflagged(
+            cleaned, f"{lake.silver}.{table}", quality.FAILED, df.columns
+        )
+    else:
+        valid = routed.filter(~F.col(quality.FAILED)).select(*df.columns)
+        lake.replace(cleaning.clean(valid, steps), f"{lake.silver}.{table}")
+        failed = quality.route(df.filter(quality.failed(rules)), rules)
     counts = seen.get
     duplicates = None
     if count_duplicates:
         duplicates = profiling.duplicate_count(df).first()["duplicate_rows"]
-    return Report(
+    report = Report(
         table,
         "DONE",
         counts["total_records"],
@@ -205,6 +212,7 @@ def _refine_table(lake: Lake, table: str, count_duplicates: bool) -> Report:
         duplicates,
         df.dtypes,
     )
+    return report, failed if report.failed else None
 
 
 def publish(lake: Lake, run_date: dt.date, threads: int = 4) -> dict[str, int]:

@@ -67,6 +67,33 @@ class Lake:
         self._point(name, path, df.schema)
         return seen.get["rows"]
 
+    def replace_unflagged(
+        self, df: DataFrame, name: str, flag: str, columns: list[str]
+    ) -> DataFrame | None:
+        """Replace a Parquet table by the rows without the flag, in one pass over ``df``.
+
+        Both kinds of rows are written, as partitions of the boolean flag; the
+        table points at one of them and has just the given columns. Returns the
+        other columns of the flagged rows, or None if there are no such rows.
+        """
+        path = f"{self.location(name)}/{uuid.uuid4().hex}"
+        seen = Observation()
+        flagged = F.col(flag)
+        df = df.observe(
+            seen,
+            F.count_if(flagged).alias("flagged"),
+            F.count_if(~flagged).alias("kept"),
+        )
+        df.write.partitionBy(flag).parquet(path)
+        kept = T.StructType([df.schema[c] for c in columns])
+        if not seen.get["kept"]:
+            self.spark.createDataFrame([], kept).write.parquet(f"{path}/{flag}=false")
+        self._point(name, f"{path}/{flag}=false", kept)
+        if not seen.get["flagged"]:
+            return None
+        rest = T.StructType([f for f in df.schema if f.name not in (flag, *columns)])
+        return self.spark.read.schema(rest).parquet(f"{path}/{flag}=true")
+
     def _point(self, name: str, path: str, schema: T.StructType) -> None:
         if self.exists(name) and _shape(self.read(name).schema) == _shape(schema):
             self.spark.sql(f"alter table {name} set location '{path}'")
