@@ -1,5 +1,7 @@
 """Every query against DuckDB on the same tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry_points
@@ -21,7 +23,38 @@ def test_entry(spark):
     assert result.count() > 0
 
 
+# One-task windows, all-pairs joins and Python row functions have no place in a plan.
+UNWANTED = ["Window", "CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "MapInArrow"]
+
+
 @pytest.mark.parametrize("name", entry_points.queries())
 def test_query(spark, folder, connection, name):
     result = entry_points.queries()[name](spark, folder)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert [word for word in UNWANTED if word in plan] == []
     assert differences(result, connection, entry_points.oracle_sql()[name]) == []
+
+
+def scans(result, column):
+    """The columns read by each scan that reads this one."""
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    found = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    columns = [{re.sub(r"#\d+L?$", "", c) for c in text.split(",")} for text in found]
+    return [c for c in columns if column in c]
+
+
+def test_fact_reads_each_input_once_and_only_what_it_needs(spark, folder):
+    fact = entry_points.queries()["fact_sales"](spark, folder)
+    assert scans(fact, "l_orderkey") == [
+        {"l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"}
+    ]
+    assert scans(fact, "o_orderkey") == [{"o_orderkey", "o_custkey", "o_orderdate"}]
+    assert scans(fact, "customer_key") == [
+        {"customer_key", "customer_id", "support_rep_id", "is_current"}
+    ]
+
+
+def test_aggregate_is_combined_before_each_shuffle(spark, folder):
+    plan = entry_points.queries()["fact_sales_customer_agg"](spark, folder)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in text and "partial_count(distinct" in text

@@ -215,11 +215,16 @@ def _refine_table(
     return report, failed if report.failed else None
 
 
-def publish(lake: Lake, run_date: dt.date, threads: int = 4) -> dict[str, int]:
+def publish(
+    lake: Lake, run_date: dt.date, threads: int = 4, conform: bool = True
+) -> dict[str, int]:
     """Build the Gold tables from Silver; returns row counts.
 
     Each table is computed whole and swapped in once. The fact books on the
-    current customer versions; its aggregate reads the written fact.
+    current customer versions; its aggregate reads the written fact. A value
+    beyond its contract type, such as a total over ``decimal(14,2)``, stops the
+    run before the table changes; without ``conform`` the types that Spark
+    derives are kept, which are wide enough for any total.
     """
     known = settings.contracts()
 
@@ -230,7 +235,9 @@ def publish(lake: Lake, run_date: dt.date, threads: int = 4) -> dict[str, int]:
         return lake.read(f"{lake.gold}.{name}")
 
     def put(name: str, df: DataFrame) -> tuple[str, int]:
-        return name, lake.replace(contracts.conform(df, known[name]), f"{lake.gold}.{name}")
+        if conform:
+            df = contracts.conform(df, known[name])
+        return name, lake.replace(df, f"{lake.gold}.{name}")
 
     def dimension(d: settings.Dimension) -> tuple[str, int]:
         df = dimensions.build(silver(d.source), d.mapping, d.natural_key, d.key)
@@ -292,7 +299,12 @@ def violations(lake: Lake) -> DataFrame:
 
 
 def run(
-    lake: Lake, source: relational.Source, base: str, run_at: dt.datetime, threads: int = 4
+    lake: Lake,
+    source: relational.Source,
+    base: str,
+    run_at: dt.datetime,
+    threads: int = 4,
+    conform: bool = True,
 ) -> dict[str, int]:
     """All steps in order; a failing step stops the run."""
     setup(lake, run_at.date())
@@ -300,4 +312,4 @@ def run(
     load_raw(lake, source, base, run_at, threads)
     promote(lake, threads=threads)
     refine(lake, run_at, threads=threads)
-    return publish(lake, run_at.date(), threads)
+    return publish(lake, run_at.date(), threads, conform)
