@@ -28,6 +28,12 @@ def test_single_rules(sample):
     assert ids(quality.failing(sample, MinValue("amount", bound=1))) == [None, 3, 4]
 
 
+def test_timestamp_rule(spark):
+    df = spark.createDataFrame([("2024-01-02",), ("soon",), (None,)], "at string")
+    failing = quality.failing(df, make_rule("at", "is_timestamp"))
+    assert [r["at"] for r in failing.collect()] == ["soon"]
+
+
 def test_tags_keep_rule_order(sample):
     rules = [MinValue("amount", bound=1), NotNull("id")]
     tags = {r["id"]: json.loads(r["_dq_errors"]) for r in quality.tag(sample, rules).collect()}

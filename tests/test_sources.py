@@ -115,9 +115,9 @@ def test_jdbc_options():
     )
 
 
-@pytest.fixture
-def lake(spark, tmp_path):
-    lake = Lake(spark, str(tmp_path), gold="gold_test")
+@pytest.fixture(params=["parquet", "orc"])
+def lake(spark, tmp_path, request):
+    lake = Lake(spark, str(tmp_path), request.param, gold="gold_test")
     spark.sql(f"create schema if not exists {lake.gold}")
     yield lake
     spark.sql(f"drop schema {lake.gold} cascade")

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import Row
 
-from tributary.operators import contracts
+from tributary.operators import contracts, quality
 from tributary.plans import settings, stages
 from tributary.sources.relational import CatalogSource
 from tributary.sources.tables import Lake
@@ -226,3 +226,24 @@ def test_inactive_tables_are_left_out(run, spark):
     lake.replace(off, name)
     assert "genre" not in stages.promote(lake)
     assert "genre" in stages.promote(lake, active_only=False)
+
+
+def test_own_rules_catch_what_would_stop_the_cleaning(run, spark):
+    """Malformed dates raise, unless a rule quarantines them first."""
+    lake, day = run
+    tables = first_day()
+    tables["Invoice"][1] = (2, 2, "soon", "Bonn", "Germany", Decimal("1.00"))
+    at = dt.datetime(2024, 6, 5, tzinfo=dt.timezone.utc)
+    with pytest.raises(Exception, match="soon"):
+        day(at, tables)
+    assert lake.read("silver.invoice").count() == 2  # still the old table
+
+    def rules(table):
+        extra = [quality.IsTimestamp("InvoiceDate")] if table == "invoice" else []
+        return [*settings.rules(table), *extra]
+
+    reports = {r.table: r for r in stages.refine(lake, at, rules=rules)}
+    assert reports["invoice"].failed == 2
+    assert lake.read("silver.invoice").count() == 1
+    found = lake.read("silver.quarantine").filter("_error_details like '%is_timestamp%'")
+    assert [json.loads(r["_row_data"])["InvoiceDate"] for r in found.collect()] == ["soon"]

@@ -61,7 +61,18 @@ class MinValue(Rule):
         return F.col(self.column).isNull() | (F.col(self.column) < F.lit(self.bound))
 
 
-CHECKS = {rule.check: rule for rule in (NotNull, NotEmpty, MinValue)}
+@dataclass(frozen=True)
+class IsTimestamp(Rule):
+    """Fails on text that is no timestamp, which strict parsing would raise for later."""
+
+    check = "is_timestamp"
+
+    def fails(self) -> Column:
+        text = F.col(self.column)
+        return text.isNotNull() & F.try_to_timestamp(text).isNull()
+
+
+CHECKS = {rule.check: rule for rule in (NotNull, NotEmpty, MinValue, IsTimestamp)}
 
 
 def make_rule(column: str, check: str, level: str = ERROR, bound: float | None = None) -> Rule:

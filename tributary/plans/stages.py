@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
@@ -66,15 +66,22 @@ def _each(work: Callable[[Item], Result], items: Iterable[Item], threads: int) -
         return list(pool.map(work, items))
 
 
-def setup(lake: Lake, day: dt.date) -> None:
-    """Create schemas and bookkeeping tables and seed the registry; safe to repeat."""
+def setup(
+    lake: Lake, day: dt.date, tables: Iterable[tuple[str, str]] | None = None
+) -> None:
+    """Create schemas and bookkeeping tables and seed the registry; safe to repeat.
+
+    ``tables`` are pairs of a source table and its file name.
+    """
+    if tables is None:
+        tables = settings.registry_entries()
     lake.ensure_schemas()
     lake.ensure(f"{lake.raw}.{REGISTRY_TABLE}", registry.SCHEMA)
     lake.ensure(f"{lake.raw}.{RUN_TABLE}", runlog.SCHEMA)
     lake.ensure(f"{lake.silver}.{QUALITY_TABLE}", QUALITY_COLUMNS)
     lake.ensure(f"{lake.silver}.{RULE_TABLE}", RULE_COLUMNS)
     lake.ensure(f"{lake.silver}.{QUARANTINE_TABLE}", QUARANTINE_COLUMNS)
-    seed = registry.entries(lake.spark, settings.registry_entries(), day)
+    seed = registry.entries(lake.spark, tables, day)
     known = lake.read(f"{lake.raw}.{REGISTRY_TABLE}")
     lake.append(registry.missing(seed, known), f"{lake.raw}.{REGISTRY_TABLE}")
 
@@ -129,16 +136,23 @@ def promote(lake: Lake, active_only: bool = True, threads: int = 4) -> dict[str,
 
 
 def refine(
-    lake: Lake, run_at: dt.datetime, count_duplicates: bool = True, threads: int = 4
+    lake: Lake,
+    run_at: dt.datetime,
+    count_duplicates: bool = True,
+    threads: int = 4,
+    rules: Callable[[str], Sequence[quality.Rule]] = settings.rules,
+    steps: Mapping[str, Sequence[cleaning.Step]] = settings.CLEANING,
 ) -> list[Report]:
     """Profile, validate and clean every Bronze table into Silver.
 
-    Rows that failed go to the quarantine in one append over all tables:
+    ``rules`` and ``steps`` give the quality rules and the cleaning of a table by
+    its lower-case name. Rows that failed go to the quarantine in one append over all tables:
     concurrent appends to one Parquet table would get in each other's way.
     """
 
     def work(table: str) -> tuple[Report, DataFrame | None]:
-        return _refine_table(lake, table.lower(), count_duplicates)
+        name = table.lower()
+        return _refine_table(lake, name, rules(name), steps.get(name, ()), count_duplicates)
 
     results = _each(work, active_tables(lake), threads)
     failed = [
@@ -168,7 +182,11 @@ def refine(
 
 
 def _refine_table(
-    lake: Lake, table: str, count_duplicates: bool
+    lake: Lake,
+    table: str,
+    rules: Sequence[quality.Rule],
+    steps: Sequence[cleaning.Step],
+    count_duplicates: bool,
 ) -> tuple[Report, DataFrame | None]:
     """Write one Silver table; returns what was found and the failing rows, if any.
 
@@ -179,7 +197,6 @@ def _refine_table(
     if not lake.exists(f"{lake.bronze}.{table}"):
         return Report(table, "MISSING"), None
     df = lake.read(f"{lake.bronze}.{table}")
-    rules, steps = settings.rules(table), settings.CLEANING.get(table, [])
     quality.check_columns(df, rules)
     seen = Observation()
     metrics = (
@@ -188,7 +205,7 @@ def _refine_table(
         *quality.rule_metrics(rules),
     )
     routed = quality.route(df.observe(seen, *metrics), rules)
-    if lake.table_format == "parquet":
+    if lake.plain_files:
         cleaned = cleaning.clean(routed, steps)
         failed = lake.replace_unflagged(
             cleaned, f"{lake.silver}.{table}", quality.FAILED, df.columns

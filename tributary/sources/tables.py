@@ -1,8 +1,8 @@
 """Catalog tables: ensure, read, append, replace.
 
-Parquet tables are replaced by writing the new image beside the old one and
-pointing the table at it, so readers see either image, a failed write changes
-nothing and a table can be rewritten from itself. Table formats with their own
+Tables of plain files are replaced by writing the new image beside the old one
+and pointing the table at it, so readers see either image, a failed write
+changes nothing and a table can be rewritten from itself. Formats with their own
 transaction log replace in place.
 """
 
@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+LOGGED_FORMATS = {"delta", "iceberg", "hudi"}
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the tables of all layers live."""
@@ -28,6 +31,10 @@ class Lake:
     silver: str = "silver"
     gold: str = "gold"
 
+    @property
+    def plain_files(self) -> bool:
+        return self.table_format not in LOGGED_FORMATS
+
     def location(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name.replace('.', '/')}"
 
@@ -57,20 +64,20 @@ class Lake:
         """Make ``df`` the whole content and schema of a table; returns its rows."""
         seen = Observation()
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        if self.table_format != "parquet":
+        if not self.plain_files:
             df.write.format(self.table_format).mode("overwrite").option(
                 "overwriteSchema", "true"
             ).saveAsTable(name)
             return seen.get["rows"]
         path = f"{self.location(name)}/{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        df.write.format(self.table_format).save(path)
         self._point(name, path, df.schema)
         return seen.get["rows"]
 
     def replace_unflagged(
         self, df: DataFrame, name: str, flag: str, columns: list[str]
     ) -> DataFrame | None:
-        """Replace a Parquet table by the rows without the flag, in one pass over ``df``.
+        """Replace a table of plain files by the rows without the flag, in one pass over ``df``.
 
         Both kinds of rows are written, as partitions of the boolean flag; the
         table points at one of them and has just the given columns. Returns the
@@ -84,15 +91,17 @@ class Lake:
             F.count_if(flagged).alias("flagged"),
             F.count_if(~flagged).alias("kept"),
         )
-        df.write.partitionBy(flag).parquet(path)
+        df.write.format(self.table_format).partitionBy(flag).save(path)
         kept = T.StructType([df.schema[c] for c in columns])
         if not seen.get["kept"]:
-            self.spark.createDataFrame([], kept).write.parquet(f"{path}/{flag}=false")
+            empty = self.spark.createDataFrame([], kept)
+            empty.write.format(self.table_format).save(f"{path}/{flag}=false")
         self._point(name, f"{path}/{flag}=false", kept)
         if not seen.get["flagged"]:
             return None
         rest = T.StructType([f for f in df.schema if f.name not in (flag, *columns)])
-        return self.spark.read.schema(rest).parquet(f"{path}/{flag}=true")
+        reader = self.spark.read.format(self.table_format).schema(rest)
+        return reader.load(f"{path}/{flag}=true")
 
     def _point(self, name: str, path: str, schema: T.StructType) -> None:
         if self.exists(name) and _shape(self.read(name).schema) == _shape(schema):
@@ -100,7 +109,9 @@ class Lake:
         else:
             self.spark.sql(f"drop table if exists {name}")  # external: files stay
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-            self.spark.sql(f"create table {name} ({columns}) using parquet location '{path}'")
+            self.spark.sql(
+                f"create table {name} ({columns}) using {self.table_format} location '{path}'"
+            )
         self.spark.catalog.refreshTable(name)
 
 
