@@ -25,7 +25,9 @@ def test_nulls_are_equal_and_copies_counted(spark):
     assert extra(df) == df.count() - df.distinct().count()
 
 
-def test_zeros_and_nans_compare_as_in_distinct(spark):
+@pytest.mark.parametrize("narrow_bytes", [0, 40])
+def test_zeros_and_nans_compare_as_in_distinct(spark, monkeypatch, narrow_bytes):
+    monkeypatch.setattr(profiling, "NARROW_BYTES", narrow_bytes)
     df = spark.createDataFrame(
         [(0.0,), (-0.0,), (math.nan,), (float("nan"),), (1.5,)], "a double"
     )
@@ -35,15 +37,28 @@ def test_zeros_and_nans_compare_as_in_distinct(spark):
 def test_hash_collisions_do_not_count(spark, monkeypatch):
     """With one hash for all rows the full comparison alone must be right."""
     monkeypatch.setattr(profiling, "row_hash", lambda df: F.lit(1).cast("bigint"))
+    monkeypatch.setattr(profiling, "NARROW_BYTES", 0)
     df = spark.createDataFrame([(1,), (2,), (2,), (3,)], "a int")
     assert extra(df) == 1
 
 
-def test_third_of_rows_is_one_copy(spark):
+@pytest.mark.parametrize("narrow_bytes", [0, 40])
+def test_third_of_rows_is_one_copy(spark, monkeypatch, narrow_bytes):
+    monkeypatch.setattr(profiling, "NARROW_BYTES", narrow_bytes)
     df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")))
     assert extra(df.toDF("a")) == 2999
 
 
+def test_only_few_fixed_width_columns_are_narrow(spark):
+    def narrow(ddl):
+        return profiling._is_narrow(spark.createDataFrame([], ddl).schema)
+
+    assert narrow("a bigint, b bigint, c int, d int, e decimal(10,2)")
+    assert not narrow("a int, b string")
+    assert not narrow("a bigint, b bigint, c bigint, d bigint, e bigint, f int")
+    assert not narrow("a decimal(30,2)")
+
+
 def test_maps_are_refused(spark):
     df = spark.createDataFrame([({"a": 1},)], "m map<string,int>")
     with pytest.raises(TypeError, match="m"):

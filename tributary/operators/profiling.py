@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import hashable, row_hash
 from ..session import stage
@@ -51,28 +52,52 @@ def schema_summary(df: DataFrame) -> DataFrame:
     return column_report(df).select("position", "column_name", "data_type", "total_rows")
 
 
+NARROW_BYTES = 40  # rows up to this width are shuffled whole
+_WIDTHS = {
+    T.BooleanType: 1,
+    T.ByteType: 1,
+    T.ShortType: 2,
+    T.IntegerType: 4,
+    T.DateType: 4,
+    T.FloatType: 4,
+    T.LongType: 8,
+    T.DoubleType: 8,
+    T.TimestampType: 8,
+    T.TimestampNTZType: 8,
+}
+
+
+def _is_narrow(schema: T.StructType) -> bool:
+    """Few fixed-width columns only, so that a hash would hardly be smaller."""
+    widths = []
+    for f in schema:
+        if isinstance(f.dataType, T.DecimalType) and f.dataType.precision <= 18:
+            widths.append(8)
+        else:
+            widths.append(_WIDTHS.get(type(f.dataType), NARROW_BYTES + 1))
+    return sum(widths) <= NARROW_BYTES
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each group of equal rows (NULLs are equal).
 
-    Only 8-byte hashes are shuffled for the whole table. Rows whose hash is
-    unique have no copy; just the others are compared in full, where copies
-    collapse before the shuffle. Hash collisions therefore cannot change the
-    result. The repeated hashes are written first: from the size of their files
-    Spark knows whether to broadcast them before it would shuffle the rows.
-    Tables with a map column have no hash of their whole row and are not
-    supported, as with ``distinct``.
+    Copies collapse before a shuffle, so a large group of them costs little.
+    Narrow rows are compared directly. For others only 8-byte hashes of the whole
+    table are shuffled: rows whose hash is unique have no copy, and just the rest
+    is compared in full, so hash collisions cannot change the result. The repeated
+    hashes are written first; from the size of their files Spark knows whether to
+    broadcast them before it would shuffle the rows. Tables with a map column are
+    not supported, as with ``distinct``.
     """
     unsupported = [f.name for f in df.schema if not hashable(f.dataType)]
     if unsupported:
         raise TypeError(f"columns that cannot be compared: {unsupported}")
-    hashed = df.withColumn("_hash", row_hash(df))
-    repeated = stage(
-        hashed.groupBy("_hash").count().filter("count > 1").select("_hash"), "repeated"
-    )
-    copies = (
-        hashed.join(repeated, "_hash", "left_semi")
-        .groupBy(*[F.col(f"`{c}`") for c in df.columns])
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
+    candidates = df
+    if not _is_narrow(df.schema):
+        hashed = df.withColumn("_hash", row_hash(df))
+        repeated = hashed.groupBy("_hash").count().filter("count > 1").select("_hash")
+        candidates = hashed.join(stage(repeated, "repeated"), "_hash", "left_semi")
+    groups = candidates.groupBy(*[F.col(f"`{c}`") for c in df.columns])
+    copies = groups.agg(F.count(F.lit(1)).alias("_copies"))
     extra = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint")
     return copies.agg(extra.alias("duplicate_rows"))

@@ -72,8 +72,8 @@ class Store:
 
     @cached_property
     def incoming(self) -> DataFrame:
-        """The second snapshot."""
-        return self.customers("customer_day2")
+        """The second snapshot, written as the Silver table it stands for."""
+        return stage(self.customers("customer_day2"), "silver")
 
     def arrivals(self) -> DataFrame:
         return scd2.arrivals(self.day1, self.incoming, self.spec, DAY2)
