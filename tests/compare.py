@@ -36,7 +36,7 @@ def rows(table: pa.Table) -> list[tuple]:
 
 def differences(result: DataFrame, connection, sql: str) -> list[str]:
     """What differs between a frame and a SQL text; empty if they agree."""
-    left, right = _plain(result.toArrow()), _plain(connection.execute(sql).to_arrow_table())
+    left, right = _plain(result.toArrow()), _plain(connection.sql(sql).to_arrow_table())
     found = []
     if left.schema.names != right.schema.names:
         return [f"columns {left.schema.names} / {right.schema.names}"]

@@ -79,3 +79,43 @@ def test_date_attributes(star, spark):
         "is_weekend": True,
     }
     assert rows[20241231]["is_weekend"] is False
+
+
+def test_hot_invoice_is_split(spark, star, tmp_path):
+    """A third of the lines on one invoice: AQE splits its side of the join."""
+    path = str(tmp_path / "lines")
+    spark.range(80_000).repartition(8).selectExpr(
+        "int(id) InvoiceLineId", "int(if(id % 3 = 0, 1, id)) InvoiceId", "7 TrackId",
+        "1 Quantity", "cast(rand(1) * 90 as decimal(10,2)) UnitPrice",
+    ).write.parquet(path)
+    lines = spark.read.parquet(path)
+    invoices = spark.range(80_000).selectExpr(
+        "int(id) InvoiceId", "1 CustomerId", "timestamp'2024-03-09' InvoiceDate",
+        "'C' BillingCountry", "'c' BillingCity",
+    )
+    tracks = spark.createDataFrame([(21, 7)], "track_key bigint, track_id int")
+    employees = spark.createDataFrame([(31, 4)], "employee_key bigint, employee_id int")
+    dates = date_dimension(invoices, "InvoiceDate")
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        fact = facts.sales(lines, invoices, star[1], tracks, dates, employees)
+        assert len(fact.select("invoice_line_id").collect()) == 80_000
+        fact = fact.select("invoice_line_id", "unit_price", "customer_key")
+        assert fact.collect()
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true) [InvoiceId" in plan
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

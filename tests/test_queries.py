@@ -58,3 +58,5 @@ def test_aggregate_is_combined_before_each_shuffle(spark, folder):
     plan = entry_points.queries()["fact_sales_customer_agg"](spark, folder)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in text and "partial_count(distinct" in text
+    # not in one plan with the invoice join, whose partitioning it would reuse
+    assert "InvoiceId" not in text
