@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import database, differences
+from tributary.plans import oracle, queries as catalogue
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +15,8 @@ def connection(folder):
 
 
 def test_every_query_has_sql():
-    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+    assert catalogue.all_queries().keys() == oracle.all_statements().keys()
+    assert catalogue.all_queries().keys() <= entry_points.queries().keys()
 
 
 def test_entry(spark):
@@ -27,7 +29,7 @@ def test_entry(spark):
 UNWANTED = ["Window", "CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "MapInArrow"]
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", catalogue.all_queries())
 def test_query(spark, folder, connection, name):
     result = entry_points.queries()[name](spark, folder)
     plan = result._jdf.queryExecution().executedPlan().toString()
