@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import decontamination, quality, sql
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _table(spark, sf_dir, "benchmark")
+    return decontamination.digest(decontamination.find(_table(spark, sf_dir, "documents"), items))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = sql.STATEMENTS
