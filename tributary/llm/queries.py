@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, quality, sql
+from . import decontamination, quality, secrets, sql
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,12 +17,17 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.find(_table(spark, sf_dir, "documents"), items))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
 

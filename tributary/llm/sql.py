@@ -82,3 +82,61 @@ select * exclude (r), repeat_words_3 as n_repeat_words,
             or {" or ".join(f"repeat_chars_{n} > {s}::double * word_chars" for n, s in _QUALITY_NGRAMS.items())}) as kept
 from b
 """
+
+_SECRETS = {  # kind: pattern, group of the value, least length
+    "assign": (
+        r"""(?:(?i)(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
+        2,
+        12,
+    ),
+    "access": ("AKIA[A-Z0-9]{14,}", 0, 1),
+    "hex": ("[0-9a-f]{16,}", 0, 1),
+    "forge": ("gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    "chat": ("xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    "pem": ("-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+}
+
+
+def _secret(rank: int, kind: str) -> str:
+    pattern, group, least = _SECRETS[kind]
+    return f"""
+  select r, repository, owner, {rank} as rank, '{kind}' as kind, {least} as least, i,
+         sum(len(gap) + len(whole)) over (partition by r order by i) as stop, len(whole) as size, value
+  from (select r, repository, owner, unnest(range(1, len(whole) + 1)) as i, unnest(whole) as whole,
+               unnest(gap[:len(whole)]) as gap, unnest(value) as value
+        from (select r, repository, owner, regexp_extract_all(text, '{pattern}') as whole,
+                     regexp_split_to_array(text, '{pattern}') as gap,
+                     regexp_extract_all(text, '{pattern}', {group}) as value from doc))"""
+
+
+STATEMENTS["op9_secret_scan"] = f"""
+with doc as (
+  select row_number() over () as r, doc_id, coalesce(text, '') as text,
+         coalesce(source, '') || '/' || coalesce(lang, '') as repository, coalesce(source, '') as owner
+  from documents
+), found as ({" union all ".join(_secret(i, k) for i, k in enumerate(_SECRETS))}
+), good as (select *, kind || ':' || cast(stop - size as bigint) || ':' || cast(stop as bigint) as span
+            from found where len(value) >= least
+), held as (
+  select value, count(distinct repository) as repositories, count(distinct owner) as owners
+  from good group by value
+), judged as (
+  select good.*, case when owners >= 3 and repositories >= 3 then 'example'
+                      when owners = 1 and len(list_distinct(string_split(value, ''))) >= 8 then 'live'
+                      else 'shared' end as verdict
+  from good join held using (value)
+), each as (
+  select r, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+         count(*) filter (kind = 'hex') as n_hex,
+         string_agg(span, ',' order by stop - size, rank) filter (rank < 3) as base,
+         string_agg(span, ',' order by stop - size, rank) as spans,
+         count(*) filter (verdict = 'live') as n_live, count(*) filter (verdict = 'shared') as n_shared,
+         count(*) filter (verdict = 'example') as n_example
+  from judged group by r
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+       coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
+       coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live,
+       coalesce(n_shared, 0) as n_shared, coalesce(n_example, 0) as n_example
+from doc left join each using (r)
+"""
