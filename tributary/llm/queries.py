@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, quality, secrets, sql
+from . import decontamination, packing, quality, secrets, sharding, sql
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,24 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.find(_table(spark, sf_dir, "documents"), items))
 
 
+def op3_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(_table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "linked",
+    )
+
+
+def op4_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
 
@@ -27,6 +45,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op3_label_propagation": op3_label_propagation,
+    "op4_length_buckets": op4_length_buckets,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
