@@ -117,7 +117,8 @@ def _judged(matches: DataFrame) -> DataFrame:
     """Matches with their ``verdict``: ``example``, ``live`` or ``shared``."""
     copied = (F.col("owners") >= EXAMPLE_OWNERS) & (F.col("repositories") >= EXAMPLE_OWNERS)
     verdict = F.when(copied, "example").when((F.col("owners") == 1) & F.col("random"), "live")
-    return matches.join(ownership(matches), "hash").withColumn(
+    held = stage(ownership(matches), "ownership")  # so that the join can split a hot value
+    return matches.join(held, "hash").withColumn(
         "verdict", verdict.otherwise("shared")
     )
 

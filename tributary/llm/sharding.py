@@ -73,6 +73,7 @@ def propagate(
         cells = links.join(state, "_row").groupBy("_hub").agg(
             *(F.count_if(F.col("_shard") == i).alias(f"_n{i}") for i in range(shards))
         )
+        cells = stage(cells, "cells")  # so that the join below can split a hot hub
         votes = links.join(cells, "_hub").groupBy("_row").agg(
             *(F.sum(f"_n{i}").alias(f"_n{i}") for i in range(shards))
         )
@@ -143,6 +144,7 @@ def assign(
         "documents",
     )
     groups = rows.groupBy("_hub").count().filter("_hub is not null and count > 1").select("_hub")
+    groups = stage(groups, "hubs")
     links = stage(rows.select("_row", "_hub").join(groups, "_hub").select("_row", "_hub"), "links")
     quotas = [count // shards + (i < count % shards) for i in range(shards)]
     state = propagate(links, quotas, rounds, rows_per_slice)
