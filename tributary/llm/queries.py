@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, quality, secrets, sharding, sql
+from . import chat, decontamination, fixity, packing, quality, secrets, sharding, sql
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.find(_table(spark, sf_dir, "documents"), items))
 
 
+def op2_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(chat.marked_conversation(spark))
+    turns = chat.paths(chat.chain(rows, "conv_id", ["turn"], "role", "text"))
+    return chat.digest(chat.read_back(chat.render(turns)))
+
+
 def op3_label_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(_table(spark, sf_dir, "documents"))
     return placed.select(
@@ -35,6 +42,17 @@ def op4_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+#: Characters at which the copy in the audit cuts off a page, as a broken transfer would.
+CUT = 32_768
+
+
+def op8_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages against a copy that lost the ends of long pages and all empty ones."""
+    pages = _table(spark, sf_dir, "pages")
+    copy = pages.filter("html <> ''").withColumn("html", F.substring("html", 1, CUT))
+    return fixity.audit(pages, copy)
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(_table(spark, sf_dir, "documents")))
 
@@ -45,8 +63,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_reply_trees": op2_reply_trees,
     "op3_label_propagation": op3_label_propagation,
     "op4_length_buckets": op4_length_buckets,
+    "op8_merkle_fixity": op8_merkle_fixity,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
