@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, fixity, packing, quality, secrets, sharding, sql
+from . import chat, decontamination, fixity, packing, quality, secrets, sharding, sql, token_rows
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,6 +42,11 @@ def op4_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = token_rows.pack(_table(spark, sf_dir, "documents"))
+    return packed.withColumnRenamed("keys", "doc_ids")
+
+
 #: Characters at which the copy in the audit cuts off a page, as a broken transfer would.
 CUT = 32_768
 
@@ -66,6 +71,7 @@ QUERIES = {
     "op2_reply_trees": op2_reply_trees,
     "op3_label_propagation": op3_label_propagation,
     "op4_length_buckets": op4_length_buckets,
+    "op5_token_rows": op5_token_rows,
     "op8_merkle_fixity": op8_merkle_fixity,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
