@@ -12,6 +12,8 @@ marker, and both are undone exactly by reading left to right.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -86,29 +88,34 @@ def paths(messages: DataFrame, top: int | None = None) -> DataFrame:
     jump = stage(
         linked.select("tree", "_node", "_up", score.alias("_sum"), F.lit(1).alias("_depth")), "jumps"
     )
-    first, jumps = jump, []
+    # a round works on the messages above which the jump has not passed the root yet
+    first, jumps, ended = jump, [], []
     limit = max(1, rows.count()).bit_length() + 1  # no path is longer than all rows
-    while len(jumps) < limit and not jump.filter("_up is not null").isEmpty():
-        jumps.append(jump)
-        far = jump.select(
+    while len(jumps) < limit:
+        active = jump.filter("_up is not null")
+        ended.append(jump.filter("_up is null"))
+        if active.isEmpty():
+            break
+        jumps.append(active)
+        far = reduce(DataFrame.unionByName, ended, active).select(
             F.col("_node").alias("_at"),
             F.col("_up").alias("_next"),
             F.col("_sum").alias("_more"),
             F.col("_depth").alias("_deeper"),
         )
         jump = stage(
-            jump.join(far, F.col("_up") == F.col("_at"), "left").select(
+            active.join(far, F.col("_up") == F.col("_at")).select(
                 "tree",
                 "_node",
                 F.col("_next").alias("_up"),
-                (F.col("_sum") + F.coalesce("_more", F.lit(0.0))).alias("_sum"),
-                (F.col("_depth") + F.coalesce("_deeper", F.lit(0))).alias("_depth"),
+                (F.col("_sum") + F.col("_more")).alias("_sum"),
+                (F.col("_depth") + F.col("_deeper")).alias("_depth"),
             ),
             "jumps",
         )
     parents = first.select(F.col("_up").alias("_node")).filter("_node is not null").distinct()
     leaves = (
-        jump.filter("_up is null")
+        reduce(DataFrame.unionByName, ended)
         .join(parents, "_node", "left_anti")
         .select("tree", F.col("_node").alias("path"), "_depth", (F.col("_sum") / F.col("_depth")).alias("path_score"))
     )
@@ -126,7 +133,7 @@ def paths(messages: DataFrame, top: int | None = None) -> DataFrame:
 
     members = leaves.select("path", F.col("path").alias("_node"), F.lit(0).alias("_back"))
     for number, jump in enumerate(jumps):
-        far = jump.filter("_up is not null").select("_node", "_up")
+        far = jump.select("_node", "_up")
         more = members.join(far, "_node").select(
             "path", F.col("_up").alias("_node"), (F.col("_back") + (1 << number)).alias("_back")
         )
