@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, fixity, packing, quality, secrets, sharding, sql, token_rows
+from . import chat, decontamination, fixity, near_dup, packing, quality, secrets, sharding, sql, token_rows
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -47,6 +47,11 @@ def op5_token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("keys", "doc_ids")
 
 
+def op6_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = near_dup.link(_table(spark, sf_dir, "documents"), words=2)
+    return linked.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 #: Characters at which the copy in the audit cuts off a page, as a broken transfer would.
 CUT = 32_768
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op3_label_propagation": op3_label_propagation,
     "op4_length_buckets": op4_length_buckets,
     "op5_token_rows": op5_token_rows,
+    "op6_minhash_components": op6_minhash_components,
     "op8_merkle_fixity": op8_merkle_fixity,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,

@@ -188,3 +188,26 @@ select p.page_id, p.url, number, number // 4096 as file,
 from placed p left join theirs t
   on p.page_id is not distinct from t.page_id and p.url is not distinct from t.url
 """
+
+STATEMENTS["op6_minhash_components"] = rf"""
+with recursive doc as (
+  select row_number() over () as r, doc_id,
+         coalesce(regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+'), []) as w
+  from documents
+), shingle as (
+  select distinct r, s from (
+    select r, w[p] || ' ' || w[p + 1] as s from (select r, w, unnest(range(1, len(w))) as p from doc)
+    union all select r, w[1] from doc where len(w) = 1)
+), n as (select r, count(*) as n from shingle group by r
+), pair as (
+  select a.r as x, b.r as y, count(*) as c from shingle a join shingle b on a.s = b.s and a.r <> b.r group by all
+), edge as (
+  select x, y from pair join n p on x = p.r join n q on y = q.r where 100 * c >= 80 * (p.n + q.n - c)
+), reach as (
+  select r as x, r as y from doc union select reach.x, edge.y from reach join edge on reach.y = edge.x
+), least as (
+  select x, min(doc_id) as component_id from reach join doc on y = doc.r group by x
+)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+from doc left join n using (r) join least on x = doc.r
+"""
