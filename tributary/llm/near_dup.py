@@ -37,6 +37,7 @@ WORDS = 5  # of a shingle
 SIMILARITY = 80  # percent
 COORDINATES = 48  # of a signature; each joins the minima of two hash functions
 MATCHES = 14  # coordinates that two texts must share to be compared
+SLOTS = 1 << 22  # of the filter for texts whose sets are compared
 BLOCK_SHINGLES = 500_000  # of a side of two blocks that are compared in one task
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -116,11 +117,22 @@ def _signed(docs: DataFrame, text: str, keep: list[str], words: int) -> DataFram
     return docs.select(*keep, F.col(f"`{text}`").alias("_text")).mapInArrow(work, schema)
 
 
-def _sets(docs: DataFrame, text: str, words: int) -> DataFrame:
-    """``_one``, ``_two``, ``_set``: the digests and sorted shingles of each text."""
+def _sets(docs: DataFrame, text: str, words: int, wanted: DataFrame) -> DataFrame:
+    """``_one``, ``_two``, ``_set``: digests and sorted shingles of the wanted texts, and of some more.
+
+    Texts are told apart by ``SLOTS`` bits of their digest, a broadcast of that size at
+    most, so that neither texts nor sets are shuffled to find out which are wanted; the
+    caller joins on the digests.
+    """
     schema = "_one long, _two long, _set array<long>"
+    slot = F.pmod("_one", F.lit(SLOTS)).cast("int").alias("slot")
+    slots = wanted.select(slot).distinct().toArrow()["slot"].to_numpy()  # at most SLOTS
+    flags = np.zeros(SLOTS, bool)
+    flags[slots] = True
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(flags).tobytes())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
         for batch in batches:
             for chunk in rolling.chunks(batch.column(0)):
                 rows, keys = shingles(chunk, words)
@@ -132,7 +144,7 @@ def _sets(docs: DataFrame, text: str, words: int) -> DataFrame:
                     sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64)))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(one), pa.array(two), sets], ["_one", "_two", "_set"]
-                    )
+                    ).filter(pa.array(known[one % SLOTS]))
 
     return docs.select(F.col(f"`{text}`").alias("_text")).mapInArrow(work, schema)
 
@@ -302,13 +314,11 @@ def _class_links(
     met_hub = stage(_meeting(near.filter("a <> b").select("a", "b"), posted, matches), "met")
 
     # the full sets of classes that meet any other
-    wanted = classes.join(posted.select("_row"), "_row", "left_semi").select("_row", "_one", "_two", "_key")
+    wanted = classes.join(posted.select("_row"), "_row", "left_semi").select("_row", "_one", "_two")
     wanted = stage(wanted, "wanted")
-    keys = wanted.select(F.col("_key").alias("_wanted")).distinct()
-    again = docs.join(keys, F.col("_key").eqNullSafe(F.col("_wanted")), "left_semi")
     sets = stage(
-        _sets(again, text, words)
-        .join(wanted.select("_row", "_one", "_two"), ["_one", "_two"])
+        _sets(docs, text, words, wanted)
+        .join(wanted, ["_one", "_two"])
         .dropDuplicates(["_row"])
         .select("_row", "_set"),
         "sets",
