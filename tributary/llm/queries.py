@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, fixity, near_dup, packing, quality, secrets, sharding, sql, token_rows
+from . import chat, decontamination, fixity, near_dup, packing, quality, repeats, secrets, sharding, sql, token_rows
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op6_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(_table(spark, sf_dir, "documents"), with_kept=False)
+
+
 #: Characters at which the copy in the audit cuts off a page, as a broken transfer would.
 CUT = 32_768
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op4_length_buckets": op4_length_buckets,
     "op5_token_rows": op5_token_rows,
     "op6_minhash_components": op6_minhash_components,
+    "op7_prefix_free_parsing": op7_prefix_free_parsing,
     "op8_merkle_fixity": op8_merkle_fixity,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,

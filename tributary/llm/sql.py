@@ -211,3 +211,28 @@ with recursive doc as (
 select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
 from doc left join n using (r) join least on x = doc.r
 """
+
+STATEMENTS["op7_prefix_free_parsing"] = """
+with doc as (
+  select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), byte as (
+  select r, doc_id, h, unnest(range(0, len(h) // 2)) as p from doc
+), seen as (
+  select r, p, row_number() over (partition by md5(substr(h, 2 * p + 1, 200)) order by doc_id, p) > 1 as again
+  from byte where 2 * p + 200 <= len(h)
+), gone as (
+  select byte.r, byte.p, substr(h, 2 * byte.p + 1, 2) as b,
+         coalesce(max(case when again then 1 else 0 end)
+           over (partition by byte.r order by byte.p rows between 99 preceding and current row), 0) = 1 as out
+  from byte left join seen using (r, p)
+), run as (
+  select *, out and not coalesce(lag(out) over (partition by r order by p), false) as begins from gone
+), each as (
+  select r, count(*) filter (out) as n_removed, count(*) filter (begins) as n_spans,
+         sha256(unhex(coalesce(string_agg(b, '' order by p) filter (not out), ''))) as kept_sha256
+  from run group by r
+)
+select doc_id, cast(len(h) // 2 as bigint) as n_bytes, coalesce(n_removed, 0) as n_removed,
+       coalesce(n_spans, 0) as n_spans, coalesce(kept_sha256, sha256('')) as kept_sha256
+from doc left join each using (r)
+"""
