@@ -1,0 +1,38 @@
+"""Quality rules on odd rows; whole tables are compared with SQL."""
+
+from tributary.llm import quality
+
+LONG = " ".join(f"word{i}" for i in range(80))
+
+
+def rows(spark, texts):
+    docs = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("*", "1 as kept", "'x' as n_words")
+    return docs, quality.measure(docs)
+
+
+def test_odd_rows(spark):
+    texts = [(1, None), (2, ""), (3, " \n\t "), (None, LONG), (4, LONG), (4, LONG), (5, "dup\n" * 70),
+             (6, LONG + "\nsame line\n\nsame line\r\nsame line"), (7, "\u00e9\u4f60 " * 3), (8, "x" * 3_000_000),
+             (9, "#$ " * 60 + LONG)]
+    docs, measured = rows(spark, texts)
+    found = {}
+    for r in measured.collect():
+        found.setdefault(r.doc_id, []).append(r)
+    assert len(found[4]) == 2 and found[4][0] == found[4][1]
+    for key in (1, 2, 3):
+        (r,) = found[key]
+        assert (r.n_words, r.word_chars, r.n_dup_lines, r.base_failed, r.kept) == (0, 0, 0, True, False)
+    assert found[None][0].kept and found[4][0].kept
+    assert found[5][0].n_dup_lines == 69 and found[5][0].n_repeat_words == 70 and not found[5][0].kept
+    assert found[6][0].n_dup_lines == 1 and found[6][0].kept
+    assert (found[7][0].word_chars, found[7][0].n_repeat_words) == (6, 0)
+    assert found[8][0].word_chars == 3_000_000
+    assert not found[9][0].kept and found[9][0].n_symbols == 120
+    kept = quality.keep(docs).collect()
+    assert sorted(r.doc_id or 0 for r in kept) == [0, 4, 4, 6]
+    assert {(r["kept"], r["n_words"]) for r in kept} == {(1, "x")}
+
+
+def test_empty_table(spark):
+    docs, measured = rows(spark, [])
+    assert measured.count() == 0 and quality.keep(docs).count() == 0

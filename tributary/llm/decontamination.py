@@ -93,7 +93,7 @@ def _hits(chunk: rolling.Chunk, wanted: _Set):
 
 
 def _spans(chunk: rolling.Chunk, words: rolling.Words, hit: np.ndarray) -> dict[int, list]:
-    """Code point ranges of the runs of hit words, by row."""
+    """Runs of hit words by row: code points from and to, first and last word."""
     out = defaultdict(list)
     if hit.any():
         lead = np.concatenate(([0], np.cumsum((chunk.data & 0xC0) != 0x80)))
@@ -105,8 +105,9 @@ def _spans(chunk: rolling.Chunk, words: rolling.Words, hit: np.ndarray) -> dict[
         last[:-1] = new[1:] | ~hit[1:]
         for s, e in zip(starts, np.flatnonzero(hit & last)):
             base = lead[chunk.offsets[rows[s]]]
-            span = int(lead[words.starts[s]] - base), int(lead[words.ends[e]] - base)
-            out[int(rows[s])].append(span)
+            first = words.first[rows[s]]
+            span = lead[words.starts[s]] - base, lead[words.ends[e]] - base, s - first, e - first
+            out[int(rows[s])].append([int(x) for x in span])
     return out
 
 
@@ -166,6 +167,10 @@ def _n_words(text):
     return F.coalesce(F.regexp_count(text, F.lit(_PATTERN)), F.lit(0)).cast("long")
 
 
+def _ranges(spans: str):
+    return F.transform(spans, lambda s: F.slice(s, 1, 2))
+
+
 _NO_SPANS, _NO_ITEMS = "cast(array() as array<array<bigint>>)", "cast(array() as array<string>)"
 
 
@@ -189,14 +194,14 @@ def _merged(docs: DataFrame, text: str, parts: list[dict]) -> DataFrame:
         )
     )
     last = lambda done: F.element_at(done, -1)
-    runs = F.aggregate(  # runs of different blocks may overlap
+    runs = F.aggregate(  # runs of different blocks may overlap or follow each other
         "_ranges",
         F.expr(_NO_SPANS),
         lambda done, r: F.when(
-            F.coalesce(F.get(F.get(done, F.size(done) - 1), F.lit(1)) >= r[0], F.lit(False)),
+            F.coalesce(F.get(F.get(done, F.size(done) - 1), F.lit(3)) + 1 >= r[2], F.lit(False)),
             F.concat(
                 F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
-                F.array(F.array(last(done)[0], F.greatest(last(done)[1], r[1]))),
+                F.array(F.array(last(done)[0], *(F.greatest(last(done)[i], r[i]) for i in (1, 2, 3)))),
             ),
         ).otherwise(F.concat(done, F.array(r))),
     )
@@ -221,7 +226,13 @@ def find(
     parts = list(_blocks(item_windows(items, window), block))
     if len(parts) <= 1:
         result = _scan(docs, text, parts[0] if parts else {}, [key])
-        return result.toDF(key, "n_words", "n_hit", "spans", "items")
+        return result.select(
+            key,
+            F.col("_words").alias("n_words"),
+            F.col("_hit").alias("n_hit"),
+            _ranges("_spans").alias("spans"),
+            F.col("_items").alias("items"),
+        )
     joined = docs.select(key, F.col(text).alias("_text"), _digest(text).alias("_digest")).join(
         _merged(docs, text, parts), "_digest", "left"
     )
@@ -232,7 +243,7 @@ def find(
         key,
         _n_words(lower).alias("n_words"),
         F.coalesce(total, F.lit(0)).alias("n_hit"),
-        F.coalesce("_spans", F.expr(_NO_SPANS)).alias("spans"),
+        F.coalesce(_ranges("_spans"), F.expr(_NO_SPANS)).alias("spans"),
         F.coalesce("_items", F.expr(_NO_ITEMS)).alias("items"),
     )
 
@@ -290,7 +301,7 @@ def _cleaned(docs: DataFrame, text: str, entries: dict, mode: str) -> DataFrame:
             else:
                 values = texts.to_pylist()
                 for i, ranges in hit_rows.items():
-                    for s, e in reversed(ranges):
+                    for s, e, *_ in reversed(ranges):
                         values[i] = values[i][:s] + values[i][e:]
                 made = pa.array(values, texts.type)
                 yield batch.set_column(place, batch.schema.field(place), made)

@@ -431,7 +431,8 @@ def dedup(
     named = rows.select(
         F.col(f"_doc.`{key}`").alias("_id"), F.col(f"_doc.`{text}`").alias("_body"), "_row"
     )
-    linked = link(named, words, percent, "_body", "_id")
+    linked = link(named, words, percent, "_body", "_id").select("_id", "_root", "_row")
+    linked = stage(linked, "linked")  # so that minima are combined before they are shuffled
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
     first = linked.groupBy("_root").agg(F.min(order)["_row"].alias("_row"))
     return rows.join(first.select("_row"), "_row", "left_semi").select(

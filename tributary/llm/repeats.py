@@ -85,22 +85,40 @@ def triggers(chunk: rolling.Chunk, length: int, width: int) -> tuple[np.ndarray,
 def _find(docs: DataFrame, length: int, width: int) -> DataFrame:
     """``_key``, ``_at``, ``_anchor``, ``_around`` of every trigger of ``_key``, ``_tag``, ``_text``.
 
-    ``_at`` is the tag above 32 bits of position: it orders the triggers of a key.
+    ``_at`` is the tag above 32 bits of position: it orders the triggers of a key. Surroundings
+    that repeat inside a batch are combined before the shuffle: the first goes on for
+    all, the others are ``_copy`` already and get an anchor of their own, by which they spread.
     """
     schema = T.StructType(
-        [docs.schema["_key"]] + [T.StructField(c, T.LongType()) for c in ("_at", "_anchor", "_around")]
+        [docs.schema["_key"]]
+        + [T.StructField(c, T.LongType()) for c in ("_at", "_anchor", "_around")]
+        + [T.StructField("_copy", T.BooleanType())]
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tags = batch.column(1).to_numpy()
-            for chunk in rolling.chunks(batch.column(2)):
-                row, at, anchor, around = triggers(chunk, length, width)
-                if len(row):
-                    row = row + chunk.first
-                    columns = [batch.column(0).take(pa.array(row)), pa.array((tags[row] << 32) + at)]
-                    columns += [pa.array(x.view(np.int64)) for x in (anchor, around)]
-                    yield pa.RecordBatch.from_arrays(columns, schema.names)
+            parts = [(row + chunk.first, *rest) for chunk in rolling.chunks(batch.column(2))
+                     for row, *rest in [triggers(chunk, length, width)]]
+            if not parts:
+                continue
+            row, at, anchor, around = (np.concatenate(x) for x in zip(*parts))
+            keys = pa.table({"k": batch.column(0), "t": batch.column(1)})
+            by_key = [("k", "ascending"), ("t", "ascending")]
+            rank = np.empty(batch.num_rows, np.int64)
+            rank[pc.sort_indices(keys, sort_keys=by_key, null_placement="at_start").to_numpy()] = (
+                np.arange(batch.num_rows)
+            )
+            order = np.argsort(rank[row], kind="stable")  # positions ascend already
+            row, at, anchor, around = (x[order] for x in (row, at, anchor, around))
+            copy = np.ones(len(row), bool)
+            copy[np.unique(around, return_index=True)[1]] = False
+            place = (tags[row] << 32) + at
+            own = rolling.mix(rolling.mix(rank[row].astype(np.uint64)) + around + at.astype(np.uint64))
+            anchor = np.where(copy, own, anchor)
+            columns = [batch.column(0).take(pa.array(row)), pa.array(place)]
+            columns += [pa.array(x.view(np.int64)) for x in (anchor, around)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(copy)], schema.names)
 
     return docs.select("_key", "_tag", "_text").mapInArrow(work, schema)
 
@@ -287,12 +305,12 @@ def _parsed(docs: DataFrame, length: int, width: int, hot: int) -> DataFrame:
     same = Window.partitionBy("_anchor")
     ordered = same.orderBy("_around", "_key", "_at")
     previous = F.lag("_around").over(ordered)
+    first = ~F.col("_copy") & F.coalesce(previous != F.col("_around"), F.lit(True))
     seen = (
         _find(docs, length, width)
-        .withColumn("_new", F.coalesce(previous != F.col("_around"), F.lit(True)))
-        .withColumn("_n", F.count(F.lit(1)).over(same))
+        .withColumn("_new", first)
         .withColumn("_kinds", F.count_if("_new").over(same))
-        .filter("_n > 1 and (not _new or _kinds > 1)")
+        .filter("not _new or _kinds > 1")
     )
     at = F.col("_at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     entry = F.struct(
