@@ -9,12 +9,13 @@ from test_near_dup import plain as components
 from tributary.llm import quality, secrets
 
 
-def test_pipeline(spark, folder):
+def test_pipeline(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
     columns, frames = docs.columns, []
     for name, stage in corpus_pipeline.STAGES:
-        docs = stage(spark, docs, folder)
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
         if name != "batches":
             assert docs.columns == columns
         frames.append(docs.collect())
