@@ -69,3 +69,14 @@ def test_schema_summary_keeps_order(spark):
     df = spark.createDataFrame([(1, "x")], "b int, a string")
     rows = [tuple(r) for r in profiling.schema_summary(df).collect()]
     assert rows == [(1, "b", "int", 1), (2, "a", "string", 1)]
+
+
+def test_column_names_with_dots(spark):
+    from tributary.operators import cleaning, quality
+
+    df = spark.createDataFrame([(" x ", None), (None, 1)], "`a.b` string, `c.d` int")
+    assert [r["null_count"] for r in profiling.null_counts(df).collect()] == [1, 1]
+    assert profiling.duplicate_count(df).first()["duplicate_rows"] == 0
+    assert [r[0] for r in cleaning.clean(df).collect()] == ["x", None]
+    valid, bad = quality.split(df, [quality.NotNull("a.b")])
+    assert valid.count() == 1 and bad.count() == 1

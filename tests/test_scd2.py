@@ -150,3 +150,10 @@ def test_snapshot_is_shuffled_once(spark, first):
     finally:
         for name, value in zip(settings, before):
             spark.conf.set(name, value)
+
+
+def test_rows_without_an_id_open_no_version(spark):
+    rows = [(None, "Rome", "a"), (None, "Bonn", "b"), (10, "Rome", "a")]
+    dim = stage(scd2.initial(snapshot(spark, rows), SPEC, D1), "test")
+    assert [r[1] for r in image(dim)] == [10]
+    assert image(merged(spark, dim, rows, D2)) == image(dim)

@@ -1,3 +1,4 @@
+import os
 import datetime as dt
 
 import pytest
@@ -194,9 +195,21 @@ def test_shared_folder(spark, monkeypatch):
 def test_flagged_rows_are_kept_out_of_the_table(spark, lake, condition):
     name = f"{lake.gold}.t"
     df = spark.range(10).selectExpr("id", "concat('r', id) why", f"{condition} bad")
-    flagged = lake.replace_unflagged(df, name, "bad", ["id"])
+    image, flagged = lake.image_unflagged(df, name, "bad", ["id"])
+    lake.swap(image, name)
     expected = df.filter(condition).count()
     assert lake.read(name).columns == ["id"]
     assert lake.read(name).count() == 10 - expected
     assert (flagged.count() if flagged else 0) == expected
     assert flagged is None or flagged.columns == ["why"]
+
+
+def test_staged_folders_are_deleted_on_request(spark):
+    from tributary import session
+
+    session.drop_staged(spark)
+    staged = session.stage(spark.range(3), "test")
+    folder = staged.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    assert session.drop_staged(spark) == 1 and not os.path.exists(folder)
+    assert session.drop_staged(spark) == 0

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from tributary.operators import contracts, quality
 from tributary.plans import settings, stages
@@ -120,7 +121,7 @@ def test_day_one(run):
         (2, 1, 1, Decimal("0.99"), Decimal("0.9900")),
     ]
     for name, contract in settings.contracts().items():
-        assert [(f.name, f.dataType) for f in gold(name).schema] == [
+        assert [(f.name, f.dataType) for f in contracts.conform(gold(name), contract).schema] == [
             (f.name, f.dataType) for f in contract.schema
         ]
         assert contracts.primary_key(gold(name), contract).count() == 0 
@@ -136,7 +137,7 @@ def test_logs_and_quarantine(run):
                   "passed_records", "failed_records", "status") == [
         ("invoice", 3, 2, 1, "DONE"), ("invoiceline", 5, 4, 1, "DONE"), ("track", 3, 2, 1, "DONE"),
     ]
-    rules = lake.read("silver.dqx_rule_log")
+    rules = lake.read("silver.quality_rule_log")
     assert values(rules.filter("failed_records > 0 and level = 'warn'"), "rule") == [
         ("Email:not_null_and_not_empty",), ("Total:min_value",),
     ]
@@ -237,6 +238,17 @@ def test_own_rules_catch_what_would_stop_the_cleaning(run, spark):
     with pytest.raises(Exception, match="soon"):
         day(at, tables)
     assert lake.read("silver.invoice").count() == 2  # still the old table
+    # the other tables are done, and no row of theirs is lost
+    log = lake.read("silver.dqx_execution_log").filter(F.col("run_timestamp") == F.lit(at))
+    found = {r["table_name"]: r for r in log.collect()}
+    assert found["invoice"]["status"] == "FAILED"
+    away = lake.read("silver.quarantine").filter(F.col("run_timestamp") == F.lit(at))
+    held = {r["table_name"]: r["count"] for r in away.groupBy("table_name").count().collect()}
+    for table in ("invoiceline", "track", "customer"):
+        silver = lake.read(f"silver.{table}").count()
+        assert silver + held.get(table, 0) == lake.read(f"bronze.{table}").count()
+        assert found[table]["failed_records"] == held.get(table, 0)
+    assert held["invoiceline"] and "invoice" not in held
 
     def rules(table):
         extra = [quality.IsTimestamp("InvoiceDate")] if table == "invoice" else []
@@ -247,3 +259,36 @@ def test_own_rules_catch_what_would_stop_the_cleaning(run, spark):
     assert lake.read("silver.invoice").count() == 1
     found = lake.read("silver.quarantine").filter("_error_details like '%is_timestamp%'")
     assert [json.loads(r["_row_data"])["InvoiceDate"] for r in found.collect()] == ["soon"]
+
+
+def test_a_failing_fact_leaves_all_of_gold(run, monkeypatch):
+    lake, _ = run
+    names = settings.contracts()
+    before = {n: lake.read(f"gold.{n}").inputFiles() for n in names}
+    monkeypatch.setattr(stages.facts, "sales", lambda *_: lake.spark.sql("select raise_error('x') a"))
+    with pytest.raises(Exception):
+        stages.publish(lake, dt.date(2024, 6, 7))
+    assert {n: lake.read(f"gold.{n}").inputFiles() for n in names} == before
+
+
+@pytest.mark.parametrize("step", ["create", "drop", "rename"])
+def test_a_crash_in_a_schema_change_loses_no_table(run, spark, monkeypatch, step):
+    lake, _ = run
+    name = f"silver.changing_{step}"
+    lake.replace(spark.range(3), name)
+    real, broken = type(spark).sql, []
+
+    def sql(self, text, *rest, **more):
+        if not broken and {"create": "create table", "drop": f"drop table if exists {name}\n",
+                           "rename": "rename to"}[step] in text + "\n":
+            broken.append(text)
+            raise RuntimeError("lost")
+        return real(self, text, *rest, **more)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    with pytest.raises(RuntimeError, match="lost"):
+        lake.replace(spark.range(5).selectExpr("id", "'new' as more"), name)
+    assert broken and lake.exists(name)
+    assert lake.read(name).count() == (5 if step == "rename" else 3)
+    lake.replace(spark.range(7).selectExpr("id", "1 as other"), name)
+    assert lake.read(name).count() == 7

@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def named(column: str) -> Column:
+    """The column of just this name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def any_of(conditions: Iterable[Column]) -> Column:
     """OR over the conditions; false when there are none."""
     conditions = list(conditions)
@@ -31,7 +36,7 @@ def differs(columns: Iterable[str], left: str, right: str, null_safe: bool = Tru
 
 def row_json(columns: Iterable[str]) -> Column:
     """The row as a JSON object; NULL fields are left out."""
-    return F.to_json(F.struct(*[F.col(c) for c in columns]))
+    return F.to_json(F.struct(*[named(c) for c in columns]))
 
 
 def hashable(data_type: T.DataType) -> bool:
@@ -49,7 +54,7 @@ def row_hash(df: DataFrame, without: Iterable[str] = ()) -> Column:
     """64-bit hash over the hashable columns; equal rows have equal hashes."""
     skip = set(without)
     names = [f.name for f in df.schema if f.name not in skip and hashable(f.dataType)]
-    return F.xxhash64(*[F.col(n) for n in names]) if names else F.lit(0).cast("long")
+    return F.xxhash64(*[named(n) for n in names]) if names else F.lit(0).cast("long")
 
 
 def date_parts(day: str) -> dict[str, Column]:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import named
+
 Step = Callable[[DataFrame], DataFrame]
 
 
@@ -15,16 +17,16 @@ def trim_strings(df: DataFrame) -> DataFrame:
     """Strip outer spaces from every string column in one projection."""
     return df.select(
         *[
-            F.trim(F.col(f.name)).alias(f.name)
+            F.trim(named(f.name)).alias(f.name)
             if isinstance(f.dataType, T.StringType)
-            else F.col(f.name)
+            else named(f.name)
             for f in df.schema
         ]
     )
 
 
 def lower(*columns: str) -> Step:
-    return lambda df: df.withColumns({c: F.lower(F.col(c)) for c in columns})
+    return lambda df: df.withColumns({c: F.lower(named(c)) for c in columns})
 
 
 def defaults(values: Mapping[str, object]) -> Step:
@@ -35,7 +37,7 @@ def defaults(values: Mapping[str, object]) -> Step:
 def to_timestamps(*columns: str, strict: bool = True) -> Step:
     """Read columns as timestamps. Malformed text raises, or becomes NULL if not strict."""
     parse = F.to_timestamp if strict else F.try_to_timestamp
-    return lambda df: df.withColumns({c: parse(F.col(c)) for c in columns})
+    return lambda df: df.withColumns({c: parse(named(c)) for c in columns})
 
 
 def clean(df: DataFrame, steps: Iterable[Step] = ()) -> DataFrame:

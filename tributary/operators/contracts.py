@@ -90,6 +90,16 @@ def max_length(df: DataFrame, contract: Contract) -> DataFrame:
     return _counts(df, contract, "max_length", tests)
 
 
+def fits(df: DataFrame, contract: Contract) -> DataFrame:
+    """Values that the contract's type cannot hold, per column of another type."""
+    tests = {
+        f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+        for f in contract.schema
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType
+    }
+    return _counts(df, contract, "type", tests)
+
+
 def duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their row counts."""
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")

@@ -11,7 +11,6 @@ from ..functions.columns import row_hash
 from ..session import stage, stage_counted
 
 ROWS_PER_SLICE = 500_000  # rows sorted by one task
-MAX_SLICES = 20_000  # bounds what the driver sees of the slice sizes
 _SLOT_BITS = 33  # monotonically_increasing_id: partition above, row position below
 
 
@@ -34,7 +33,8 @@ def dense_key(
     ``order_by`` are ordered by a hash of their other columns and exact copies
     by a row id, so neither a hot key nor a hot group of copies ends up in one
     slice. Row ids and slices are written before they are read twice: a lost
-    executor cannot move a row between the count and the numbering.
+    executor cannot move a row between the count and the numbering. The driver
+    adds up one size a slice, which is 16 bytes for ``rows_per_slice`` rows.
     """
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     columns = df.columns
@@ -44,7 +44,7 @@ def dense_key(
         ),
         "rows",
     )
-    slices = min(max(1, math.ceil(count / rows_per_slice)), MAX_SLICES)
+    slices = max(1, math.ceil(count / rows_per_slice))
     order = [*order_by, "_tie", "_row"]
     ranked = (
         rows.repartitionByRange(slices, *order)
@@ -62,7 +62,7 @@ def dense_key(
     lookup = df.sparkSession.createDataFrame(offsets, "_slice bigint, _before bigint")
     position = F.col("_slot").bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
     return (
-        ranked.join(F.broadcast(lookup), "_slice")  # at most MAX_SLICES rows
+        ranked.join(lookup, "_slice")
         .withColumn(key, F.col("_before") + position + F.lit(1))
         .select(*columns, key)
     )

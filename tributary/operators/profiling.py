@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import hashable, row_hash
+from ..functions.columns import hashable, named, row_hash
 from ..session import stage
 
 
 def null_metrics(df: DataFrame) -> list[Column]:
     """Row count and NULLs per column as aggregates, for ``agg`` or ``observe``."""
     return [F.count(F.lit(1)).alias("total_rows")] + [
-        F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(df.columns)
+        F.count_if(named(c).isNull()).alias(f"null_{i}") for i, c in enumerate(df.columns)
     ]
 
 
@@ -97,7 +97,7 @@ def duplicate_count(df: DataFrame) -> DataFrame:
         hashed = df.withColumn("_hash", row_hash(df))
         repeated = hashed.groupBy("_hash").count().filter("count > 1").select("_hash")
         candidates = hashed.join(stage(repeated, "repeated"), "_hash", "left_semi")
-    groups = candidates.groupBy(*[F.col(f"`{c}`") for c in df.columns])
+    groups = candidates.groupBy(*[named(c) for c in df.columns])
     copies = groups.agg(F.count(F.lit(1)).alias("_copies"))
     extra = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).cast("bigint")
     return copies.agg(extra.alias("duplicate_rows"))

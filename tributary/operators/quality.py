@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import any_of, row_json
+from ..functions.columns import any_of, named, row_json
 
 ERROR, WARN = "error", "warn"
 ERRORS = "_dq_errors"
@@ -37,7 +37,7 @@ class NotNull(Rule):
     check = "not_null"
 
     def fails(self) -> Column:
-        return F.col(self.column).isNull()
+        return named(self.column).isNull()
 
 
 @dataclass(frozen=True)
@@ -47,7 +47,7 @@ class NotEmpty(Rule):
     check = "not_null_and_not_empty"
 
     def fails(self) -> Column:
-        return F.col(self.column).isNull() | (F.trim(F.col(self.column)) == "")
+        return named(self.column).isNull() | (F.trim(named(self.column)) == "")
 
 
 @dataclass(frozen=True)
@@ -58,7 +58,7 @@ class MinValue(Rule):
     check = "min_value"
 
     def fails(self) -> Column:
-        return F.col(self.column).isNull() | (F.col(self.column) < F.lit(self.bound))
+        return named(self.column).isNull() | (named(self.column) < F.lit(self.bound))
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,7 @@ class IsTimestamp(Rule):
     check = "is_timestamp"
 
     def fails(self) -> Column:
-        text = F.col(self.column)
+        text = named(self.column)
         return text.isNotNull() & F.try_to_timestamp(text).isNull()
 
 
@@ -151,7 +151,7 @@ def route(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     bad = failed(rules)
     data = [c for c in df.columns if not c.startswith("_")]
     return df.select(
-        *[F.when(~bad, F.col(c)).alias(c) for c in df.columns],
+        *[F.when(~bad, named(c)).alias(c) for c in df.columns],
         F.when(bad, _broken(rules)).alias(DETAILS),
         F.when(bad, row_json(data)).alias(DATA),
         bad.alias(FAILED),

@@ -47,7 +47,8 @@ def _opened(df: DataFrame, spec: Versioned, run_date: dt.date, *extra: str) -> D
 def initial(
     incoming: DataFrame, spec: Versioned, run_date: dt.date, check_unique: bool = True
 ) -> DataFrame:
-    """First load: every row becomes a current version, keys 1..N by natural key."""
+    """First load: every row with an id becomes a current version, keys 1..N by id."""
+    incoming = incoming.filter(F.col(spec.natural_key).isNotNull())
     if check_unique:
         require_unique(incoming, [spec.natural_key])
     rows = incoming.select(*spec.incoming_columns)
@@ -134,8 +135,10 @@ def apply(
 
     Ids missing from the snapshot stay current. Closed history only passes
     through, so it is never shuffled; current rows are joined with the changed
-    ids alone, which Catalyst broadcasts when their files are small.
+    ids alone, which Catalyst broadcasts when their files are small. Rows without an
+    id open no version and count as no repetition.
     """
+    incoming = incoming.filter(F.col(spec.natural_key).isNotNull())
     if check_unique:
         require_unique(incoming, [spec.natural_key])
     opened = arrivals(dim, incoming, spec, run_date, null_safe)

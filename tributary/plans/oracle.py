@@ -134,6 +134,19 @@ select row_number() over (order by customer_id) as customer_key, *
      , date '2024-01-15' as effective_start_date, cast(null as date) as effective_end_date
      , true as is_current
   from silver_day1""",
+    "silver_all": """
+select CustomerId as customer_id, trim(FirstName) as first_name, trim(LastName) as last_name
+     , coalesce(trim(Company), 'Individual') as company, trim(Address) as address
+     , trim(City) as city, trim(State) as state, trim(Country) as country
+     , trim(PostalCode) as postal_code, trim(Phone) as phone
+     , coalesce(trim(Fax), 'N/A') as fax, lower(trim(Email)) as email
+     , SupportRepId as support_rep_id
+  from role_customer where CustomerId is not null""",
+    "versions_all": """
+select row_number() over (order by customer_id) as customer_key, *
+     , date '2024-01-15' as effective_start_date, cast(null as date) as effective_end_date
+     , true as is_current
+  from silver_all""",
     "changed_day2": """
 select n.* from silver_day2 n join versions_day1 o on n.customer_id = o.customer_id
  where o.is_current and (n.first_name, n.last_name, n.company, n.address, n.city, n.state
@@ -422,7 +435,7 @@ select * replace (lower(trim(Email)) as Email, coalesce(Company, 'Individual') a
     "dim_employee": "select * from gold_employee",
     "dim_playlist": "select * from gold_playlist",
     "dim_date": "select * from gold_date",
-    "scd2_initial": "select * from versions_day1",
+    "scd2_initial": "select * from versions_all",
     "scd2_current": "select * from current_day2",
     "scd2_changed": "select customer_id from changed_day2",
     "scd2_changed_nullunsafe": """
@@ -464,7 +477,7 @@ select row_number() over (order by CustomerId) as customer_key, CustomerId as cu
     "key_continuation": """
 select customer_id, phone, (select max(customer_key) from versions_day1)
          + row_number() over (order by customer_id) as customer_key
-  from silver_day2""",
+  from silver_all""",
     "dense_key": """
 select InvoiceLineId, TrackId, Quantity
      , row_number() over (order by TrackId, InvoiceLineId) as line_key
@@ -578,7 +591,7 @@ select t.* replace (
          case when c.Company = 'Updated Corp' then c.Company else t.Company end as Company
        , case when c.CustomerId is not null and (c.State is null or c.State = 'Filled')
               then c.State else t.State end as State)
-  from role_customer_day1 t left join role_customer_day2 c on t.CustomerId = c.CustomerId""",
+  from role_customer t left join role_customer_day2 c on t.CustomerId = c.CustomerId""",
     "changes_patch_in": """
 select * replace (
          cast(case when InvoiceLineId in (select InvoiceLineId from role_invoiceline

@@ -375,7 +375,7 @@ def dim_date(store: Store) -> DataFrame:
 
 @query
 def scd2_initial(store: Store) -> DataFrame:
-    return scd2.initial(store.customers("customer_day1"), store.spec, DAY1)
+    return scd2.initial(store.customers("customer"), store.spec, DAY1)
 
 
 @query
@@ -504,8 +504,8 @@ def row_number_key(store: Store) -> DataFrame:
 
 @query
 def key_continuation(store: Store) -> DataFrame:
-    """Day-2 customers numbered after all keys of the first load."""
-    incoming = store.incoming.select("customer_id", "phone")
+    """All customers numbered after all keys of the first load."""
+    incoming = store.customers("customer").select("customer_id", "phone")
     return keys.continue_key(incoming, store.day1, "customer_key", "customer_id")
 
 
@@ -651,7 +651,7 @@ def changes_insert(store: Store) -> DataFrame:
 
 @query
 def changes_patch(store: Store) -> DataFrame:
-    """Day-1 customers take over company and state; a cleared state becomes NULL."""
+    """Customers take over company and state; a cleared state becomes NULL."""
     patches = store.roles["customer_day2"].select(
         "CustomerId",
         "Company",
@@ -660,7 +660,7 @@ def changes_patch(store: Store) -> DataFrame:
         (F.col("State").isNull() | (F.col("State") == "Filled")).alias("set_State"),
     )
     return changes.patch(
-        store.roles["customer_day1"], patches, "CustomerId", ["Company", "State"]
+        store.roles["customer"], patches, "CustomerId", ["Company", "State"]
     )
 
 

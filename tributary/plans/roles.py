@@ -15,9 +15,6 @@ from pyspark.sql import types as T
 from ..operators.keys import dense_key
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def _every(column: str, n: int) -> Column:
     return F.col(column) % n == 0
 
@@ -31,13 +28,14 @@ class Roles:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._schemas: dict[str, T.StructType] = {}
 
     def base(self, name: str) -> DataFrame:
         """A given table; its schema is read from the file footer only once."""
         path = f"{self.folder}/{name}.parquet"
-        if path not in _schemas:
-            _schemas[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_schemas[path]).parquet(path)
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)()

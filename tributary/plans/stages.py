@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cleaning, contracts, dimensions, facts, profiling, quality, scd2
 from ..sources import registry, relational, runlog, snapshots
-from ..sources.tables import Lake
+from ..sources.tables import Image, Lake
 from . import settings
 
 # The bookkeeping tables.
@@ -28,12 +28,13 @@ REGISTRY_TABLE = "pipeline_metadata_parent"
 RUN_TABLE = "pipeline_metadata_child"
 QUALITY_TABLE = "dqx_execution_log"
 QUARANTINE_TABLE = "quarantine"
-RULE_TABLE = "dqx_rule_log"
 
 QUALITY_COLUMNS = (
     "table_name string, run_timestamp timestamp, total_records bigint, "
     "passed_records bigint, failed_records bigint, created_date date, status string"
 )
+
+RULE_TABLE = "quality_rule_log"  # a log of this package's own
 RULE_COLUMNS = (
     "table_name string, run_timestamp timestamp, rule string, level string, "
     "failed_records bigint"
@@ -61,6 +62,10 @@ class Report:
     schema: list[tuple[str, str]] = field(default_factory=list)
 
 
+class TablesFailed(RuntimeError):
+    """Some tables of a step failed; the others are done and logged."""
+
+
 def _each(work: Callable[[Item], Result], items: Iterable[Item], threads: int) -> list[Result]:
     with ThreadPoolExecutor(max_workers=threads) as pool:
         return list(pool.map(work, items))
@@ -146,14 +151,23 @@ def refine(
     """Profile, validate and clean every Bronze table into Silver.
 
     ``rules`` and ``steps`` give the quality rules and the cleaning of a table by
-    its lower-case name. Rows that failed go to the quarantine in one append over all tables:
-    concurrent appends to one Parquet table would get in each other's way.
+    its lower-case name. Each new Silver image is written first; then the failing
+    rows of all tables go to the quarantine, in one append, as concurrent ones to a Parquet
+    table would get in each other's way; then the logs are written; and only then
+    the images are swapped in. So a failing rule or table loses no row: its Silver table
+    stays, it is logged as FAILED, and it is named in the error raised at the end.
     """
 
-    def work(table: str) -> tuple[Report, DataFrame | None]:
+    def work(table: str) -> tuple[Report, DataFrame | None, Image | None]:
         name = table.lower()
-        return _refine_table(lake, name, rules(name), steps.get(name, ()), count_duplicates)
+        try:
+            return _refine_table(lake, name, rules(name), steps.get(name, ()), count_duplicates)
+        except Exception as error:  # one bad table must not stop the others
+            log.exception("table %s failed", name)
+            errors[name] = error
+            return Report(name, "FAILED"), None, None
 
+    errors: dict[str, Exception] = {}
     results = _each(work, active_tables(lake), threads)
     failed = [
         rows.select(
@@ -162,13 +176,13 @@ def refine(
             quality.DETAILS,
             quality.DATA,
         )
-        for report, rows in results
+        for report, rows, _ in results
         if rows is not None
     ]
     if failed:
         lake.append(reduce(DataFrame.unionByName, failed), f"{lake.silver}.{QUARANTINE_TABLE}")
 
-    reports, day = [report for report, _ in results], run_at.date()
+    reports, day = [report for report, *_ in results], run_at.date()
     quality_rows = [
         (r.table, run_at, r.total, r.passed, r.failed, day, r.status) for r in reports
     ]
@@ -178,6 +192,12 @@ def refine(
     lake.append(quality_log, f"{lake.silver}.{QUALITY_TABLE}")
     rule_log = spark.createDataFrame(rule_rows, RULE_COLUMNS)
     lake.append(rule_log, f"{lake.silver}.{RULE_TABLE}")
+    for report, _, image in results:
+        if image is not None:
+            lake.swap(image, f"{lake.silver}.{report.table}")
+    if errors:
+        reasons = "; ".join(f"{name}: {error}" for name, error in sorted(errors.items()))
+        raise TablesFailed(f"not refined: {reasons}")
     return reports
 
 
@@ -187,15 +207,15 @@ def _refine_table(
     rules: Sequence[quality.Rule],
     steps: Sequence[cleaning.Step],
     count_duplicates: bool,
-) -> tuple[Report, DataFrame | None]:
-    """Write one Silver table; returns what was found and the failing rows, if any.
+) -> tuple[Report, DataFrame | None, Image | None]:
+    """Write one Silver image; returns what was found, the failing rows, if any, and the image.
 
     One scan does it all: profile, quality and rule counts are observed on the
     way, and valid and failing rows are written side by side. Only the duplicate
     count takes a scan of its own.
     """
     if not lake.exists(f"{lake.bronze}.{table}"):
-        return Report(table, "MISSING"), None
+        return Report(table, "MISSING"), None, None
     df = lake.read(f"{lake.bronze}.{table}")
     quality.check_columns(df, rules)
     seen = Observation()
@@ -207,12 +227,12 @@ def _refine_table(
     routed = quality.route(df.observe(seen, *metrics), rules)
     if lake.plain_files:
         cleaned = cleaning.clean(routed, steps)
-        failed = lake.replace_unflagged(
+        image, failed = lake.image_unflagged(
             cleaned, f"{lake.silver}.{table}", quality.FAILED, df.columns
         )
     else:
         valid = routed.filter(~F.col(quality.FAILED)).select(*df.columns)
-        lake.replace(cleaning.clean(valid, steps), f"{lake.silver}.{table}")
+        image = lake.image(cleaning.clean(valid, steps), f"{lake.silver}.{table}")
         failed = quality.route(df.filter(quality.failed(rules)), rules)
     counts = seen.get
     duplicates = None
@@ -229,52 +249,57 @@ def _refine_table(
         duplicates,
         df.dtypes,
     )
-    return report, failed if report.failed else None
+    return report, failed if report.failed else None, image
 
 
 def publish(
-    lake: Lake, run_date: dt.date, threads: int = 4, conform: bool = True
+    lake: Lake, run_date: dt.date, threads: int = 4, conform: bool = False
 ) -> dict[str, int]:
     """Build the Gold tables from Silver; returns row counts.
 
-    Each table is computed whole and swapped in once. The fact books on the
-    current customer versions; its aggregate reads the written fact. A value
-    beyond its contract type, such as a total over ``decimal(14,2)``, stops the
-    run before the table changes; without ``conform`` the types that Spark
-    derives are kept, which are wide enough for any total.
+    Every table is written whole as an image, and the images are swapped in when all
+    are there, so a failure leaves all Gold tables as they were. The fact books on
+    the current customer versions; its aggregate reads the written fact. The types
+    are those that Spark derives, which are wide enough for any total; ``violations``
+    counts what does not fit its contract. With ``conform`` the types are those of the
+    contract, and a value beyond its type stops the run.
     """
     known = settings.contracts()
 
     def silver(name: str) -> DataFrame:
         return lake.read(f"{lake.silver}.{name}")
 
+    images: dict[str, Image] = {}
+
     def gold(name: str) -> DataFrame:
-        return lake.read(f"{lake.gold}.{name}")
+        return images[name].df
 
-    def put(name: str, df: DataFrame) -> tuple[str, int]:
+    def put(name: str, df: DataFrame) -> None:
         if conform:
             df = contracts.conform(df, known[name])
-        return name, lake.replace(df, f"{lake.gold}.{name}")
+        images[name] = lake.image(df, f"{lake.gold}.{name}")
 
-    def dimension(d: settings.Dimension) -> tuple[str, int]:
+    def dimension(d: settings.Dimension) -> None:
         df = dimensions.build(silver(d.source), d.mapping, d.natural_key, d.key)
-        return put(d.name, df)
+        put(d.name, df)
 
-    def dates(_) -> tuple[str, int]:
-        return put("dim_date", dimensions.date_dimension(silver("invoice"), "InvoiceDate"))
+    def dates(_) -> None:
+        put("dim_date", dimensions.date_dimension(silver("invoice"), "InvoiceDate"))
 
-    def customers(d: settings.Dimension) -> tuple[str, int]:
+    def customers(d: settings.Dimension) -> None:
         spec = settings.customer_versions()
         incoming = dimensions.project(silver(d.source), d.mapping)
         if lake.exists(f"{lake.gold}.{d.name}"):
-            return put(d.name, scd2.apply(gold(d.name), incoming, spec, run_date))
-        return put(d.name, scd2.initial(incoming, spec, run_date))
+            present = lake.read(f"{lake.gold}.{d.name}")
+            put(d.name, scd2.apply(present, incoming, spec, run_date))
+        else:
+            put(d.name, scd2.initial(incoming, spec, run_date))
 
     work = [(dates, None)] + [
         (customers if name == "dim_customer" else dimension, d)
         for name, d in settings.dimensions().items()
     ]
-    counts = dict(_each(lambda job: job[0](job[1]), work, threads))
+    _each(lambda job: job[0](job[1]), work, threads)
     current = scd2.current(gold("dim_customer"))
     fact = facts.sales(
         silver("invoiceline"),
@@ -284,10 +309,10 @@ def publish(
         gold("dim_date"),
         gold("dim_employee"),
     )
-    counts |= [put("fact_sales", fact)]
+    put("fact_sales", fact)
     by_customer = facts.sales_by_customer(gold("fact_sales"), current)
-    counts |= [put("fact_sales_customer_agg", by_customer)]
-    return counts
+    put("fact_sales_customer_agg", by_customer)
+    return {name: lake.swap(image, f"{lake.gold}.{name}") for name, image in images.items()}
 
 
 def violations(lake: Lake) -> DataFrame:
@@ -296,6 +321,7 @@ def violations(lake: Lake) -> DataFrame:
     for name, contract in settings.contracts().items():
         df = lake.read(f"{lake.gold}.{name}")
         parts.append(contracts.not_null(df, contract))
+        parts.append(contracts.fits(df, contract))
         if contract.max_lengths:
             parts.append(contracts.max_length(df, contract))
         broken = [(contract.primary_key[0], "primary_key", contracts.primary_key(df, contract))]
@@ -321,7 +347,7 @@ def run(
     base: str,
     run_at: dt.datetime,
     threads: int = 4,
-    conform: bool = True,
+    conform: bool = False,
 ) -> dict[str, int]:
     """All steps in order; a failing step stops the run."""
     setup(lake, run_at.date())

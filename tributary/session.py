@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}  # by application: what ``stage`` has written
 
 
 def local_session(cores: str = "*", app: str = "tributary", **conf: str) -> SparkSession:
@@ -57,6 +58,7 @@ def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     tasks, of which Spark takes one success each.
     """
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    _staged.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
@@ -65,3 +67,17 @@ def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """As ``stage_counted``, without the count."""
     return stage_counted(df, label)[0]
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete what this application has staged so far; returns how many folders.
+
+    To be called when the results that read them are written.
+    """
+    jvm = spark.sparkContext._jvm
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(hadoop).delete(path, True)
+    return len(paths)

@@ -16,7 +16,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-LOGGED_FORMATS = {"delta", "iceberg", "hudi"}
+LOGGED_FORMATS = {"delta"}  # overwritten in place, which their log makes atomic
+
+
+NEXT = "__next"  # behind the name of a table that is about to take its place
+
+
+@dataclass(frozen=True)
+class Image:
+    """The whole new content of a table: written, but not yet what the table shows."""
+
+    df: DataFrame
+    path: str
+    rows: int
 
 
 @dataclass(frozen=True)
@@ -45,7 +57,13 @@ class Lake:
             )
 
     def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(name)
+        """Is there such a table? One that a broken run left half swapped is put in place."""
+        if self.spark.catalog.tableExists(name):
+            return True
+        if not self.spark.catalog.tableExists(name + NEXT):
+            return False
+        self.spark.sql(f"alter table {name}{NEXT} rename to {name}")
+        return True
 
     def read(self, name: str) -> DataFrame:
         return self.spark.table(name)
@@ -60,27 +78,36 @@ class Lake:
     def append(self, df: DataFrame, name: str) -> None:
         df.write.format(self.table_format).mode("append").saveAsTable(name)
 
-    def replace(self, df: DataFrame, name: str) -> int:
-        """Make ``df`` the whole content and schema of a table; returns its rows."""
+    def image(self, df: DataFrame, name: str) -> Image:
+        """Write what will be the whole content and schema of a table."""
         seen = Observation()
-        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        if not self.plain_files:
-            df.write.format(self.table_format).mode("overwrite").option(
+        kind = self.table_format if self.plain_files else "parquet"
+        path = f"{self.location(name)}/{uuid.uuid4().hex}"
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(kind).save(path)
+        written = self.spark.read.format(kind).schema(df.schema).load(path)
+        return Image(written, path, seen.get["rows"])
+
+    def swap(self, image: Image, name: str) -> int:
+        """Make an image what the table shows; returns its rows."""
+        if self.plain_files:
+            self._point(name, image.path, image.df.schema)
+        else:
+            image.df.write.format(self.table_format).mode("overwrite").option(
                 "overwriteSchema", "true"
             ).saveAsTable(name)
-            return seen.get["rows"]
-        path = f"{self.location(name)}/{uuid.uuid4().hex}"
-        df.write.format(self.table_format).save(path)
-        self._point(name, path, df.schema)
-        return seen.get["rows"]
+        return image.rows
+
+    def replace(self, df: DataFrame, name: str) -> int:
+        """Make ``df`` the whole content and schema of a table; returns its rows."""
+        return self.swap(self.image(df, name), name)
 
-    def replace_unflagged(
+    def image_unflagged(
         self, df: DataFrame, name: str, flag: str, columns: list[str]
-    ) -> DataFrame | None:
-        """Replace a table of plain files by the rows without the flag, in one pass over ``df``.
+    ) -> tuple[Image, DataFrame | None]:
+        """The image of the rows without the flag, in one pass over ``df``.
 
         Both kinds of rows are written, as partitions of the boolean flag; the
-        table points at one of them and has just the given columns. Returns the
+        image is one of them and has just the given columns. Also returns the
         other columns of the flagged rows, or None if there are no such rows.
         """
         path = f"{self.location(name)}/{uuid.uuid4().hex}"
@@ -96,22 +123,28 @@ class Lake:
         if not seen.get["kept"]:
             empty = self.spark.createDataFrame([], kept)
             empty.write.format(self.table_format).save(f"{path}/{flag}=false")
-        self._point(name, f"{path}/{flag}=false", kept)
+        read = self.spark.read.format(self.table_format)
+        good = f"{path}/{flag}=false"
+        image = Image(read.schema(kept).load(good), good, seen.get["kept"])
         if not seen.get["flagged"]:
-            return None
+            return image, None
         rest = T.StructType([f for f in df.schema if f.name not in (flag, *columns)])
-        reader = self.spark.read.format(self.table_format).schema(rest)
-        return reader.load(f"{path}/{flag}=true")
+        read = self.spark.read.format(self.table_format)
+        return image, read.schema(rest).load(f"{path}/{flag}=true")
 
     def _point(self, name: str, path: str, schema: T.StructType) -> None:
         if self.exists(name) and _shape(self.read(name).schema) == _shape(schema):
             self.spark.sql(f"alter table {name} set location '{path}'")
         else:
-            self.spark.sql(f"drop table if exists {name}")  # external: files stay
+            # at any moment one of the two names stands for a whole image (see ``exists``)
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(f"drop table if exists {name}{NEXT}")  # external: files stay
             self.spark.sql(
-                f"create table {name} ({columns}) using {self.table_format} location '{path}'"
+                f"create table {name}{NEXT} ({columns}) using {self.table_format} "
+                f"location '{path}'"
             )
+            self.spark.sql(f"drop table if exists {name}")
+            self.spark.sql(f"alter table {name}{NEXT} rename to {name}")
         self.spark.catalog.refreshTable(name)
 
 
