@@ -1,12 +1,10 @@
 """The music-store configuration: registry, rules, cleaning, dimensions, contracts.
 
-Everything here is data. The blocks marked as fixed values define the results
-and are stated as plain tables; the code below them only reads the tables.
+Everything here is data. The values marked as fixed define the results.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import functions as F
@@ -14,50 +12,72 @@ from pyspark.sql import types as T
 
 from ..operators.cleaning import Step, defaults, lower, to_timestamps
 from ..operators.contracts import Contract, Reference
-from ..operators.quality import Rule, make_rule
+from ..operators.quality import Rule, make_rules
 from ..operators.scd2 import Versioned
 
 # Source tables and the file names recorded with them.
-REGISTRY = """
-Album          album.csv
-Artist         artist.csv
-Customer       customer.csv
-Employee       employee.csv
-Genre          genre.csv
-Invoice        invoice.csv
-InvoiceLine    invoiceline.csv
-MediaType      mediatype.csv
-Playlist       playlist.csv
-PlaylistTrack  playlisttrack.csv
-Track          track.csv
-"""
+REGISTRY = [
+    ("Album", "album.csv"),
+    ("Artist", "artist.csv"),
+    ("Customer", "customer.csv"),
+    ("Employee", "employee.csv"),
+    ("Genre", "genre.csv"),
+    ("Invoice", "invoice.csv"),
+    ("InvoiceLine", "invoiceline.csv"),
+    ("MediaType", "mediatype.csv"),
+    ("Playlist", "playlist.csv"),
+    ("PlaylistTrack", "playlisttrack.csv"),
+    ("Track", "track.csv"),
+]
 
-# Table, column, check, level and, for min_value, the bound.
-RULE_TABLE = """
-invoice        InvoiceId      not_null                error
-invoice        CustomerId     not_null                error
-invoice        InvoiceDate    not_null                error
-invoice        Total          not_null                warn
-invoice        Total          min_value               warn   0
-invoiceline    InvoiceLineId  not_null                error
-invoiceline    InvoiceId      not_null                error
-invoiceline    TrackId        not_null                error
-invoiceline    Quantity       not_null                error
-invoiceline    Quantity       min_value               error  1
-customer       CustomerId     not_null                error
-customer       Email          not_null_and_not_empty  warn
-track          TrackId        not_null                error
-track          Name           not_null                error
-album          AlbumId        not_null                error
-album          Title          not_null                error
-artist         ArtistId       not_null                error
-genre          GenreId        not_null                error
-mediatype      MediaTypeId    not_null                error
-employee       EmployeeId     not_null                error
-playlist       PlaylistId     not_null                error
-playlisttrack  PlaylistId     not_null                error
-playlisttrack  TrackId        not_null                error
-"""
+# The checks of each table.
+RULES: dict[str, list[dict]] = {
+    "invoice": [
+        {"col": "InvoiceId", "check": "not_null", "criticality": "error"},
+        {"col": "CustomerId", "check": "not_null", "criticality": "error"},
+        {"col": "InvoiceDate", "check": "not_null", "criticality": "error"},
+        {"col": "Total", "check": "not_null", "criticality": "warn"},
+        {"col": "Total", "check": "min_value", "criticality": "warn", "min_val": 0},
+    ],
+    "invoiceline": [
+        {"col": "InvoiceLineId", "check": "not_null", "criticality": "error"},
+        {"col": "InvoiceId", "check": "not_null", "criticality": "error"},
+        {"col": "TrackId", "check": "not_null", "criticality": "error"},
+        {"col": "Quantity", "check": "not_null", "criticality": "error"},
+        {"col": "Quantity", "check": "min_value", "criticality": "error", "min_val": 1},
+    ],
+    "customer": [
+        {"col": "CustomerId", "check": "not_null", "criticality": "error"},
+        {"col": "Email", "check": "not_null_and_not_empty", "criticality": "warn"},
+    ],
+    "track": [
+        {"col": "TrackId", "check": "not_null", "criticality": "error"},
+        {"col": "Name", "check": "not_null", "criticality": "error"},
+    ],
+    "album": [
+        {"col": "AlbumId", "check": "not_null", "criticality": "error"},
+        {"col": "Title", "check": "not_null", "criticality": "error"},
+    ],
+    "artist": [
+        {"col": "ArtistId", "check": "not_null", "criticality": "error"},
+    ],
+    "genre": [
+        {"col": "GenreId", "check": "not_null", "criticality": "error"},
+    ],
+    "mediatype": [
+        {"col": "MediaTypeId", "check": "not_null", "criticality": "error"},
+    ],
+    "employee": [
+        {"col": "EmployeeId", "check": "not_null", "criticality": "error"},
+    ],
+    "playlist": [
+        {"col": "PlaylistId", "check": "not_null", "criticality": "error"},
+    ],
+    "playlisttrack": [
+        {"col": "PlaylistId", "check": "not_null", "criticality": "error"},
+        {"col": "TrackId", "check": "not_null", "criticality": "error"},
+    ],
+}
 
 # Cleaning beyond the trim that every table gets.
 CLEANING: dict[str, list[Step]] = {
@@ -66,169 +86,13 @@ CLEANING: dict[str, list[Step]] = {
     "employee": [to_timestamps("BirthDate", "HireDate")],
 }
 
-# Target and source columns per dimension. The first line gives
-# the dimension, its source table and its key, the second the natural key.
-DIMENSION_TABLE = """
-dim_artist artist artist_key
-  artist_id               ArtistId
-  artist_name             Name
-dim_genre genre genre_key
-  genre_id                GenreId
-  genre_name              Name
-dim_mediatype mediatype media_type_key
-  media_type_id           MediaTypeId
-  media_type_name         Name
-dim_album album album_key
-  album_id                AlbumId
-  album_title             Title
-  artist_id               ArtistId
-dim_track track track_key
-  track_id                TrackId
-  track_name              Name
-  album_id                AlbumId
-  media_type_id           MediaTypeId
-  genre_id                GenreId
-  composer                Composer
-  duration_ms             Milliseconds
-  file_size_bytes         Bytes
-  unit_price              UnitPrice
-dim_employee employee employee_key
-  employee_id             EmployeeId
-  employee_name           FirstName LastName
-  title                   Title
-  reports_to_employee_id  ReportsTo
-  birth_date              BirthDate
-  hire_date               HireDate
-  city                    City
-  country                 Country
-  email                   Email
-dim_playlist playlist playlist_key
-  playlist_id             PlaylistId
-  playlist_name           Name
-dim_customer customer customer_key
-  customer_id             CustomerId
-  first_name              FirstName
-  last_name               LastName
-  company                 Company
-  address                 Address
-  city                    City
-  state                   State
-  country                 Country
-  postal_code             PostalCode
-  phone                   Phone
-  fax                     Fax
-  email                   Email
-  support_rep_id          SupportRepId
-"""
-
-# The Gold contract. Columns with type and "required" where NULL
-# is not allowed; "key" marks the primary key and "->" a reference.
-CONTRACT_TABLE = """
-dim_date
-  date_key                int            required key
-  full_date               date           required
-  year                    int            required
-  quarter                 int            required
-  month                   int            required
-  month_name              varchar(20)    required
-  day_of_month            int            required
-  day_of_week             int            required
-  day_name                varchar(20)    required
-  is_weekend              boolean        required
-dim_artist
-  artist_key              bigint         required key
-  artist_id               int            required
-  artist_name             varchar(200)
-dim_album
-  album_key               bigint         required key
-  album_id                int            required
-  album_title             varchar(300)   required
-  artist_id               int            required -> dim_artist.artist_id
-dim_genre
-  genre_key               bigint         required key
-  genre_id                int            required
-  genre_name              varchar(120)
-dim_mediatype
-  media_type_key          bigint         required key
-  media_type_id           int            required
-  media_type_name         varchar(120)
-dim_track
-  track_key               bigint         required key
-  track_id                int            required
-  track_name              varchar(300)   required
-  album_id                int            -> dim_album.album_id
-  media_type_id           int            required -> dim_mediatype.media_type_id
-  genre_id                int            -> dim_genre.genre_id
-  composer                varchar(300)
-  duration_ms             int
-  file_size_bytes         int
-  unit_price              decimal(10,2)  required
-dim_customer
-  customer_key            bigint         required key
-  customer_id             int            required
-  first_name              varchar(100)   required
-  last_name               varchar(100)   required
-  company                 varchar(200)
-  address                 varchar(200)
-  city                    varchar(100)
-  state                   varchar(100)
-  country                 varchar(100)
-  postal_code             varchar(20)
-  phone                   varchar(50)
-  fax                     varchar(50)
-  email                   varchar(200)   required
-  support_rep_id          int
-  effective_start_date    date           required
-  effective_end_date      date
-  is_current              boolean        required
-dim_employee
-  employee_key            bigint         required key
-  employee_id             int            required
-  employee_name           varchar(200)   required
-  title                   varchar(100)
-  reports_to_employee_id  int
-  birth_date              timestamp
-  hire_date               timestamp
-  city                    varchar(100)
-  country                 varchar(100)
-  email                   varchar(200)
-dim_playlist
-  playlist_key            bigint         required key
-  playlist_id             int            required
-  playlist_name           varchar(200)
-fact_sales
-  invoice_line_id         bigint         required key
-  invoice_id              bigint         required
-  customer_key            bigint         required -> dim_customer.customer_key
-  track_key               bigint         required -> dim_track.track_key
-  date_key                int            required -> dim_date.date_key
-  support_rep_key         bigint         -> dim_employee.employee_key
-  quantity                int            required
-  unit_price              decimal(10,2)  required
-  line_total              decimal(10,2)  required
-  billing_country         varchar(100)
-  billing_city            varchar(100)
-fact_sales_customer_agg
-  customer_key            bigint         required key -> dim_customer.customer_key
-  total_invoices          bigint         required
-  total_quantity          bigint         required
-  total_revenue           decimal(14,2)  required
-  avg_line_total          decimal(14,4)
-  last_purchase_date_key  int
-  customer_id             int
-  first_name              varchar(100)
-  last_name               varchar(100)
-  country                 varchar(100)
-  email                   varchar(200)
-"""
-
 
 @dataclass(frozen=True)
 class Dimension:
     name: str
     source: str
     key: str
-    columns: dict[str, str]  # target -> source column(s), the natural key first
+    columns: dict[str, str | tuple[str, ...]]  # target -> source, the natural key first
 
     @property
     def natural_key(self) -> str:
@@ -238,78 +102,380 @@ class Dimension:
     def mapping(self) -> dict:
         """Several source columns are joined by a space, skipping NULLs."""
         return {
-            target: F.concat_ws(" ", *source.split()) if " " in source else source
+            target: source if isinstance(source, str) else F.concat_ws(" ", *source)
             for target, source in self.columns.items()
         }
 
 
-def _blocks(table: str) -> list[tuple[str, list[str]]]:
-    """Unindented header lines with the indented lines below each."""
-    blocks: list[tuple[str, list[str]]] = []
-    for line in table.strip().splitlines():
-        if line.startswith(" "):
-            blocks[-1][1].append(line.strip())
-        else:
-            blocks.append((line, []))
-    return blocks
+# The dimensions, their sources and keys, target and source columns.
+DIMENSIONS = [
+    Dimension(
+        "dim_artist",
+        "artist",
+        "artist_key",
+        {
+            "artist_id": "ArtistId",
+            "artist_name": "Name",
+        },
+    ),
+    Dimension(
+        "dim_genre",
+        "genre",
+        "genre_key",
+        {
+            "genre_id": "GenreId",
+            "genre_name": "Name",
+        },
+    ),
+    Dimension(
+        "dim_mediatype",
+        "mediatype",
+        "media_type_key",
+        {
+            "media_type_id": "MediaTypeId",
+            "media_type_name": "Name",
+        },
+    ),
+    Dimension(
+        "dim_album",
+        "album",
+        "album_key",
+        {
+            "album_id": "AlbumId",
+            "album_title": "Title",
+            "artist_id": "ArtistId",
+        },
+    ),
+    Dimension(
+        "dim_track",
+        "track",
+        "track_key",
+        {
+            "track_id": "TrackId",
+            "track_name": "Name",
+            "album_id": "AlbumId",
+            "media_type_id": "MediaTypeId",
+            "genre_id": "GenreId",
+            "composer": "Composer",
+            "duration_ms": "Milliseconds",
+            "file_size_bytes": "Bytes",
+            "unit_price": "UnitPrice",
+        },
+    ),
+    Dimension(
+        "dim_employee",
+        "employee",
+        "employee_key",
+        {
+            "employee_id": "EmployeeId",
+            "employee_name": ("FirstName", "LastName"),
+            "title": "Title",
+            "reports_to_employee_id": "ReportsTo",
+            "birth_date": "BirthDate",
+            "hire_date": "HireDate",
+            "city": "City",
+            "country": "Country",
+            "email": "Email",
+        },
+    ),
+    Dimension(
+        "dim_playlist",
+        "playlist",
+        "playlist_key",
+        {
+            "playlist_id": "PlaylistId",
+            "playlist_name": "Name",
+        },
+    ),
+    Dimension(
+        "dim_customer",
+        "customer",
+        "customer_key",
+        {
+            "customer_id": "CustomerId",
+            "first_name": "FirstName",
+            "last_name": "LastName",
+            "company": "Company",
+            "address": "Address",
+            "city": "City",
+            "state": "State",
+            "country": "Country",
+            "postal_code": "PostalCode",
+            "phone": "Phone",
+            "fax": "Fax",
+            "email": "Email",
+            "support_rep_id": "SupportRepId",
+        },
+    ),
+]
 
+_INT, _LONG, _TEXT, _FLAG = T.IntegerType(), T.LongType(), T.StringType(), T.BooleanType()
+_DAY, _TIME = T.DateType(), T.TimestampType()
 
-def _data_type(declared: str) -> T.DataType:
-    number = re.fullmatch(r"decimal\((\d+),(\d+)\)", declared)
-    if number:
-        return T.DecimalType(int(number[1]), int(number[2]))
-    plain = {
-        "int": T.IntegerType,
-        "bigint": T.LongType,
-        "boolean": T.BooleanType,
-        "date": T.DateType,
-        "timestamp": T.TimestampType,
-    }
-    return plain[declared]()
+# The Gold tables, as columns with type and whether NULL is allowed,
+# primary key, greatest lengths of texts, and references.
+CONTRACTS = [
+    Contract(
+        "dim_date",
+        T.StructType(
+            [
+                T.StructField("date_key", _INT, False),
+                T.StructField("full_date", _DAY, False),
+                T.StructField("year", _INT, False),
+                T.StructField("quarter", _INT, False),
+                T.StructField("month", _INT, False),
+                T.StructField("month_name", _TEXT, False),
+                T.StructField("day_of_month", _INT, False),
+                T.StructField("day_of_week", _INT, False),
+                T.StructField("day_name", _TEXT, False),
+                T.StructField("is_weekend", _FLAG, False),
+            ]
+        ),
+        ("date_key",),
+        {
+            "month_name": 20,
+            "day_name": 20,
+        },
+    ),
+    Contract(
+        "dim_artist",
+        T.StructType(
+            [
+                T.StructField("artist_key", _LONG, False),
+                T.StructField("artist_id", _INT, False),
+                T.StructField("artist_name", _TEXT, True),
+            ]
+        ),
+        ("artist_key",),
+        {
+            "artist_name": 200,
+        },
+    ),
+    Contract(
+        "dim_album",
+        T.StructType(
+            [
+                T.StructField("album_key", _LONG, False),
+                T.StructField("album_id", _INT, False),
+                T.StructField("album_title", _TEXT, False),
+                T.StructField("artist_id", _INT, False),
+            ]
+        ),
+        ("album_key",),
+        {
+            "album_title": 300,
+        },
+        (
+            Reference("artist_id", "dim_artist", "artist_id"),
+        ),
+    ),
+    Contract(
+        "dim_genre",
+        T.StructType(
+            [
+                T.StructField("genre_key", _LONG, False),
+                T.StructField("genre_id", _INT, False),
+                T.StructField("genre_name", _TEXT, True),
+            ]
+        ),
+        ("genre_key",),
+        {
+            "genre_name": 120,
+        },
+    ),
+    Contract(
+        "dim_mediatype",
+        T.StructType(
+            [
+                T.StructField("media_type_key", _LONG, False),
+                T.StructField("media_type_id", _INT, False),
+                T.StructField("media_type_name", _TEXT, True),
+            ]
+        ),
+        ("media_type_key",),
+        {
+            "media_type_name": 120,
+        },
+    ),
+    Contract(
+        "dim_track",
+        T.StructType(
+            [
+                T.StructField("track_key", _LONG, False),
+                T.StructField("track_id", _INT, False),
+                T.StructField("track_name", _TEXT, False),
+                T.StructField("album_id", _INT, True),
+                T.StructField("media_type_id", _INT, False),
+                T.StructField("genre_id", _INT, True),
+                T.StructField("composer", _TEXT, True),
+                T.StructField("duration_ms", _INT, True),
+                T.StructField("file_size_bytes", _INT, True),
+                T.StructField("unit_price", T.DecimalType(10, 2), False),
+            ]
+        ),
+        ("track_key",),
+        {
+            "track_name": 300,
+            "composer": 300,
+        },
+        (
+            Reference("album_id", "dim_album", "album_id"),
+            Reference("media_type_id", "dim_mediatype", "media_type_id"),
+            Reference("genre_id", "dim_genre", "genre_id"),
+        ),
+    ),
+    Contract(
+        "dim_customer",
+        T.StructType(
+            [
+                T.StructField("customer_key", _LONG, False),
+                T.StructField("customer_id", _INT, False),
+                T.StructField("first_name", _TEXT, False),
+                T.StructField("last_name", _TEXT, False),
+                T.StructField("company", _TEXT, True),
+                T.StructField("address", _TEXT, True),
+                T.StructField("city", _TEXT, True),
+                T.StructField("state", _TEXT, True),
+                T.StructField("country", _TEXT, True),
+                T.StructField("postal_code", _TEXT, True),
+                T.StructField("phone", _TEXT, True),
+                T.StructField("fax", _TEXT, True),
+                T.StructField("email", _TEXT, False),
+                T.StructField("support_rep_id", _INT, True),
+                T.StructField("effective_start_date", _DAY, False),
+                T.StructField("effective_end_date", _DAY, True),
+                T.StructField("is_current", _FLAG, False),
+            ]
+        ),
+        ("customer_key",),
+        {
+            "first_name": 100,
+            "last_name": 100,
+            "company": 200,
+            "address": 200,
+            "city": 100,
+            "state": 100,
+            "country": 100,
+            "postal_code": 20,
+            "phone": 50,
+            "fax": 50,
+            "email": 200,
+        },
+    ),
+    Contract(
+        "dim_employee",
+        T.StructType(
+            [
+                T.StructField("employee_key", _LONG, False),
+                T.StructField("employee_id", _INT, False),
+                T.StructField("employee_name", _TEXT, False),
+                T.StructField("title", _TEXT, True),
+                T.StructField("reports_to_employee_id", _INT, True),
+                T.StructField("birth_date", _TIME, True),
+                T.StructField("hire_date", _TIME, True),
+                T.StructField("city", _TEXT, True),
+                T.StructField("country", _TEXT, True),
+                T.StructField("email", _TEXT, True),
+            ]
+        ),
+        ("employee_key",),
+        {
+            "employee_name": 200,
+            "title": 100,
+            "city": 100,
+            "country": 100,
+            "email": 200,
+        },
+    ),
+    Contract(
+        "dim_playlist",
+        T.StructType(
+            [
+                T.StructField("playlist_key", _LONG, False),
+                T.StructField("playlist_id", _INT, False),
+                T.StructField("playlist_name", _TEXT, True),
+            ]
+        ),
+        ("playlist_key",),
+        {
+            "playlist_name": 200,
+        },
+    ),
+    Contract(
+        "fact_sales",
+        T.StructType(
+            [
+                T.StructField("invoice_line_id", _LONG, False),
+                T.StructField("invoice_id", _LONG, False),
+                T.StructField("customer_key", _LONG, False),
+                T.StructField("track_key", _LONG, False),
+                T.StructField("date_key", _INT, False),
+                T.StructField("support_rep_key", _LONG, True),
+                T.StructField("quantity", _INT, False),
+                T.StructField("unit_price", T.DecimalType(10, 2), False),
+                T.StructField("line_total", T.DecimalType(10, 2), False),
+                T.StructField("billing_country", _TEXT, True),
+                T.StructField("billing_city", _TEXT, True),
+            ]
+        ),
+        ("invoice_line_id",),
+        {
+            "billing_country": 100,
+            "billing_city": 100,
+        },
+        (
+            Reference("customer_key", "dim_customer", "customer_key"),
+            Reference("track_key", "dim_track", "track_key"),
+            Reference("date_key", "dim_date", "date_key"),
+            Reference("support_rep_key", "dim_employee", "employee_key"),
+        ),
+    ),
+    Contract(
+        "fact_sales_customer_agg",
+        T.StructType(
+            [
+                T.StructField("customer_key", _LONG, False),
+                T.StructField("total_invoices", _LONG, False),
+                T.StructField("total_quantity", _LONG, False),
+                T.StructField("total_revenue", T.DecimalType(14, 2), False),
+                T.StructField("avg_line_total", T.DecimalType(14, 4), True),
+                T.StructField("last_purchase_date_key", _INT, True),
+                T.StructField("customer_id", _INT, True),
+                T.StructField("first_name", _TEXT, True),
+                T.StructField("last_name", _TEXT, True),
+                T.StructField("country", _TEXT, True),
+                T.StructField("email", _TEXT, True),
+            ]
+        ),
+        ("customer_key",),
+        {
+            "first_name": 100,
+            "last_name": 100,
+            "country": 100,
+            "email": 200,
+        },
+        (
+            Reference("customer_key", "dim_customer", "customer_key"),
+        ),
+    ),
+]
 
 
 def registry_entries() -> list[tuple[str, str]]:
-    return [tuple(line.split()) for line in REGISTRY.strip().splitlines()]
+    return list(REGISTRY)
 
 
 def rules(table: str) -> list[Rule]:
     """The rules of a table; none for an unknown one."""
-    found = []
-    for line in RULE_TABLE.strip().splitlines():
-        name, column, check, level, *bound = line.split()
-        if name == table:
-            found.append(make_rule(column, check, level, int(bound[0]) if bound else None))
-    return found
+    return make_rules(RULES.get(table, []))
 
 
 def dimensions() -> dict[str, Dimension]:
-    found = {}
-    for header, lines in _blocks(DIMENSION_TABLE):
-        name, source, key = header.split()
-        columns = dict(line.split(maxsplit=1) for line in lines)
-        found[name] = Dimension(name, source, key, columns)
-    return found
+    return {d.name: d for d in DIMENSIONS}
 
 
 def contracts() -> dict[str, Contract]:
-    found = {}
-    for name, lines in _blocks(CONTRACT_TABLE):
-        fields, key, lengths, references = [], [], {}, []
-        for line in lines:
-            column, declared, *flags = line.split()
-            text = re.fullmatch(r"varchar\((\d+)\)", declared)
-            if text:
-                lengths[column] = int(text[1])
-            data_type = T.StringType() if text else _data_type(declared)
-            fields.append(T.StructField(column, data_type, "required" not in flags))
-            if "key" in flags:
-                key.append(column)
-            if "->" in flags:
-                references.append(Reference(column, *flags[-1].split(".")))
-        found[name] = Contract(
-            name, T.StructType(fields), tuple(key), lengths, tuple(references)
-        )
-    return found
+    return {c.name: c for c in CONTRACTS}
 
 
 def customer_versions() -> Versioned:

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+# The columns of the registry.
 SCHEMA = (
     "table_name string, file_name string, active_flag string, "
     "created_date date, modified_date date"
