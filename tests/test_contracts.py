@@ -79,3 +79,35 @@ def test_gold_contracts():
     assert len(references) == 9
     for _, column, parent in references:
         assert parent in known, column
+
+
+def test_all_references_from_one_scan(spark):
+    """Keys of all columns meet their own parents only; NULL keys are allowed."""
+    df = spark.createDataFrame([(1, 7, "a"), (1, 8, "a"), (2, None, "b"), (None, 1, "c")], "x int, y bigint, z string")
+    contract = Contract(
+        "child", T.StructType([]), ("x",), {}, (Reference("x", "p", "id"), Reference("y", "q", "id")),
+    )
+    parents = {"p": spark.createDataFrame([(7,), (2,)], "id int"), "q": spark.createDataFrame([(1,), (1,)], "id int")}
+    orphans = contracts.foreign_keys(df, contract, parents)
+    assert sorted(map(tuple, orphans.select("column_name", "missing_key", "rows").collect())) == [
+        ("x", 1, 2), ("y", 7, 1), ("y", 8, 1),
+    ]
+    counted = contracts.reference_counts(df, contract, parents)
+    assert [tuple(r) for r in counted.collect()] == [("child", "x", "foreign_key", 2), ("child", "y", "foreign_key", 2)]
+    texts = Contract("child", T.StructType([]), ("x",), {}, (Reference("z", "r", "id"), Reference("x", "p", "id")))
+    parents["r"] = spark.createDataFrame([("a",), ("c",)], "id string")
+    orphans = contracts.foreign_keys(df, texts, parents)
+    assert sorted(map(tuple, orphans.select("column_name", "missing_key", "rows").collect())) == [
+        ("x", "1", 2), ("z", "b", 1),
+    ]
+
+
+def test_values_are_counted_in_one_scan(spark):
+    df = spark.createDataFrame([(1, "abcd", None), (None, None, None)], "id int, name string, price decimal(9,2)")
+    report = contracts.values(df, THINGS)
+    assert {(r["column_name"], r["check"]): r["violations"] for r in report.collect()} == {
+        ("id", "not_null"): 1, ("name", "not_null"): 1, ("name", "max_length"): 1, ("price", "type"): 0,
+    }
+    assert [tuple(r) for r in contracts.key_counts(df.unionByName(df), THINGS).collect()] == [
+        ("things", "id", "primary_key", 4)
+    ]

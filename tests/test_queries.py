@@ -62,3 +62,9 @@ def test_aggregate_is_combined_before_each_shuffle(spark, folder):
     assert "partial_sum" in text and "partial_count(distinct" in text
     # not in one plan with the invoice join, whose partitioning it would reuse
     assert "InvoiceId" not in text
+
+
+def test_references_are_checked_in_one_scan_of_the_fact(spark, folder):
+    result = entry_points.queries()["contract_fk"](spark, folder)
+    found = scans(result, "support_rep_key")
+    assert found == [{"customer_key", "track_key", "date_key", "support_rep_key"}]

@@ -98,7 +98,7 @@ def test_readiness(spark):
 def test_jdbc_options():
     """Only the options: no database is started for a test."""
     source = relational.JdbcSource(
-        "jdbc:x://host/db", "shop", {"user": "u"}, {"Invoice": "InvoiceId"}, partitions=8
+        "jdbc:x://host/db", "shop", {"user": "u"}, {"Invoice": "InvoiceId"}, range_per_task=125
     )
     assert source.options("Artist") == {
         "user": "u",
@@ -111,11 +111,18 @@ def test_jdbc_options():
     assert (split["lowerBound"], split["upperBound"]) == ("1", "1001")
     assert split["numPartitions"] == "8"
     assert source.options("Invoice", (5, 5))["numPartitions"] == "1"
+    assert source.options("Invoice", (1, 10_000_000))["numPartitions"] == "80000"
     assert source.bounds_query("Invoice") == (
         "select min(InvoiceId) as lo, max(InvoiceId) as hi from shop.Invoice"
     )
 
 
+def test_jdbc_tables_are_never_read_by_one_task_unasked(spark):
+    source = relational.JdbcSource("jdbc:x://host/db", "shop", split_on={"Invoice": "InvoiceId"})
+    with pytest.raises(ValueError, match="Artist needs a split column"):
+        source.read(spark, "Artist")
+
+
 @pytest.fixture(params=["parquet", "orc"])
 def lake(spark, tmp_path, request):
     lake = Lake(spark, str(tmp_path), request.param, gold="gold_test")

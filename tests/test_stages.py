@@ -190,6 +190,27 @@ def test_unchanged_day_keeps_the_dimensions(run):
     assert lake.read("raw_zone.pipeline_metadata_child").count() == 33
 
 
+def test_bronze_points_at_the_snapshots(run):
+    """Nothing is copied from immutable Parquet files to a Parquet table."""
+    lake, _ = run
+    newest = lake.read("raw_zone.pipeline_metadata_child").filter("table_name = 'Track'")
+    path = newest.orderBy(F.desc("execution_time")).first()["file_location"]
+    files = lake.read("bronze.track").inputFiles()
+    assert files and all(path in file for file in files)
+
+
+def test_small_new_ids_move_no_track(run):
+    lake, day = run
+    before = dict(values(lake.read("gold.dim_track"), "track_id", "track_key"))
+    tables = first_day()
+    tables["Track"] = [(0, "Zero", 1, 1, 1, None, 1, 2, Decimal("0.99")), *tables["Track"]]
+    day(dt.datetime(2024, 6, 3, 12, tzinfo=dt.timezone.utc), tables)
+    after = dict(values(lake.read("gold.dim_track"), "track_id", "track_key"))
+    assert after == {**before, 0: max(before.values()) + 1}
+    tables = first_day()  # as the tests below expect it
+    day(dt.datetime(2024, 6, 3, 13, tzinfo=dt.timezone.utc), tables)
+
+
 def test_violations_report(run):
     lake, _ = run
     report = stages.violations(lake)

@@ -6,10 +6,11 @@ that return the violations as rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,46 +59,66 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*columns)
 
 
-def _counts(df: DataFrame, contract: Contract, check: str, tests: dict) -> DataFrame:
-    """Rows failing each column's test, all from one global aggregate."""
+Test = tuple[str, str, Column]  # column, check, and the number of rows that fail it
+
+
+def _counts(df: DataFrame, contract: Contract, tests: Sequence[Test]) -> DataFrame:
+    """Violations per test, all from one global aggregate."""
     if not tests:
         return df.sparkSession.createDataFrame(
             [], "table_name string, column_name string, check string, violations bigint"
         )
-    names = list(tests)
-    counted = df.agg(*[F.count_if(tests[n]).alias(f"v{i}") for i, n in enumerate(names)])
+    counted = df.agg(*[number.alias(f"v{i}") for i, (_, _, number) in enumerate(tests)])
     lines = [
         F.struct(
             F.lit(contract.name).alias("table_name"),
-            F.lit(n).alias("column_name"),
+            F.lit(column).alias("column_name"),
             F.lit(check).alias("check"),
             F.col(f"v{i}").alias("violations"),
         )
-        for i, n in enumerate(names)
+        for i, (column, check, _) in enumerate(tests)
     ]
     return counted.select(F.inline(F.array(*lines)))
 
 
+def _nulls(contract: Contract) -> list[Test]:
+    return [(c, "not_null", F.count_if(F.col(c).isNull())) for c in contract.required]
+
+
+def _too_long(contract: Contract) -> list[Test]:
+    return [
+        (c, "max_length", F.count_if(F.length(F.col(c)) > n))
+        for c, n in contract.max_lengths.items()
+    ]
+
+
+def _misfits(df: DataFrame, contract: Contract) -> list[Test]:
+    return [
+        (f.name, "type", F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()))
+        for f in contract.schema
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType
+    ]
+
+
 def not_null(df: DataFrame, contract: Contract) -> DataFrame:
     """NULLs per required column."""
-    tests = {c: F.col(c).isNull() for c in contract.required}
-    return _counts(df, contract, "not_null", tests)
+    return _counts(df, contract, _nulls(contract))
 
 
 def max_length(df: DataFrame, contract: Contract) -> DataFrame:
     """Values longer than declared, per text column."""
-    tests = {c: F.length(F.col(c)) > n for c, n in contract.max_lengths.items()}
-    return _counts(df, contract, "max_length", tests)
+    return _counts(df, contract, _too_long(contract))
 
 
 def fits(df: DataFrame, contract: Contract) -> DataFrame:
     """Values that the contract's type cannot hold, per column of another type."""
-    tests = {
-        f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
-        for f in contract.schema
-        if f.name in df.columns and df.schema[f.name].dataType != f.dataType
-    }
-    return _counts(df, contract, "type", tests)
+    return _counts(df, contract, _misfits(df, contract))
+
+
+def values(df: DataFrame, contract: Contract) -> DataFrame:
+    """NULLs, lengths and types, all from one scan."""
+    tests = [*_nulls(contract), *_too_long(contract), *_misfits(df, contract)]
+    return _counts(df, contract, tests)
 
 
 def duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -109,6 +130,13 @@ def primary_key(df: DataFrame, contract: Contract) -> DataFrame:
     return duplicates(df, contract.primary_key)
 
 
+def key_counts(df: DataFrame, contract: Contract) -> DataFrame:
+    """The number of rows whose primary key repeats, as a line of the report."""
+    number = F.coalesce(F.sum("rows"), F.lit(0))
+    test = (contract.primary_key[0], "primary_key", number)
+    return _counts(primary_key(df, contract), contract, [test])
+
+
 def require_unique(df: DataFrame, columns: Sequence[str]) -> None:
     """Raise, naming some of the repeated keys, unless ``columns`` identify a row."""
     repeated = duplicates(df, columns).limit(5).collect()
@@ -130,3 +158,49 @@ def foreign_key(child: DataFrame, parent: DataFrame, reference: Reference) -> Da
         parent.select(reference.parent_column), reference.parent_column, "left_anti"
     )
     return orphans.select(F.col(reference.parent_column).alias("missing_key"), "rows")
+
+
+def foreign_keys(
+    child: DataFrame, contract: Contract, parents: Mapping[str, DataFrame]
+) -> DataFrame:
+    """``column_name``, ``missing_key``, ``rows``: ``foreign_key`` for all references of a table.
+
+    The child is scanned and shuffled once, whatever the number of references: the keys of
+    all columns are counted together and meet those of all parents in one join. Keys
+    are BIGINT, or text if a column of the references is no integer.
+    """
+    kinds = [child.schema[r.column].dataType for r in contract.references]
+    kinds += [parents[r.parent].schema[r.parent_column].dataType for r in contract.references]
+    kind = "bigint" if all(isinstance(k, T.IntegralType) for k in kinds) else "string"
+    keys = [
+        F.struct(F.lit(r.column).alias("column_name"), F.col(r.column).cast(kind).alias("missing_key"))
+        for r in contract.references
+    ]
+    counted = (
+        child.select(F.inline(F.array(*keys)))
+        .filter("missing_key is not null")
+        .groupBy("column_name", "missing_key")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    known = [
+        parents[r.parent].select(
+            F.lit(r.column).alias("column_name"),
+            F.col(r.parent_column).cast(kind).alias("missing_key"),
+        )
+        for r in contract.references
+    ]
+    return counted.join(
+        reduce(DataFrame.unionByName, known), ["column_name", "missing_key"], "left_anti"
+    )
+
+
+def reference_counts(
+    child: DataFrame, contract: Contract, parents: Mapping[str, DataFrame]
+) -> DataFrame:
+    """The number of rows without a parent, per reference, as lines of the report."""
+    mine = lambda r: F.when(F.col("column_name") == r.column, F.col("rows"))
+    tests = [
+        (r.column, "foreign_key", F.coalesce(F.sum(mine(r)), F.lit(0)))
+        for r in contract.references
+    ]
+    return _counts(foreign_keys(child, contract, parents), contract, tests)

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_parts
-from .keys import dense_key
+from ..session import stage
+from .keys import continue_key, dense_key
 
 
 def project(df: DataFrame, mapping: Mapping[str, str | Column]) -> DataFrame:
@@ -18,15 +19,37 @@ def project(df: DataFrame, mapping: Mapping[str, str | Column]) -> DataFrame:
     )
 
 
+def _single(df: DataFrame, column: str, *values: Column) -> DataFrame:
+    """The values of a column that just one row has, with other values of that row."""
+    counted = df.groupBy(column).agg(F.count(F.lit(1)).alias("_rows"), *values)
+    return counted.filter("_rows = 1").drop("_rows")
+
+
 def build(
-    df: DataFrame, mapping: Mapping[str, str | Column], natural_key: str, key: str
+    df: DataFrame,
+    mapping: Mapping[str, str | Column],
+    natural_key: str,
+    key: str,
+    present: DataFrame | None = None,
 ) -> DataFrame:
     """Project a source table and number its rows by natural key.
 
-    The key depends on the data alone, so an unchanged table keeps its keys.
+    The key depends on the data alone. With ``present``, the dimension as it is, known
+    ids keep their keys and only new ones are numbered, after its highest key, so that
+    a new id moves no other. A row whose id is NULL, or repeats on either side, cannot be
+    told from others and is numbered anew.
     """
-    numbered = dense_key(project(df, mapping), key, natural_key)
-    return numbered.select(key, *mapping)
+    rows = project(df, mapping)
+    if present is None:
+        return dense_key(rows, key, natural_key).select(key, *mapping)
+    known = _single(present, natural_key, F.max(key).alias(key)).join(
+        _single(rows, natural_key), natural_key
+    )
+    rows = stage(rows.join(known, natural_key, "left").select(key, *mapping), "matched")
+    kept = rows.filter(F.col(key).isNotNull())
+    new = rows.filter(F.col(key).isNull()).drop(key)
+    numbered = continue_key(new, present, key, natural_key)
+    return kept.unionByName(numbered.select(key, *mapping))
 
 
 def date_dimension(df: DataFrame, moment: str) -> DataFrame:

@@ -83,6 +83,12 @@ select o_orderkey as InvoiceId
             as decimal(12,2)) as Total
   from orders join customer on o_custkey = c_custkey
   join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
+    "role_invoice_text": """
+select InvoiceId
+     , case when InvoiceId % 97 = 0 then concat('day ', InvoiceId)
+            when InvoiceId % 89 = 0 then '2024-13-45 00:00:00'
+            else strftime(InvoiceDate, '%Y-%m-%d %H:%M:%S') end as InvoiceDate
+  from role_invoice""",
     "role_invoiceline": """
 select ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey
          as InvoiceLineId
@@ -177,6 +183,30 @@ union all select * from opened_changed
 union all select * from opened_new""",
     "current_day2": """
 select * from versions_day2 where is_current""",
+    "changed_day3": """
+select n.* from silver_all n join current_day2 o on n.customer_id = o.customer_id
+ where (n.first_name, n.last_name, n.company, n.address, n.city, n.state
+       , n.country, n.postal_code, n.phone, n.fax, n.email, n.support_rep_id)
+   is distinct from (o.first_name, o.last_name, o.company, o.address, o.city, o.state
+       , o.country, o.postal_code, o.phone, o.fax, o.email, o.support_rep_id)""",
+    "new_day3": """
+select * from silver_all where customer_id not in (select customer_id from versions_day2)""",
+    "opened_day3": """
+select (select max(customer_key) from versions_day2)
+         + row_number() over (order by is_new, customer_id) as customer_key, * exclude (is_new)
+     , date '2024-03-15' as effective_start_date, cast(null as date) as effective_end_date
+     , true as is_current
+  from (select *, 0 as is_new from changed_day3 union all select *, 1 from new_day3) n""",
+    "versions_day3": """
+select * from versions_day2
+ where not is_current or customer_id not in (select customer_id from changed_day3)
+union all
+select * replace (date '2024-03-15' as effective_end_date, false as is_current)
+  from current_day2 where customer_id in (select customer_id from changed_day3)
+union all select * from opened_day3""",
+    "gold_track_first": """
+select row_number() over (order by TrackId) as track_key, TrackId as track_id
+  from role_track where TrackId is not null and Name is not null and Composer is not null""",
     "gold_artist": """
 select row_number() over (order by ArtistId) as artist_key, ArtistId as artist_id
      , trim(Name) as artist_name from role_artist""",
@@ -293,6 +323,13 @@ def _lengths(table: str, view: str, columns: str) -> list[str]:
     return _violations(table, view, "max_length", {c: f"length({c}) > {n}" for c, n in pairs})
 
 
+def _repeated(table: str, view: str, key: str) -> str:
+    return (
+        f"select '{table}' as table_name, cast({key} as bigint) as key, count(*) as rows"
+        f" from {view} group by {key} having count(*) > 1"
+    )
+
+
 def _orphans(table: str, view: str, column: str, parent: str, parent_column: str) -> str:
     return (
         f"select '{table}' as table_name, '{column}' as column_name"
@@ -424,6 +461,15 @@ select * replace (coalesce(Company, 'Individual') as Company, coalesce(Fax, 'N/A
     "clean_timestamp": """
 select EmployeeId, cast(BirthDate as timestamp) as BirthDate
      , cast(HireDate as timestamp) as HireDate from role_employee""",
+    "clean_timestamp_text": """
+select InvoiceId, try_cast(InvoiceDate as timestamp) as InvoiceDate
+     , case when InvoiceDate is not null and try_cast(InvoiceDate as timestamp) is null
+            then '["InvoiceDate:is_timestamp"]' else '[]' end as _dq_errors
+  from role_invoice_text""",
+    "clean_timestamp_strict": """
+select InvoiceId, cast(try_cast(InvoiceDate as timestamp) as timestamp) as InvoiceDate
+  from role_invoice_text
+ where InvoiceDate is null or try_cast(InvoiceDate as timestamp) is not null""",
     "silver_customer": """
 select * replace (lower(trim(Email)) as Email, coalesce(Company, 'Individual') as Company
      , coalesce(Fax, 'N/A') as Fax) from role_customer where CustomerId is not null""",
@@ -432,6 +478,11 @@ select * replace (lower(trim(Email)) as Email, coalesce(Company, 'Individual') a
     "dim_mediatype": "select * from gold_mediatype",
     "dim_album": "select * from gold_album",
     "dim_track": "select * from gold_track",
+    "dim_track_second_run": """
+select t.* replace (coalesce(f.track_key, (select max(track_key) from gold_track_first)
+         + row_number() over (partition by f.track_key is null order by t.track_id))
+         as track_key)
+  from gold_track t left join gold_track_first f on t.track_id = f.track_id""",
     "dim_employee": "select * from gold_employee",
     "dim_playlist": "select * from gold_playlist",
     "dim_date": "select * from gold_date",
@@ -449,6 +500,7 @@ select distinct n.customer_id
     "scd2_new_versions": "select * from opened_changed",
     "scd2_inserts": "select * from opened_new",
     "scd2_merge": "select * from versions_day2",
+    "scd2_merge_again": "select * from versions_day3",
     "scd2_missing_kept": """
 select * from current_day2
  where customer_id not in (select customer_id from silver_day2)""",
@@ -514,6 +566,16 @@ select InvoiceId, CustomerId is null as is_anonymous
 select * replace (cast(line_total as decimal(10,2)) as line_total) from gold_fact""",
     "contract_not_null": _union(
         _nulls(
+            "dim_date",
+            "gold_date",
+            "date_key full_date year quarter month month_name day_of_month day_of_week day_name"
+            " is_weekend",
+        )
+        + _nulls("dim_artist", "gold_artist", "artist_key artist_id")
+        + _nulls("dim_album", "gold_album", "album_key album_id album_title artist_id")
+        + _nulls("dim_genre", "gold_genre", "genre_key genre_id")
+        + _nulls("dim_mediatype", "gold_mediatype", "media_type_key media_type_id")
+        + _nulls(
             "dim_track", "gold_track", "track_key track_id track_name media_type_id unit_price"
         )
         + _nulls(
@@ -522,15 +584,27 @@ select * replace (cast(line_total as decimal(10,2)) as line_total) from gold_fac
             "customer_key customer_id first_name last_name email effective_start_date"
             " is_current",
         )
+        + _nulls("dim_employee", "gold_employee", "employee_key employee_id employee_name")
+        + _nulls("dim_playlist", "gold_playlist", "playlist_key playlist_id")
         + _nulls(
             "fact_sales",
             "gold_fact",
             "invoice_line_id invoice_id customer_key track_key date_key quantity unit_price"
             " line_total",
         )
+        + _nulls(
+            "fact_sales_customer_agg",
+            "gold_fact_by_customer",
+            "customer_key total_invoices total_quantity total_revenue",
+        )
     ),
     "contract_length": _union(
-        _lengths("dim_track", "gold_track", "track_name:300 composer:300")
+        _lengths("dim_date", "gold_date", "month_name:20 day_name:20")
+        + _lengths("dim_artist", "gold_artist", "artist_name:200")
+        + _lengths("dim_album", "gold_album", "album_title:300")
+        + _lengths("dim_genre", "gold_genre", "genre_name:120")
+        + _lengths("dim_mediatype", "gold_mediatype", "media_type_name:120")
+        + _lengths("dim_track", "gold_track", "track_name:300 composer:300")
         + _lengths(
             "dim_customer",
             "versions_day2",
@@ -542,13 +616,30 @@ select * replace (cast(line_total as decimal(10,2)) as line_total) from gold_fac
             "gold_employee",
             "employee_name:200 title:100 city:100 country:100 email:200",
         )
+        + _lengths("dim_playlist", "gold_playlist", "playlist_name:200")
+        + _lengths("fact_sales", "gold_fact", "billing_country:100 billing_city:100")
+        + _lengths(
+            "fact_sales_customer_agg",
+            "gold_fact_by_customer",
+            "first_name:100 last_name:100 country:100 email:200",
+        )
+    ),
+    "contract_pk": _union(
+        [
+            _repeated("dim_date", "gold_date", "date_key"),
+            _repeated("dim_artist", "gold_artist", "artist_key"),
+            _repeated("dim_album", "gold_album", "album_key"),
+            _repeated("dim_genre", "gold_genre", "genre_key"),
+            _repeated("dim_mediatype", "gold_mediatype", "media_type_key"),
+            _repeated("dim_track", "gold_track", "track_key"),
+            _repeated("dim_customer", "versions_day2", "customer_key"),
+            _repeated("dim_employee", "gold_employee", "employee_key"),
+            _repeated("dim_playlist", "gold_playlist", "playlist_key"),
+            _repeated("fact_sales", "gold_fact", "invoice_line_id"),
+            _repeated("fact_sales_customer_agg", "gold_fact_by_customer", "customer_key"),
+            _repeated("invoiceline", "role_invoiceline", "TrackId"),
+        ]
     ),
-    "contract_pk": """
-select 'fact_sales' as table_name, invoice_line_id as key, count(*) as rows
-  from gold_fact group by invoice_line_id having count(*) > 1
-union all
-select 'invoiceline', cast(TrackId as bigint), count(*)
-  from role_invoiceline group by TrackId having count(*) > 1""",
     "contract_fk": _union(
         [
             _orphans("dim_album", "gold_album", "artist_id", "gold_artist", "artist_id"),

@@ -199,6 +199,15 @@ class Roles:
             total.cast("decimal(12,2)").alias("Total"),
         )
 
+    def invoice_text(self) -> DataFrame:
+        """Invoices with their date as text, of which some is no date."""
+        text = (
+            F.when(_every("InvoiceId", 97), F.concat(F.lit("day "), "InvoiceId"))
+            .when(_every("InvoiceId", 89), F.lit("2024-13-45 00:00:00"))
+            .otherwise(F.date_format("InvoiceDate", "yyyy-MM-dd HH:mm:ss"))
+        )
+        return self.invoice().select("InvoiceId", text.alias("InvoiceDate"))
+
     def invoiceline(self) -> DataFrame:
         line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
         none_sold = (F.col("l_orderkey") + F.col("l_partkey")) % 41 == 0

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, contracts, dimensions, facts, profiling, quality, scd2
+from ..session import qualified
 from ..sources import registry, relational, runlog, snapshots
 from ..sources.tables import Image, Lake
 from . import settings
@@ -128,14 +129,21 @@ def load_raw(
 
 
 def promote(lake: Lake, active_only: bool = True, threads: int = 4) -> dict[str, int]:
-    """Replace each Bronze table by its newest good snapshot; returns row counts."""
+    """Replace each Bronze table by its newest good snapshot; returns row counts.
+
+    Snapshots are immutable Parquet files, so a table of such files points at them
+    and nothing is copied; for other formats the rows are written again.
+    """
     active = registry.active(lake.read(f"{lake.raw}.{REGISTRY_TABLE}")) if active_only else None
     newest = runlog.latest_success(lake.read(f"{lake.raw}.{RUN_TABLE}"), active).collect()
 
     def copy(row) -> tuple[str, int]:
         table = row["table_name"].lower()
         df = snapshots.read(lake.spark, row["file_location"])
-        return table, lake.replace(df, f"{lake.bronze}.{table}")
+        name = f"{lake.bronze}.{table}"
+        if lake.table_format != snapshots.FORMAT:
+            return table, lake.replace(df, name)
+        return table, lake.swap(Image(df, qualified(lake.spark, row["file_location"]), df.count()), name)
 
     return dict(_each(copy, newest, threads))
 
@@ -258,7 +266,8 @@ def publish(
     """Build the Gold tables from Silver; returns row counts.
 
     Every table is written whole as an image, and the images are swapped in when all
-    are there, so a failure leaves all Gold tables as they were. The fact books on
+    are there, so a failure leaves all Gold tables as they were. Known ids keep the keys
+    they have in the present dimensions. The fact books on
     the current customer versions; its aggregate reads the written fact. The types
     are those that Spark derives, which are wide enough for any total; ``violations``
     counts what does not fit its contract. With ``conform`` the types are those of the
@@ -280,8 +289,9 @@ def publish(
         images[name] = lake.image(df, f"{lake.gold}.{name}")
 
     def dimension(d: settings.Dimension) -> None:
-        df = dimensions.build(silver(d.source), d.mapping, d.natural_key, d.key)
-        put(d.name, df)
+        name = f"{lake.gold}.{d.name}"
+        present = lake.read(name) if lake.exists(name) else None
+        put(d.name, dimensions.build(silver(d.source), d.mapping, d.natural_key, d.key, present))
 
     def dates(_) -> None:
         put("dim_date", dimensions.date_dimension(silver("invoice"), "InvoiceDate"))
@@ -320,24 +330,11 @@ def violations(lake: Lake) -> DataFrame:
     parts = []
     for name, contract in settings.contracts().items():
         df = lake.read(f"{lake.gold}.{name}")
-        parts.append(contracts.not_null(df, contract))
-        parts.append(contracts.fits(df, contract))
-        if contract.max_lengths:
-            parts.append(contracts.max_length(df, contract))
-        broken = [(contract.primary_key[0], "primary_key", contracts.primary_key(df, contract))]
-        for reference in contract.references:
-            parent = lake.read(f"{lake.gold}.{reference.parent}")
-            orphans = contracts.foreign_key(df, parent, reference)
-            broken.append((reference.column, "foreign_key", orphans))
-        for column, check, rows in broken:
-            parts.append(
-                rows.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")).select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(column).alias("column_name"),
-                    F.lit(check).alias("check"),
-                    "violations",
-                )
-            )
+        parts.append(contracts.values(df, contract))
+        parts.append(contracts.key_counts(df, contract))
+        if contract.references:
+            parents = {r.parent: lake.read(f"{lake.gold}.{r.parent}") for r in contract.references}
+            parts.append(contracts.reference_counts(df, contract, parents))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -21,6 +21,7 @@ def local_session(cores: str = "*", app: str = "tributary", **conf: str) -> Spar
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "4")  # no sort before a split write
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
@@ -50,6 +51,13 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
+def qualified(spark: SparkSession, name: str) -> str:
+    """A path with its scheme, so that it means the same wherever it is used."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.makeQualified(path).toString()
+
+
 def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Write ``df`` once to the shared folder; returns it read back, and its rows.
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+import math
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -27,15 +28,20 @@ class CatalogSource:
 class JdbcSource:
     """Tables of a database.
 
-    A table named in ``split_on`` is read by ``partitions`` tasks, each with an
-    even range of that integer column; other tables are read by a single task.
+    A table named in ``split_on`` is read in even ranges of that integer column, each of
+    ``range_per_task`` values, so that the number of tasks follows the table; one in
+    ``predicates`` by a task for each of the conditions, which must cut it into disjoint parts
+    that cover it. Tables in ``whole`` are read by a single task. Any other table raises:
+    how it is to be read is for the user to say.
     """
 
     url: str
     schema: str
     properties: Mapping[str, str] = field(default_factory=dict)
     split_on: Mapping[str, str] = field(default_factory=dict)
-    partitions: int = 32
+    predicates: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    whole: Collection[str] = ()
+    range_per_task: int = 1_000_000
     fetch_size: int = 10_000
 
     def options(self, table: str, bounds: tuple[int, int] | None = None) -> dict[str, str]:
@@ -50,7 +56,7 @@ class JdbcSource:
                 "partitionColumn": self.split_on[table],
                 "lowerBound": str(bounds[0]),
                 "upperBound": str(bounds[1] + 1),
-                "numPartitions": str(max(1, min(self.partitions, bounds[1] - bounds[0] + 1))),
+                "numPartitions": str(math.ceil((bounds[1] - bounds[0] + 1) / self.range_per_task)),
             }
         return options
 
@@ -60,6 +66,13 @@ class JdbcSource:
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         bounds = None
+        if table in self.predicates:
+            options = self.options(table)
+            name, url = options.pop("dbtable"), options.pop("url")
+            parts = list(self.predicates[table])
+            return spark.read.jdbc(url, name, predicates=parts, properties=options)
+        if table not in self.split_on and table not in self.whole:
+            raise ValueError(f"{table} needs a split column or predicates, or to be read whole")
         if table in self.split_on:
             options = self.options(table)
             options["query"] = self.bounds_query(table)

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+FORMAT = "parquet"
+
+
 class CountMismatch(ValueError):
     """A snapshot does not hold the rows that were read from its source."""
 
