@@ -270,25 +270,29 @@ def clean(
         for entries in parts:
             docs = _cleaned(docs, text, entries, mode)
         return docs
-    joined = docs.withColumn("_digest", _digest(text)).join(
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")  # names can't clash
+    joined = docs.select(whole, _digest(text).alias("_digest")).join(
         _merged(docs, text, parts), "_digest", "left"
     )
+    body = F.col(f"_doc.`{text}`")
     cut = F.aggregate(  # from the last run, so that earlier positions still hold
         F.reverse("_spans"),
-        F.col(text),
+        body,
         lambda t, s: F.concat(F.substr(t, F.lit(1), s[0]), F.substr(t, s[1] + 1)),
     )
     return joined.select(
-        *(F.coalesce(cut, c).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns)
+        *((F.coalesce(cut, body) if c == text else F.col(f"_doc.`{c}`")).alias(c) for c in docs.columns)
     )
 
 
 def _cleaned(docs: DataFrame, text: str, entries: dict, mode: str) -> DataFrame:
-    place, shared = docs.columns.index(text), docs.sparkSession.sparkContext.broadcast(entries)
+    place, names = docs.columns.index(text), docs.columns
+    shared = docs.sparkSession.sparkContext.broadcast(entries)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = _Set(shared.value)
         for batch in batches:
+            batch = pa.RecordBatch.from_arrays(batch.columns, names)
             texts, hit_rows = batch.column(place), {}
             for chunk in rolling.chunks(texts):
                 own, hit, _ = _hits(chunk, wanted)
@@ -306,7 +310,7 @@ def _cleaned(docs: DataFrame, text: str, entries: dict, mode: str) -> DataFrame:
                 made = pa.array(values, texts.type)
                 yield batch.set_column(place, batch.schema.field(place), made)
 
-    return docs.mapInArrow(work, docs.schema)
+    return rolling.by_place(docs).mapInArrow(work, docs.schema)
 
 
 def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -371,6 +371,7 @@ def link(
     key: str = "doc_id",
     matches: int = MATCHES,
     block_shingles: int = BLOCK_SHINGLES,
+    row: str | None = None,
 ) -> DataFrame:
     """Per document: ``key``, ``n_shingles``, ``component_id``, ``kept``, and ``_row``.
 
@@ -379,16 +380,16 @@ def link(
     is one shingle. ``component_id`` is the smallest key reachable. NULL and empty texts
     have no shingles and are linked with nothing. Repeated rows are documents of their
     own; a component whose keys are all NULL has a NULL id and keeps its documents.
-    Columns besides key and text are not read. ``_row`` is the column of that name if
-    there is one, else made here.
+    ``_row`` identifies a row: the column named by ``row``, else one made here. Columns
+    besides these are not read, whatever their names.
     """
     named = docs.select(
         F.col(f"`{key}`").alias("_key"),
         F.col(f"`{text}`").alias("_text"),
-        *([F.col("_row")] if "_row" in docs.columns else []),
+        *([F.col(f"`{row}`").alias("_row")] if row else []),
     )
     signed = _signed(named, "_text", [c for c in named.columns if c != "_text"], words)
-    if "_row" not in docs.columns:
+    if not row:
         signed = signed.withColumn("_row", F.monotonically_increasing_id())
     signed = stage(signed, "signatures")
     reps = stage(
@@ -431,7 +432,7 @@ def dedup(
     named = rows.select(
         F.col(f"_doc.`{key}`").alias("_id"), F.col(f"_doc.`{text}`").alias("_body"), "_row"
     )
-    linked = link(named, words, percent, "_body", "_id").select("_id", "_root", "_row")
+    linked = link(named, words, percent, "_body", "_id", row="_row").select("_id", "_root", "_row")
     linked = stage(linked, "linked")  # so that minima are combined before they are shuffled
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
     first = linked.groupBy("_root").agg(F.min(order)["_row"].alias("_row"))

@@ -128,12 +128,13 @@ def measure(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
 
 
 def keep(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that pass, with all their columns as they are."""
-    place = docs.columns.index(text)
+    """The documents that pass, with all their columns as they are, whatever their names."""
+    place, names = docs.columns.index(text), docs.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield batch.filter(pa.array(_batch(batch.column(place))["kept"]))
+                kept = batch.filter(pa.array(_batch(batch.column(place))["kept"]))
+                yield pa.RecordBatch.from_arrays(kept.columns, names)
 
-    return docs.mapInArrow(work, docs.schema)
+    return rolling.by_place(docs).mapInArrow(work, docs.schema)

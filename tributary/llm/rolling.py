@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 CHUNK = 1 << 20  # bytes handled at once
 
@@ -24,6 +25,11 @@ _BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers: dict[str, np.ndarray] = {}
 
 
+def by_place(docs: DataFrame) -> DataFrame:
+    """The columns under plain names, as ``mapInArrow`` can't take names with dots."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+
+
 def _power(base: np.uint64, size: int) -> np.ndarray:
     """1, base, base**2 ... modulo 2**64; kept for the next chunk while small."""
     known = _powers.get(str(base))
