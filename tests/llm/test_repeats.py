@@ -65,5 +65,19 @@ def test_repeated_keys(spark):
     ]
 
 
+def test_texts_of_a_repeated_key_whose_short_hashes_collide(spark):
+    digest = lambda i, j: hashlib.sha256(f"{i}-{j}".encode()).hexdigest()
+    one, two = ("".join(digest(i, j) for j in range(3)) for i in (28533, 106133))
+    for key in (7, None):
+        texts = [(key, one), (key, two), (key, two), (8, two + "!"), (9, "?" + one)]
+        docs = spark.createDataFrame(texts, "doc_id long, text string")
+        short = docs.filter("doc_id is null or doc_id = 7").selectExpr("shiftrightunsigned(xxhash64(text), 33) as h")
+        assert short.distinct().count() == 1
+        rows = repeats.remove(docs).collect()
+        assert sorted((r.doc_id or 0, r.n_removed, r.n_spans, bytes(r.kept).decode()) for r in rows) == sorted(
+            [(key or 0, 0, 0, t) for t in (one, two, two)] + [(8, 192, 1, "!"), (9, 192, 1, "?")]
+        )
+
+
 def test_empty_table(spark):
     assert repeats.remove(spark.createDataFrame([], "doc_id long, text string")).count() == 0

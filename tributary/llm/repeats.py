@@ -37,6 +37,7 @@ LENGTH = 100  # bytes of a string that must not occur again
 TRIGGER = 32  # bytes of the string that ends a phrase
 HOT = 20_000  # different surroundings of a trigger that one task sorts
 BUCKET = 30_000  # entries of one task
+TAG = 16  # bytes of a digest by which texts of one key are told apart
 SLOTS = 1 << 22  # of the filter for texts that are looked at again
 
 
@@ -83,21 +84,20 @@ def triggers(chunk: rolling.Chunk, length: int, width: int) -> tuple[np.ndarray,
 
 
 def _find(docs: DataFrame, length: int, width: int) -> DataFrame:
-    """``_key``, ``_at``, ``_anchor``, ``_around`` of every trigger of ``_key``, ``_tag``, ``_text``.
+    """``_key``, ``_tag``, ``_at``, ``_anchor``, ``_around`` of every trigger of ``_key``, ``_tag``, ``_text``.
 
-    ``_at`` is the tag above 32 bits of position: it orders the triggers of a key. Surroundings
-    that repeat inside a batch are combined before the shuffle: the first goes on for
-    all, the others are ``_copy`` already and get an anchor of their own, by which they spread.
+    ``_at`` is the position in the text. Surroundings that repeat inside a batch are combined
+    before the shuffle: the first goes on for all, the others are ``_copy`` already and
+    get an anchor of their own, by which they spread.
     """
     schema = T.StructType(
-        [docs.schema["_key"]]
+        [docs.schema["_key"], docs.schema["_tag"]]
         + [T.StructField(c, T.LongType()) for c in ("_at", "_anchor", "_around")]
         + [T.StructField("_copy", T.BooleanType())]
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tags = batch.column(1).to_numpy()
             parts = [(row + chunk.first, *rest) for chunk in rolling.chunks(batch.column(2))
                      for row, *rest in [triggers(chunk, length, width)]]
             if not parts:
@@ -113,11 +113,10 @@ def _find(docs: DataFrame, length: int, width: int) -> DataFrame:
             row, at, anchor, around = (x[order] for x in (row, at, anchor, around))
             copy = np.ones(len(row), bool)
             copy[np.unique(around, return_index=True)[1]] = False
-            place = (tags[row] << 32) + at
             own = rolling.mix(rolling.mix(rank[row].astype(np.uint64)) + around + at.astype(np.uint64))
             anchor = np.where(copy, own, anchor)
-            columns = [batch.column(0).take(pa.array(row)), pa.array(place)]
-            columns += [pa.array(x.view(np.int64)) for x in (anchor, around)]
+            columns = [batch.column(i).take(pa.array(row)) for i in range(2)]
+            columns += [pa.array(x.view(np.int64)) for x in (at, anchor, around)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(copy)], schema.names)
 
     return docs.select("_key", "_tag", "_text").mapInArrow(work, schema)
@@ -167,13 +166,14 @@ def _unpack(packed: pa.Scalar, size: int) -> bytes:
 
 
 def _entries(found: DataFrame, length: int, width: int) -> DataFrame:
-    """The dictionary: anchor, whether it is hot, key, place, bytes on the left, surroundings."""
+    """The dictionary: anchor, whether it is hot, key, tag, place, bytes on the left, surroundings."""
     key = found.schema["_key"]
     schema = T.StructType(
         [
             T.StructField("_anchor", T.LongType()),
             T.StructField("_hot", T.BooleanType()),
             key,
+            found.schema["_tag"],
             T.StructField("_at", T.LongType()),
             T.StructField("_left", T.IntegerType()),
             T.StructField("_bytes", T.BinaryType()),
@@ -196,12 +196,13 @@ def _entries(found: DataFrame, length: int, width: int) -> DataFrame:
                     lefts.append(left)
                     first += 1
                 merged = pa.concat_arrays(lists)
-                tags = batch.column(1).to_numpy()[row]
+                own = pa.array(row, pa.int64())
                 columns = [
                     merged.field("anchor"),
                     merged.field("hot"),
-                    batch.column(0).take(pa.array(row, pa.int64())),
-                    pa.array((tags << 32) + merged.field("at").to_numpy()),
+                    batch.column(0).take(own),
+                    batch.column(1).take(own),
+                    merged.field("at").cast(pa.int64()),
                     pa.array(np.concatenate(lefts).astype(np.int32)),
                     pa.array(parts, pa.binary()),
                 ]
@@ -255,13 +256,13 @@ def shared_strings(
 
 
 def _sorted_out(entries: DataFrame, count: int, length: int, width: int) -> DataFrame:
-    """``_key``, ``_at``, ``_begin``, ``_end``: strings of entries that an earlier one has."""
-    key = entries.schema["_key"]
-    schema = T.StructType([key] + [T.StructField(c, T.LongType()) for c in ("_at", "_begin", "_end")])
+    """``_key``, ``_tag``, ``_begin``, ``_end``: strings of entries that an earlier one has."""
+    names = [entries.schema["_key"], entries.schema["_tag"]]
+    schema = T.StructType(names + [T.StructField(c, T.LongType()) for c in ("_begin", "_end")])
     buckets = max(1, math.ceil(count / BUCKET))
 
     def work(group: pa.Table) -> pa.Table:
-        keys = [("_key", "ascending"), ("_at", "ascending")]
+        keys = [(c, "ascending") for c in ("_key", "_tag", "_at")]
         group = group.take(pc.sort_indices(group, sort_keys=keys, null_placement="at_start"))
         group = group.combine_chunks()
         at = group["_at"].to_numpy()
@@ -276,9 +277,8 @@ def _sorted_out(entries: DataFrame, count: int, length: int, width: int) -> Data
         change = np.diff(np.concatenate((edge, again, edge), axis=1).astype(np.int8), axis=1)
         row, low = np.nonzero(change == 1)
         _, high = np.nonzero(change == -1)  # one behind the largest a of the run
-        place = at[row] & 0xFFFFFFFF
-        columns = [group["_key"].take(pa.array(row)), pa.array(at[row])]
-        columns += [pa.array(place - high + 1), pa.array(place - low + length)]
+        columns = [group[c].take(pa.array(row)) for c in ("_key", "_tag")]
+        columns += [pa.array(at[row] - high + 1), pa.array(at[row] - low + length)]
         return pa.table(columns, names=schema.names)
 
     bucket = F.pmod("_anchor", F.lit(buckets)).alias("_bucket")
@@ -289,21 +289,22 @@ def _sorted_out(entries: DataFrame, count: int, length: int, width: int) -> Data
 def _dealt_out(entries: DataFrame, length: int, width: int) -> DataFrame:
     """As ``_sorted_out`` for hot triggers: every string by its digest, first ones by a minimum."""
     places = F.sequence(F.lit(0), F.least(F.col("_left"), F.lit(length - width)))
-    each = entries.filter("_hot").select("_key", "_at", "_left", "_bytes", F.explode(places).alias("_a"))
+    place = ["_key", "_tag", "_at"]
+    each = entries.filter("_hot").select(*place, "_left", "_bytes", F.explode(places).alias("_a"))
     string = F.substring("_bytes", F.col("_left") - F.col("_a") + 1, length)
-    each = each.select("_key", "_at", "_a", string.alias("_s")).filter(F.octet_length("_s") == length)
-    each = each.select("_key", "_at", "_a", F.sha2("_s", 256).alias("_s"))
-    order = F.struct("_key", "_at")
+    each = each.select(*place, "_a", string.alias("_s")).filter(F.octet_length("_s") == length)
+    each = each.select(*place, "_a", F.sha2("_s", 256).alias("_s"))
+    order = F.struct(*place)
     first = stage(each.groupBy("_s", "_a").agg(F.min(order).alias("_first")), "strings")
     late = each.join(first, ["_s", "_a"]).filter(order > F.col("_first"))
-    begin = F.col("_at").bitwiseAND(F.lit(0xFFFFFFFF)) - F.col("_a")
-    return late.select("_key", "_at", begin.alias("_begin"), (begin + length).alias("_end"))
+    begin = F.col("_at") - F.col("_a")
+    return late.select("_key", "_tag", begin.alias("_begin"), (begin + length).alias("_end"))
 
 
 def _parsed(docs: DataFrame, length: int, width: int, hot: int) -> DataFrame:
     """Per document with repeats: positions of copied triggers, and entries to compare."""
     same = Window.partitionBy("_anchor")
-    ordered = same.orderBy("_around", "_key", "_at")
+    ordered = same.orderBy("_around", "_key", "_tag", "_at")
     previous = F.lag("_around").over(ordered)
     first = ~F.col("_copy") & F.coalesce(previous != F.col("_around"), F.lit(True))
     seen = (
@@ -312,11 +313,11 @@ def _parsed(docs: DataFrame, length: int, width: int, hot: int) -> DataFrame:
         .withColumn("_kinds", F.count_if("_new").over(same))
         .filter("not _new or _kinds > 1")
     )
-    at = F.col("_at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    at = F.col("_at").cast("int")
     entry = F.struct(
         F.col("_anchor").alias("anchor"), at.alias("at"), (F.col("_kinds") > hot).alias("hot")
     )
-    return seen.groupBy("_key", F.shiftright("_at", 32).alias("_tag")).agg(
+    return seen.groupBy("_key", "_tag").agg(
         F.collect_list(F.when(~F.col("_new"), at)).alias("_copies"),
         F.collect_list(F.when(F.col("_new"), entry)).alias("_entries"),
     )
@@ -352,9 +353,10 @@ def remove(
     """
     named = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"))
     repeats = named.groupBy("_key").count().filter("count > 1")
-    tag = F.lit(0) if repeats.isEmpty() else F.shiftrightunsigned(F.xxhash64("_text"), 33)
-    named = named.withColumn("_tag", tag.cast("long"))
-    unique = named if repeats.isEmpty() else named.dropDuplicates(["_key", "_tag"])
+    repeated = not repeats.isEmpty()
+    tag = F.substring(F.unhex(F.sha2(F.coalesce("_text", F.lit("")), 256)), 1, TAG)
+    named = named.withColumn("_tag", tag if repeated else F.lit("").cast("binary"))
+    unique = named.dropDuplicates(["_key", "_tag"]) if repeated else named
     parsed = stage(_parsed(unique, length, width, hot), "parsed")
 
     with_entries = parsed.filter(F.size("_entries") > 0).select("_key", "_tag", "_entries")
@@ -363,7 +365,7 @@ def remove(
     found = _sorted_out(entries, count, length, width)
     if not entries.filter("_hot").isEmpty():
         found = found.unionByName(_dealt_out(entries, length, width))
-    spans = found.groupBy("_key", F.shiftright("_at", 32).alias("_tag")).agg(
+    spans = found.groupBy("_key", "_tag").agg(
         F.collect_list(F.struct("_begin", "_end")).alias("_spans")
     )
     copies = parsed.filter(F.size("_copies") > 0).select("_key", "_tag", "_copies")
