@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark import Broadcast
 
 from tributary.llm import decontamination
 
@@ -75,6 +76,31 @@ def test_find_and_clean(spark, block):
     assert sorted(((r.doc_id, r.text) for r in by_docs), key=str) == sorted(clean, key=str)
 
 
+def test_one_block_at_a_time(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"x a{i} b c{i}") for i in range(6)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, f"a{i} b") for i in range(0, 60, 2)], "item_id long, text string")
+    alive, most = set(), []
+    context, kind = type(spark.sparkContext), Broadcast
+
+    def broadcast(self, value, plain=context.broadcast):
+        made = plain(self, value)
+        alive.add(id(made))
+        most.append(len(alive))
+        return made
+
+    def destroy(self, blocking=False, plain=kind.destroy):
+        alive.discard(id(self))
+        plain(self, blocking)
+
+    monkeypatch.setattr(context, "broadcast", broadcast)
+    monkeypatch.setattr(kind, "destroy", destroy)
+    found = decontamination.find(docs, bench, window=2, block=8).filter("n_hit > 0").collect()
+    assert sorted(r.doc_id for r in found) == [0, 2, 4]
+    left = decontamination.clean(docs, bench, window=2, block=8).collect()
+    assert sorted(r.doc_id for r in left) == [1, 3, 5]
+    assert len(most) == 8 and max(most) == 1
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a")], "item_id long, text string")

@@ -2,23 +2,25 @@
 
 The n-grams of the benchmark are normalised, hashed and broadcast in blocks of
 at most about ``BLOCK`` entries, so that the size of a broadcast is bounded
-whatever the benchmark's size: a larger one takes several passes over the texts,
-whose hits are merged by document. A window of a text whose hash is in the set
-is confirmed by its words.
+whatever the benchmark's size: a larger one takes several passes over the texts, one
+block at a time, each of which writes its hits and gives its broadcast back before the
+next is collected. The hits are merged by document. A window of a text whose hash is
+in the set is confirmed by its words.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stage
 from . import rolling
 
 WINDOW = 10  # words
@@ -114,9 +116,8 @@ def _spans(chunk: rolling.Chunk, words: rolling.Words, hit: np.ndarray) -> dict[
 _SPANS = T.ArrayType(T.ArrayType(T.LongType()))
 
 
-def _scan(docs: DataFrame, text: str, entries, keep: list[str]) -> DataFrame:
+def _scan(docs: DataFrame, text: str, block: Broadcast, keep: list[str]) -> DataFrame:
     """``keep`` columns, ``n_words``, ``n_hit``, ``spans`` and ``items`` of every row."""
-    block = docs.sparkSession.sparkContext.broadcast(entries)
     made = {"_words": T.LongType(), "_hit": T.LongType(), "_spans": _SPANS,
             "_items": T.ArrayType(T.StringType())}
     schema = T.StructType(
@@ -143,20 +144,17 @@ def _scan(docs: DataFrame, text: str, entries, keep: list[str]) -> DataFrame:
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(work, schema)
 
 
-def _blocks(windows: DataFrame, block: int) -> Iterator[dict[bytes, list[str]]]:
-    """The windows in blocks of about ``block`` entries, one on the driver at a time.
+def _shared(windows: DataFrame, blocks: int, number: int) -> Broadcast:
+    """One of ``blocks`` blocks of the windows, which is on the driver only in here.
 
     Entries are dealt out by a hash of window and item, so a window that very
     many items share is spread as well.
     """
-    total = windows.count()
-    blocks = -(-total // block)
     slot = F.pmod(F.xxhash64("window", "item"), F.lit(max(blocks, 1)))
-    for number in range(blocks):
-        entries = defaultdict(list)
-        for row in windows.filter(slot == number).collect():  # about ``block`` rows
-            entries[row["window"].encode()].append(row["item"])
-        yield dict(entries)
+    entries = defaultdict(list)
+    for row in windows.filter(slot == number).collect():  # a block of rows
+        entries[row["window"].encode()].append(row["item"])
+    return windows.sparkSession.sparkContext.broadcast(dict(entries))
 
 
 def _lower(text: str):
@@ -178,20 +176,24 @@ def _digest(text: str):
     return F.md5(F.coalesce(text, F.lit("")))
 
 
-def _merged(docs: DataFrame, text: str, parts: list[dict]) -> DataFrame:
+def _merged(docs: DataFrame, text: str, windows: DataFrame, blocks: int) -> DataFrame:
     """Hits of several blocks by text digest: ``_digest``, ``_spans``, ``_items``.
 
-    Equal texts have equal hits, so copies collapse before the shuffle.
+    Equal texts have equal hits, so copies collapse before the shuffle. The hits of a block
+    are written before the next block is collected.
     """
     keyed = docs.select(_digest(text).alias("_digest"), text)
-    scans = [_scan(keyed, text, e, ["_digest"]).filter("_hit > 0") for e in parts]
-    hits = (
-        reduce(DataFrame.unionByName, scans)
-        .groupBy("_digest")
-        .agg(
-            F.array_sort(F.flatten(F.collect_set("_spans"))).alias("_ranges"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("_items"),
-        )
+    windows = stage(windows, "windows")
+    hits = None
+    for number in range(blocks):
+        shared = _shared(windows, blocks, number)
+        scan = _scan(keyed, text, shared, ["_digest"]).filter("_hit > 0")
+        found = stage(scan.select("_digest", "_spans", "_items").distinct(), "hits")
+        shared.destroy(blocking=True)
+        hits = found if hits is None else hits.unionByName(found)
+    hits = hits.groupBy("_digest").agg(
+        F.array_sort(F.flatten(F.collect_set("_spans"))).alias("_ranges"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("_items"),
     )
     last = lambda done: F.element_at(done, -1)
     runs = F.aggregate(  # runs of different blocks may overlap or follow each other
@@ -223,9 +225,10 @@ def find(
     have no words and no hits. Repeated rows and NULL keys are kept row by row;
     an empty benchmark hits nothing. Other columns are not read.
     """
-    parts = list(_blocks(item_windows(items, window), block))
-    if len(parts) <= 1:
-        result = _scan(docs, text, parts[0] if parts else {}, [key])
+    windows = item_windows(items, window)
+    blocks = -(-windows.count() // block)
+    if blocks <= 1:
+        result = _scan(docs, text, _shared(windows, 1, 0), [key])
         return result.select(
             key,
             F.col("_words").alias("n_words"),
@@ -234,7 +237,7 @@ def find(
             F.col("_items").alias("items"),
         )
     joined = docs.select(key, F.col(text).alias("_text"), _digest(text).alias("_digest")).join(
-        _merged(docs, text, parts), "_digest", "left"
+        _merged(docs, text, windows, blocks), "_digest", "left"
     )
     lower = _lower("_text")
     inside = F.transform("_spans", lambda s: _n_words(F.substr(lower, s[0] + 1, s[1] - s[0])))
@@ -263,17 +266,17 @@ def clean(
     """
     if mode not in ("documents", "spans"):
         raise ValueError(f"unknown mode {mode!r}")
-    parts = list(_blocks(item_windows(items, window), block))
-    if len(parts) <= 1:
-        return _cleaned(docs, text, parts[0] if parts else {}, mode)
-    if mode == "documents":
-        for entries in parts:
-            docs = _cleaned(docs, text, entries, mode)
-        return docs
+    windows = item_windows(items, window)
+    blocks = -(-windows.count() // block)
+    if blocks <= 1:
+        return _cleaned(docs, text, _shared(windows, 1, 0), mode)
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")  # names can't clash
-    joined = docs.select(whole, _digest(text).alias("_digest")).join(
-        _merged(docs, text, parts), "_digest", "left"
-    )
+    keyed = docs.select(whole, _digest(text).alias("_digest"))
+    hits = _merged(docs, text, windows, blocks)
+    if mode == "documents":
+        left = keyed.join(hits.select("_digest"), "_digest", "left_anti")
+        return left.select(*(F.col(f"_doc.`{c}`") for c in docs.columns))
+    joined = keyed.join(hits, "_digest", "left")
     body = F.col(f"_doc.`{text}`")
     cut = F.aggregate(  # from the last run, so that earlier positions still hold
         F.reverse("_spans"),
@@ -285,9 +288,8 @@ def clean(
     )
 
 
-def _cleaned(docs: DataFrame, text: str, entries: dict, mode: str) -> DataFrame:
+def _cleaned(docs: DataFrame, text: str, shared: Broadcast, mode: str) -> DataFrame:
     place, names = docs.columns.index(text), docs.columns
-    shared = docs.sparkSession.sparkContext.broadcast(entries)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = _Set(shared.value)
