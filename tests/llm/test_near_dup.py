@@ -66,6 +66,30 @@ def test_components(spark, words, block):
     assert rows == plain(texts, words)
 
 
+def test_long_lists_in_blocks_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "LIST", 3)
+    monkeypatch.setattr(near_dup, "BLOCK_CLASSES", 5)
+    test_components(spark, 2, 500_000)
+
+
+def test_a_shared_passage_is_not_expanded_into_all_pairs(spark, monkeypatch):
+    rng, n = random.Random(3), 400
+    passage = " ".join(f"p{i}" for i in range(75))
+    own = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(45)) for _ in range(n)]
+    texts = [(i, f"{passage} {o}") for i, o in enumerate(own)] + [(n, f"{passage} {own[7]} again")]
+    pairs = []
+
+    def meeting(found, classes, matches, plain=near_dup._meeting):
+        pairs.append(found.count())
+        return plain(found, classes, matches)
+
+    monkeypatch.setattr(near_dup, "_meeting", meeting)
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    linked = near_dup.link(docs, 2)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in linked.collect()), key=str) == plain(texts, 2)
+    assert pairs[1] < 64 * n / 2, pairs
+
+
 def test_dedup_keeps_one_of_each(spark):
     texts = [(i, f"a b c d e f g h i j k l m n o p q r s t u {i // 4}") for i in range(12)]
     texts += [(50, "some other text here"), (50, "some other text here"), (60, None), (61, None)]

@@ -12,8 +12,9 @@ under enough coordinates are compared on their full sets.
 * Hubs: a list of n classes is not expanded into pairs. Each class is compared with
   the most central class of its lists (the one whose values are the most frequent),
   which links copies of one original in a star. Only what that leaves apart is
-  compared further: classes of different hubs pair by pair, classes of one hub block against
-  block, in tasks that give back links alone.
+  compared further: classes of one hub block against block, in tasks that give back links
+  alone; classes of different hubs pair by pair in a list of at most ``LIST`` classes,
+  in a longer one block against block, in tasks that give back pairs with enough matches alone.
 
 A coordinate joins two minima, so sets of similarity s agree in it with probability
 s * s. At 0.8 they share 31 of 48 on average, with a deviation of 3.3; fewer than 14 have
@@ -38,6 +39,8 @@ SIMILARITY = 80  # percent
 COORDINATES = 48  # of a signature; each joins the minima of two hash functions
 MATCHES = 14  # coordinates that two texts must share to be compared
 SLOTS = 1 << 22  # of the filter for texts whose sets are compared
+LIST = 64  # classes of a list that is expanded into pairs
+BLOCK_CLASSES = 2_000  # of a side of two blocks of a longer list that are compared in one task
 BLOCK_SHINGLES = 500_000  # of a side of two blocks that are compared in one task
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -277,6 +280,56 @@ def _within_hubs(
     return with_sets.groupBy("hub", "x", "y").applyInArrow(work, "a long, b long")
 
 
+def _within_lists(spots: DataFrame, classes: DataFrame, percent: int, matches: int) -> DataFrame:
+    """Pairs ``a``, ``b`` of a list, of different hubs and components, that match often enough.
+
+    ``spots`` has ``token``, ``n``, ``_row``, ``hub``, ``comp``, ``n_shingles``. Blocks of bounded
+    size are compared with each other, and no other pair leaves a task.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK_CLASSES).cast("int")
+    own = F.pmod(F.xxhash64("_row"), blocks).cast("int")
+    tasks = F.transform(
+        F.sequence(F.lit(0), blocks - 1),
+        lambda o: F.struct(F.greatest(o, own).alias("x"), F.least(o, own).alias("y")),
+    )
+    columns = ["_row", "hub", "comp", "n_shingles", "block"]
+    dealt = spots.withColumn("block", own).select("token", F.explode(tasks).alias("t"), *columns)
+    dealt = dealt.select("token", F.col("t.x").alias("x"), F.col("t.y").alias("y"), *columns)
+    signed = dealt.join(classes.select("_row", "_tokens"), "_row")
+
+    def work(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        rows, hub, comp, size, block = (group[c].to_numpy() for c in columns)
+        lists = group["_tokens"].combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+        lengths = np.diff(lists.offsets.to_numpy())
+        _, ids = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        ends = np.cumsum(lengths)
+        y = block == group["y"].to_numpy()
+        other = np.flatnonzero(y)
+        found_a, found_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        if len(other):
+            theirs = ids[np.repeat(y, lengths)]
+            starts = np.cumsum(lengths[other]) - lengths[other]
+            mark = np.zeros(int(ids.max()) + 1, np.int64)
+            same = group["x"][0].as_py() == group["y"][0].as_py()
+            for i in np.flatnonzero(block == group["x"].to_numpy()):
+                mine = ids[ends[i] - lengths[i] : ends[i]]
+                mark[mine] = 1
+                good = np.add.reduceat(mark[theirs], starts) >= matches
+                mark[mine] = 0
+                with_ = other[good]
+                apart = (hub[with_] != hub[i]) & (comp[with_] != comp[i])
+                least, most = np.minimum(size[with_], size[i]), np.maximum(size[with_], size[i])
+                with_ = rows[with_[apart & (100 * least >= percent * most)]]
+                with_ = with_[with_ > rows[i]] if same else with_
+                found_a.append(np.minimum(with_, rows[i]))
+                found_b.append(np.maximum(with_, rows[i]))
+        return pa.table({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+
+    return signed.groupBy("token", "x", "y").applyInArrow(work, "a long, b long")
+
+
 def _class_links(
     docs: DataFrame, classes: DataFrame, text: str, words: int, percent: int, matches: int,
     block_shingles: int,
@@ -345,12 +398,13 @@ def _class_links(
     spots = lists.select("_row", "token").join(placed, "_row")
     mixed = (
         spots.groupBy("token")
-        .agg(F.min("hub").alias("h"), F.max("hub").alias("g"), F.min("comp").alias("c"), F.max("comp").alias("d"))
+        .agg(F.min("hub").alias("h"), F.max("hub").alias("g"), F.min("comp").alias("c"), F.max("comp").alias("d"), F.count(F.lit(1)).alias("n"))
         .filter("h <> g and c <> d")
-        .select("token")
+        .select("token", "n")
     )
     spots = stage(spots.join(stage(mixed, "mixed"), "token"), "spots")
-    x, y = (spots.select(*(F.col(c).alias(f"{side}{c}") for c in spots.columns)) for side in "xy")
+    short = spots.filter(F.col("n") <= LIST)
+    x, y = (short.select(*(F.col(c).alias(f"{side}{c}") for c in short.columns)) for side in "xy")
     apart = (F.col("xhub") != F.col("yhub")) & (F.col("xcomp") != F.col("ycomp"))
     sized = (100 * F.least("xn_shingles", "yn_shingles")) >= percent * F.greatest("xn_shingles", "yn_shingles")
     across = (
@@ -358,7 +412,9 @@ def _class_links(
         .select(F.col("x_row").alias("a"), F.col("y_row").alias("b"))
         .distinct()
     )
-    more = _links(stage(_meeting(across, posted, matches), "across"), sets, percent)
+    blocked = _within_lists(spots.filter(F.col("n") > LIST), posted, percent, matches)
+    across = _meeting(across, posted, matches).unionByName(blocked).distinct()
+    more = _links(stage(across, "across"), sets, percent)
     inner = _within_hubs(placed, sets, percent, block_shingles)
     return links.unionByName(more).unionByName(inner)
 
