@@ -90,6 +90,23 @@ def test_a_shared_passage_is_not_expanded_into_all_pairs(spark, monkeypatch):
     assert pairs[1] < 64 * n / 2, pairs
 
 
+def test_matches_follow_from_the_threshold(spark):
+    assert [near_dup.enough_matches(p) for p in (100, 80, 60)] == [48, 14, 3]
+    rng, texts = random.Random(4), []
+    for i in range(40):  # pairs of sets that share 60 of 100 shingles
+        both, one, two = ([f"{s}{i}x{rng.randrange(10**6)}" for _ in range(n)] for s, n in (("b", 60), ("l", 20), ("r", 20)))
+        texts += [(2 * i, " ".join(both + one)), (2 * i + 1, " ".join(both + two))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rows = near_dup.link(docs, 1, 60).collect()
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in rows), key=str)
+    assert found == plain(texts, 1, 60)
+    assert near_dup.dedup(docs, 1, 60).count() == 40
+    assert near_dup.dedup(docs, 1, 60, matches=48).count() == 80
+    for call in (near_dup.link, near_dup.dedup):
+        with pytest.raises(ValueError, match="50 percent"):
+            call(docs, percent=50)
+
+
 def test_dedup_keeps_one_of_each(spark):
     texts = [(i, f"a b c d e f g h i j k l m n o p q r s t u {i // 4}") for i in range(12)]
     texts += [(50, "some other text here"), (50, "some other text here"), (60, None), (61, None)]

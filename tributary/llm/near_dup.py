@@ -5,8 +5,8 @@ under each coordinate of its signature with the value there; classes that meet
 under enough coordinates are compared on their full sets.
 
 * Prefix merging: values that one class alone holds are dropped, then each class
-  keeps its rarest values, all but ``MATCHES - 1`` of those it shares. Two classes with
-  ``MATCHES`` values in common meet under one of these.
+  keeps its rarest values, all but ``matches - 1`` of those it shares. Two classes with
+  ``matches`` values in common meet under one of these.
 * Skip merging: the long lists, those of frequent values, are not merged. Collisions
   are counted by probing the signatures of classes that met.
 * Hubs: a list of n classes is not expanded into pairs. Each class is compared with
@@ -18,11 +18,13 @@ under enough coordinates are compared on their full sets.
 
 A coordinate joins two minima, so sets of similarity s agree in it with probability
 s * s. At 0.8 they share 31 of 48 on average, with a deviation of 3.3; fewer than 14 have
-a probability below 1e-6. Everything after that is exact.
+a probability below 1e-6. ``enough_matches`` gives that count for other thresholds. Everything
+after that is exact.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +39,7 @@ from . import rolling
 WORDS = 5  # of a shingle
 SIMILARITY = 80  # percent
 COORDINATES = 48  # of a signature; each joins the minima of two hash functions
-MATCHES = 14  # coordinates that two texts must share to be compared
+MISS = 5e-7  # probability, at most, that a pair at the threshold is not compared
 SLOTS = 1 << 22  # of the filter for texts whose sets are compared
 LIST = 64  # classes of a list that is expanded into pairs
 BLOCK_CLASSES = 2_000  # of a side of two blocks of a longer list that are compared in one task
@@ -88,6 +90,20 @@ def signatures(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, ...]:
     return rows[starts], sizes, one, two, tokens
 
 
+def enough_matches(percent: int) -> int:
+    """Coordinates that two texts must share to be compared: as many as a pair at the
+    threshold shares but for a probability of ``MISS``."""
+    agree, below, count = (percent / 100) ** 2, 0.0, 0
+    while count < COORDINATES:
+        below += math.comb(COORDINATES, count) * agree**count * (1 - agree) ** (COORDINATES - count)
+        if below >= MISS:
+            break
+        count += 1
+    if count < 1:
+        raise ValueError(f"{COORDINATES} coordinates are too few for a similarity of {percent} percent")
+    return count
+
+
 def _signed(docs: DataFrame, text: str, keep: list[str], words: int) -> DataFrame:
     """``keep`` columns with set size, digests and signature; empty sets have neither."""
     made = [("n_shingles", T.LongType()), ("_one", T.LongType()), ("_two", T.LongType()),
@@ -425,7 +441,7 @@ def link(
     percent: int = SIMILARITY,
     text: str = "text",
     key: str = "doc_id",
-    matches: int = MATCHES,
+    matches: int | None = None,
     block_shingles: int = BLOCK_SHINGLES,
     row: str | None = None,
 ) -> DataFrame:
@@ -436,9 +452,12 @@ def link(
     is one shingle. ``component_id`` is the smallest key reachable. NULL and empty texts
     have no shingles and are linked with nothing. Repeated rows are documents of their
     own; a component whose keys are all NULL has a NULL id and keeps its documents.
+    ``matches`` coordinates must agree before sets are compared; unless given, they follow
+    from ``percent`` by ``enough_matches``, which raises where a signature is too short.
     ``_row`` identifies a row: the column named by ``row``, else one made here. Columns
     besides these are not read, whatever their names.
     """
+    matches = enough_matches(percent) if matches is None else matches
     named = docs.select(
         F.col(f"`{key}`").alias("_key"),
         F.col(f"`{text}`").alias("_text"),
@@ -476,19 +495,26 @@ def link(
 
 
 def dedup(
-    docs: DataFrame, words: int = WORDS, percent: int = SIMILARITY, text: str = "text", key: str = "doc_id"
+    docs: DataFrame,
+    words: int = WORDS,
+    percent: int = SIMILARITY,
+    text: str = "text",
+    key: str = "doc_id",
+    matches: int | None = None,
 ) -> DataFrame:
     """The documents, with all their columns, without all but one of each component.
 
     The one with the smallest key stays (of several such rows, the first; NULL keys
-    come last). Documents without words stay, as they are linked with nothing.
+    come last). Documents without words stay, as they are linked with nothing. ``matches``
+    is that of ``link``.
     """
+    matches = enough_matches(percent) if matches is None else matches
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc")  # names can't clash
     rows = stage(docs.select(whole, F.monotonically_increasing_id().alias("_row")), "documents")
     named = rows.select(
         F.col(f"_doc.`{key}`").alias("_id"), F.col(f"_doc.`{text}`").alias("_body"), "_row"
     )
-    linked = link(named, words, percent, "_body", "_id", row="_row").select("_id", "_root", "_row")
+    linked = link(named, words, percent, "_body", "_id", matches, row="_row").select("_id", "_root", "_row")
     linked = stage(linked, "linked")  # so that minima are combined before they are shuffled
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
     first = linked.groupBy("_root").agg(F.min(order)["_row"].alias("_row"))
