@@ -134,6 +134,8 @@ def _prepared(
     ]
 
 
+#: A repository of these contains its owner, so a value has at least as many repositories as
+#: owners, and the count of owners alone decides what is an example.
 HOLDERS = {"repository": ("source", "lang"), "owner": ("source",)}
 
 
