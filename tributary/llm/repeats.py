@@ -1,4 +1,4 @@
-"""Repeated passages by prefix-free parsing.
+"""Repeated passages by window minima with bounded contexts, in place of prefix-free parsing.
 
 Rolling-hash triggers cut texts into overlapping phrases. A trigger with what lies around
 it, ``LENGTH`` bytes to either side less its own, holds every string of ``LENGTH`` bytes
@@ -13,8 +13,9 @@ in which it is the first choice, so equal strings meet at equal triggers:
   it ends in a common suffix of the left and begins a common prefix of the right.
 * The first in corpus order of those that share a string keeps it.
 
-Texts that copy each other cost one entry between them. A trigger with very many different
-surroundings is not sorted in one task: its strings are dealt out one by one.
+Texts that copy each other cost one entry between them. The entries of a trigger with very many
+different surroundings are not sorted in one task: its strings are dealt out one by one. Its
+surroundings are counted in one, though.
 """
 
 from __future__ import annotations
