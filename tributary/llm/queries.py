@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, fixity, near_dup, packing, quality, repeats, secrets, sharding, sql, token_rows
+from . import (
+    alignment,
+    chat,
+    decontamination,
+    filter_audit,
+    fixity,
+    near_dup,
+    packing,
+    quality,
+    repeats,
+    secrets,
+    sentence_pieces,
+    sharding,
+    sql,
+    token_rows,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -75,6 +90,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(_table(spark, sf_dir, "documents"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentence_pieces.encode(_table(spark, sf_dir, "documents"))
+    return sentence_pieces.digest(sentence_pieces.decode(encoded))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_reply_trees": op2_reply_trees,
@@ -86,6 +114,9 @@ QUERIES = {
     "op8_merkle_fixity": op8_merkle_fixity,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_filter_interactions": op12_filter_interactions,
+    "op13_sentence_pieces": op13_sentence_pieces,
 }
 
 ORACLE_SQL = sql.STATEMENTS

@@ -236,3 +236,52 @@ select doc_id, cast(len(h) // 2 as bigint) as n_bytes, coalesce(n_removed, 0) as
        coalesce(n_spans, 0) as n_spans, coalesce(kept_sha256, sha256('')) as kept_sha256
 from doc left join each using (r)
 """
+
+STATEMENTS["op12_filter_interactions"] = r"""
+with doc as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+         coalesce(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'), []) as w
+  from documents
+), earliest as (select text, min(doc_id) as least from doc group by text
+), said as (
+  select doc_id, bool_or(coalesce(quality = 1, false)) as good, bool_or(coalesce(toxic = 1, false)) as toxic
+  from labels group by doc_id
+), failed as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+         case when len(w) < 50 then 'A' else '' end
+         || case when 100 * len(list_distinct(w)) < 65 * len(w) then 'B' else '' end
+         || case when 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * len(text) then 'C' else '' end
+         || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end
+         || case when least < doc_id then 'E' else '' end as f
+  from doc join earliest using (text) left join said using (doc_id)
+), cell as (
+  select part, f, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+  from failed group by part, f
+), letter as (select unnest(['A', 'B', 'C', 'D', 'E']) as x
+), ordered as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order
+  from letter a join letter b on b.x <> a.x join letter c on c.x not in (a.x, b.x)
+  join letter d on d.x not in (a.x, b.x, c.x) join letter e on e.x not in (a.x, b.x, c.x, d.x)
+), step as (
+  select filter_order, step, substr(filter_order, step, 1) as own, substr(filter_order, 1, step - 1) as before
+  from (select filter_order, cast(unnest(range(1, 6)) as integer) as step from ordered)
+), gone as (
+  select part, filter_order, step, own, n, good, toxic, f = own as alone, contains(f, own) as fails,
+         translate(f, before, '') <> f as earlier
+  from cell, step
+), counted as (
+  select part, filter_order, step, own,
+         sum(n) filter (not fails and not earlier) as kept, sum(n) filter (fails and not earlier) as removed,
+         sum(n) filter (fails and earlier) as redundant, sum(n) filter (alone) as unique_fails,
+         sum(good) filter (fails and not earlier) as good_lost,
+         sum(toxic) filter (fails and not earlier) as toxic_lost
+  from gone group by part, filter_order, step, own
+)
+select part, filter_order, step, cast(coalesce(kept, 0) as bigint) as kept,
+       cast(coalesce(removed, 0) as bigint) as removed, cast(coalesce(redundant, 0) as bigint) as redundant,
+       cast(coalesce(unique_fails, 0) as bigint) as unique_fails,
+       cast(coalesce(good_lost, 0) as bigint) as good_lost,
+       cast(coalesce(toxic_lost, 0) as bigint) as toxic_lost,
+       cast(coalesce(sum(removed) over (partition by part, own), 0) as bigint) as shapley
+from counted
+"""
