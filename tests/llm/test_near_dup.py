@@ -121,3 +121,14 @@ def test_dedup_keeps_one_of_each(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.link(docs).count() == 0 and near_dup.dedup(docs).count() == 0
+
+
+def test_chosen_collisions(spark):
+    """Words after the Thue-Morse sequence collide in polynomials modulo a power of two."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rows = [(12, f"{one} x"), (13, f"{two} x"), (14, f"{one} x {two} x"), (15, f"{two} x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.link(docs, words=2).collect()}
+    assert found == {12: (1, 12), 13: (1, 13), 14: (3, 14), 15: (1, 13)}
+    assert sorted(r.doc_id for r in near_dup.dedup(docs, words=2).collect()) == [12, 13, 14]

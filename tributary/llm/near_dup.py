@@ -18,12 +18,14 @@ under enough coordinates are compared on their full sets.
 
 A coordinate joins two minima, so sets of similarity s agree in it with probability
 s * s. At 0.8 they share 31 of 48 on average, with a deviation of 3.3; fewer than 14 have
-a probability below 1e-6. ``enough_matches`` gives that count for other thresholds. Everything
-after that is exact.
+a probability below 1e-6. ``enough_matches`` gives that count for other thresholds. After that
+sets are compared in full. A shingle is 62 bits of a polynomial of hashes of its words, and a class
+128 bits of the SHA-256 of its sorted shingles.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -43,7 +45,8 @@ MISS = 5e-7  # probability, at most, that a pair at the threshold is not compare
 SLOTS = 1 << 22  # of the filter for texts whose sets are compared
 LIST = 64  # classes of a list that is expanded into pairs
 BLOCK_CLASSES = 2_000  # of a side of two blocks of a longer list that are compared in one task
-BLOCK_SHINGLES = 500_000  # of a side of two blocks that are compared in one task
+BLOCK_SHINGLES = 500_000  # of a side of two blocks of a hub that are compared in one task
+HUB_CLASSES = 500  # of such a side
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
@@ -78,18 +81,25 @@ def shingles(chunk: rolling.Chunk, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Rows with shingles, set sizes, two digests, and the coordinates as one number each."""
+    """Rows with shingles, set sizes, both halves of the digest, and the coordinates as one number each."""
     starts = np.flatnonzero(np.diff(rows, prepend=-1))
     sizes = np.diff(starts, append=len(rows))
     tokens = np.empty((len(starts), COORDINATES), np.uint64)
     for c in range(COORDINATES):
         minima = [np.minimum.reduceat((keys ^ x) * a, starts) for x, a in _SEEDS[c]]
         tokens[:, c] = rolling.mix(rolling.mix(minima[0]) + minima[1] + np.uint64(c))
-    one = np.add.reduceat(keys, starts)
-    two = np.add.reduceat(rolling.mix(keys), starts)
+    one, two = digests(keys, starts)
     return rows[starts], sizes, one, two, tokens
 
 
+def digests(keys: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of 128 bits that tell sets of sorted shingles apart."""
+    ends = [*starts[1:].tolist(), len(keys)]
+    hashed = [hashlib.sha256(keys[s:e]).digest()[:16] for s, e in zip(starts.tolist(), ends)]
+    halves = np.frombuffer(b"".join(hashed), np.int64).reshape(-1, 2)
+    return halves[:, 0].copy(), halves[:, 1].copy()
+
+
 def enough_matches(percent: int) -> int:
     """Coordinates that two texts must share to be compared: as many as a pair at the
     threshold shares but for a probability of ``MISS``."""
@@ -113,7 +123,7 @@ def _signed(docs: DataFrame, text: str, keep: list[str], words: int) -> DataFram
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
-            sizes, one, two = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+            sizes, one, two = (np.zeros(n, np.int64) for _ in range(3))
             tokens, filled = [], []
             for chunk in rolling.chunks(batch.column(batch.num_columns - 1)):
                 rows, keys = shingles(chunk, words)
@@ -130,7 +140,7 @@ def _signed(docs: DataFrame, text: str, keep: list[str], words: int) -> DataFram
             ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
             columns = [batch.column(i) for i in range(len(keep))]
-            columns += [pa.array(sizes), pa.array(one.view(np.int64)), pa.array(two.view(np.int64))]
+            columns += [pa.array(sizes), pa.array(one), pa.array(two)]
             yield pa.RecordBatch.from_arrays([*columns, lists], schema.names)
 
     return docs.select(*keep, F.col(f"`{text}`").alias("_text")).mapInArrow(work, schema)
@@ -141,7 +151,7 @@ def _sets(docs: DataFrame, text: str, words: int, wanted: DataFrame) -> DataFram
 
     Texts are told apart by ``SLOTS`` bits of their digest, a broadcast of that size at
     most, so that neither texts nor sets are shuffled to find out which are wanted; the
-    caller joins on the digests.
+    caller joins on the digests. Of equal sets in a batch, one goes on.
     """
     schema = "_one long, _two long, _set array<long>"
     slot = F.pmod("_one", F.lit(SLOTS)).cast("int").alias("slot")
@@ -153,17 +163,22 @@ def _sets(docs: DataFrame, text: str, words: int, wanted: DataFrame) -> DataFram
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
         for batch in batches:
+            met: set[tuple[int, int]] = set()
             for chunk in rolling.chunks(batch.column(0)):
                 rows, keys = shingles(chunk, words)
                 if len(rows):
                     starts = np.flatnonzero(np.diff(rows, prepend=-1))
-                    one = np.add.reduceat(keys, starts).view(np.int64)
-                    two = np.add.reduceat(rolling.mix(keys), starts).view(np.int64)
+                    one, two = digests(keys, starts)
                     ends = np.append(starts, len(keys)).astype(np.int32)
                     sets = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64)))
+                    new = known[one % SLOTS]
+                    for i in np.flatnonzero(new).tolist():
+                        own = (int(one[i]), int(two[i]))
+                        new[i] = own not in met
+                        met.add(own)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(one), pa.array(two), sets], ["_one", "_two", "_set"]
-                    ).filter(pa.array(known[one % SLOTS]))
+                    ).filter(pa.array(new))
 
     return docs.select(F.col(f"`{text}`").alias("_text")).mapInArrow(work, schema)
 
@@ -238,13 +253,16 @@ def _within_hubs(
         F.max(F.struct("n", "comp"))["comp"].alias("main"),
         F.count(F.lit(1)).alias("comps"),
     )
-    sides = sizes.join(main.filter("comps > 1"), "hub").groupBy("hub", "main").agg(
-        F.sum(F.when(F.col("comp") == F.col("main"), F.col("total"))).alias("inner"),
-        F.sum(F.when(F.col("comp") != F.col("main"), F.col("total"))).alias("outer"),
-    )
-    blocks = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / block_shingles)).cast("int")
+    inner = F.col("comp") == F.col("main")
+    blocks = lambda side: F.greatest(
+        F.lit(1),
+        F.ceil(F.sum(F.when(side, F.col("total"))) / block_shingles),
+        F.ceil(F.sum(F.when(side, F.col("n"))) / HUB_CLASSES),
+    ).cast("int")
     sides = stage(
-        sides.select("hub", "main", blocks("inner").alias("_in"), blocks("outer").alias("_out")),
+        sizes.join(main.filter("comps > 1"), "hub")
+        .groupBy("hub", "main")
+        .agg(blocks(inner).alias("_in"), blocks(~inner).alias("_out")),
         "sides",
     )
     rows = placed.join(sides, "hub").withColumn("_outer", F.col("comp") != F.col("main"))

@@ -6,12 +6,13 @@ the characters in all words; likewise the characters in repeated lines. Texts
 of which too much repeats fail, as do very short ones.
 
 Work is one pass over the texts, row by row independent: no shuffle, and a lost
-executor repeats only its own splits. Windows are compared by 64-bit hashes of
-words mixed with the text, so a wrong match needs a collision inside one chunk.
+executor repeats only its own splits. Lines are equal only if their bytes are, and windows
+only if they have the same words, which are told apart by their bytes as well.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,7 @@ SYMBOLS = 0.20  # symbols for each word character
 MIN_WORDS = 50
 REPEAT_WORDS = 50  # percent of words in repeated 3-word windows
 
+_BLOCK = 1 << 18  # words numbered or compared at once
 _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
 _SYMBOL = np.zeros(256, bool)
@@ -37,6 +39,43 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def _bytes_of(data: bytes, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    return [data[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
+
+
+def _numbers(data: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A number for each span, equal for equal bytes alone: its hash, unless another span has that."""
+    _, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+    out = hashes.copy()
+    for at in range(0, len(hashes), _BLOCK):
+        some = slice(at, at + _BLOCK)
+        own, lead = _bytes_of(data, starts[some], ends[some]), first[back[some]]
+        leads = _bytes_of(data, starts[lead], ends[lead])
+        for i in [i for i, (a, b) in enumerate(zip(own, leads)) if a != b]:
+            digest = hashlib.sha256(own[i] + out[at + i].tobytes()).digest()  # a collision
+            out[at + i] = int.from_bytes(digest[:8], "little")
+    return out
+
+
+def _same_words(words: np.ndarray, at: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
+    """Windows of a key that occurs again, without those whose words differ from all others'."""
+    at, keys = at[again := rolling.repeated(keys)], keys[again]
+    order = np.argsort(keys, kind="stable")
+    at, keys = at[order], keys[order]
+    lead = np.zeros(len(at), np.int64)
+    lead[1:] = np.where(keys[1:] != keys[:-1], np.arange(1, len(at)), 0)
+    lead = at[np.maximum.accumulate(lead)]
+    differs = np.zeros(len(at), bool)
+    for k in range(n):
+        differs |= words[at + k] != words[lead + k]
+    if differs.any():  # a collision: compare by the words themselves
+        _, back, times = np.unique(
+            np.stack([keys, *(words[at + k] for k in range(n))]), axis=1, return_inverse=True, return_counts=True
+        )
+        return at[times[back.ravel()] > 1]
+    return at
+
+
 def _measure(chunk: rolling.Chunk, ngrams: tuple[int, ...]) -> dict[str, np.ndarray]:
     data, offsets = chunk.data, chunk.offsets
     flag = _WORD[data]
@@ -45,6 +84,8 @@ def _measure(chunk: rolling.Chunk, ngrams: tuple[int, ...]) -> dict[str, np.ndar
     lead = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))  # code points before a byte
     chars = lead[words.ends] - lead[words.starts]
     hashes = rolling.spans_hash(sums, words.starts, words.ends)
+    raw = data.tobytes()
+    numbers = _numbers(raw, words.starts, words.ends, hashes)
     out = {
         "n_words": np.diff(words.first),
         "word_chars": rolling.per_row(chars, words.first),
@@ -53,7 +94,7 @@ def _measure(chunk: rolling.Chunk, ngrams: tuple[int, ...]) -> dict[str, np.ndar
     rows = words.row.astype(np.uint64)
     for n in ngrams:
         at, keys = rolling.windows(hashes, words, n)
-        again = at[rolling.repeated(rolling.mix(keys + rows[at]))]
+        again = _same_words(numbers, at, rolling.mix(keys + rows[at]), n)
         inside = rolling.covered(again, n, len(hashes))
         out[f"repeat_words_{n}"] = rolling.per_row(inside, words.first)
         out[f"repeat_chars_{n}"] = rolling.per_row(np.where(inside, chars, 0), words.first)
@@ -69,6 +110,7 @@ def _measure(chunk: rolling.Chunk, ngrams: tuple[int, ...]) -> dict[str, np.ndar
     with_word = np.searchsorted(words.starts, ends) > np.searchsorted(words.starts, starts)
     row, starts, ends = row[with_word], starts[with_word], ends[with_word]
     keys = rolling.mix(rolling.spans_hash(sums, starts, ends) + row.astype(np.uint64))
+    keys = _numbers(raw, starts, ends, keys)
     first = np.zeros(len(keys), bool)
     first[np.unique(keys, return_index=True)[1]] = True
     line_chars = lead[ends] - lead[starts]

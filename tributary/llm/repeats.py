@@ -113,7 +113,8 @@ def _find(docs: DataFrame, length: int, width: int) -> DataFrame:
             order = np.argsort(rank[row], kind="stable")  # positions ascend already
             row, at, anchor, around = (x[order] for x in (row, at, anchor, around))
             copy = np.ones(len(row), bool)
-            copy[np.unique(around, return_index=True)[1]] = False
+            both = np.stack((anchor, around), axis=1).view("V16").ravel()
+            copy[np.unique(both, return_index=True)[1]] = False
             own = rolling.mix(rolling.mix(rank[row].astype(np.uint64)) + around + at.astype(np.uint64))
             anchor = np.where(copy, own, anchor)
             columns = [batch.column(i).take(pa.array(row)) for i in range(2)]

@@ -1,10 +1,11 @@
 """Words and rolling hashes of UTF-8 texts, vectorised over Arrow batches.
 
 The helpers run inside Spark tasks. A text is handled as its UTF-8 bytes: all
-separators used here are ASCII, so a byte never belongs to two classes. Hashes
-have 64 bits; where a result must be exact, the caller confirms on the bytes or
-words. Memory is about 50 bytes for each byte of a chunk, and a chunk is one
-text or a run of texts of ``CHUNK`` bytes together.
+separators used here are ASCII, so a byte never belongs to two classes. Hashes are
+polynomials modulo two primes, 62 bits together, mixed to 64 (modulo a power of two, texts made
+after the Thue-Morse sequence would collide for any base); where a result must be exact, the caller
+confirms on the bytes or words. Memory is about 100 bytes for each byte of a chunk, and a
+chunk is one text or a run of texts of ``CHUNK`` bytes together.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql import DataFrame
 
 CHUNK = 1 << 20  # bytes handled at once
 
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_BYTE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
-_powers: dict[str, np.ndarray] = {}
+_PRIMES = (2**31 - 1, 2**31 - 19)  # products of two residues fit 64 bits
+_some = np.random.default_rng(7)
+_BASES = tuple(int(_some.integers(1 << 20, p - 1)) for p in _PRIMES)
+_BYTE = np.stack([_some.integers(1, p, 256, dtype=np.uint64) for p in _PRIMES])
+_powers: dict[tuple[int, int], np.ndarray] = {}
 
 
 def by_place(docs: DataFrame) -> DataFrame:
@@ -30,15 +32,22 @@ def by_place(docs: DataFrame) -> DataFrame:
     return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
 
 
-def _power(base: np.uint64, size: int) -> np.ndarray:
-    """1, base, base**2 ... modulo 2**64; kept for the next chunk while small."""
-    known = _powers.get(str(base))
+def _rest(x: np.ndarray, prime: int) -> np.ndarray:
+    """x modulo a prime; division by a constant is faster than numpy's remainder."""
+    p = np.uint64(prime)
+    return x - x // p * p
+
+
+def _power(base: int, prime: int, size: int) -> np.ndarray:
+    """1, base, base**2 ... modulo a prime, by doubling; kept for the next chunk while small."""
+    known = _powers.get((base, prime))
     if known is None or len(known) < size:
-        known = np.full(max(size, 1), base)
-        known[0] = 1
-        np.multiply.accumulate(known, out=known)
+        known = np.ones(1, np.uint64)
+        while len(known) < size:
+            step = np.uint64(pow(base, len(known), prime))
+            known = np.concatenate((known, _rest(known * step, prime)))
         if size <= 4 * CHUNK:
-            _powers[str(base)] = known
+            _powers[base, prime] = known
     return known[:size]
 
 
@@ -49,21 +58,31 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def prefix(values: np.ndarray) -> np.ndarray:
-    """Prefix sums of value times power, with a leading zero."""
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * _power(_BASE, len(values)), out=out[1:])
+def prefix(residues: np.ndarray) -> np.ndarray:
+    """Prefix sums of residue times power, one row a prime, with a leading zero."""
+    out = np.zeros((len(_PRIMES), residues.shape[1] + 1), np.uint64)
+    for own, values, base, prime in zip(out, residues, _BASES, _PRIMES):
+        products = _rest(values * _power(base, prime, len(values)), prime)
+        own[1:] = _rest(np.cumsum(products), prime)
     return out
 
 
 def spans_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The hash of each span, the same wherever it stands."""
-    shift = _power(_INVERSE, len(sums))[starts]
-    return mix((sums[ends] - sums[starts]) * shift + (ends - starts).astype(np.uint64))
+    both = mix((ends - starts).astype(np.uint64))
+    for own, base, prime, bits in zip(sums, _BASES, _PRIMES, (0, 31)):
+        back = _power(pow(base, -1, prime), prime, len(own))
+        between = _rest(own[ends] + np.uint64(prime) - own[starts], prime)
+        both = both + (_rest(between * back[starts], prime) << np.uint64(bits))
+    return mix(both)
 
 
 def bytes_prefix(data: np.ndarray) -> np.ndarray:
-    return prefix(_BYTE[data])
+    return prefix(_BYTE[:, data])
+
+
+def hashes_prefix(hashes: np.ndarray) -> np.ndarray:
+    return prefix(np.stack([_rest(hashes, p) for p in _PRIMES]))
 
 
 @dataclass
@@ -132,7 +151,7 @@ def windows(hashes: np.ndarray, words: Words, n: int) -> tuple[np.ndarray, np.nd
     rows = words.row
     at = np.arange(max(len(hashes) - n + 1, 0))
     at = at[rows[at] == rows[at + n - 1]]
-    return at, spans_hash(prefix(hashes), at, at + n)
+    return at, spans_hash(hashes_prefix(hashes), at, at + n)
 
 
 def covered(at: np.ndarray, n: int | np.ndarray, size: int) -> np.ndarray:
