@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .temporal import as_of_join
+
 # The columns of the fact, and the invoice, line or key each comes from.
 FACT_COLUMNS = {
     "invoice_line_id": "InvoiceLineId",
@@ -71,7 +73,11 @@ def sales(
     broadcast. Hot invoices, customers or tracks are left to AQE, which can split
     the left side of each of these joins.
     """
-    headers = sales_headers(invoices, customers, dates, employees)
+    return _booked(lines, sales_headers(invoices, customers, dates, employees), tracks)
+
+
+def _booked(lines: DataFrame, headers: DataFrame, tracks: DataFrame) -> DataFrame:
+    """The fact from lines and completed headers."""
     numbers = tracks.select(F.col("track_id").alias("_track"), "track_key")
     booked = lines.join(headers, "InvoiceId").join(
         numbers, F.col("TrackId") == F.col("_track"), "left"
@@ -79,6 +85,39 @@ def sales(
     return booked.select(*[F.expr(source).alias(name) for name, source in FACT_COLUMNS.items()])
 
 
+def sales_as_of(
+    lines: DataFrame,
+    invoices: DataFrame,
+    history: DataFrame,
+    tracks: DataFrame,
+    dates: DataFrame,
+    employees: DataFrame,
+) -> DataFrame:
+    """As ``sales``, but each invoice books on the customer version valid on its day.
+
+    ``history`` holds all versions. An invoice from before the first version, or in a gap, has
+    a NULL customer key, and so has its representative, who is that of the version.
+    """
+    dated = as_of_join(
+        invoices,
+        history,
+        ("CustomerId", "customer_id"),
+        F.to_date("InvoiceDate"),
+        ["customer_key", "support_rep_id"],
+    )
+    agents = employees.select(
+        F.col("employee_id").alias("_agent"), F.col("employee_key").alias("support_rep_key")
+    )
+    days = dates.select(F.col("full_date").alias("_day"), "date_key")
+    wanted = ["InvoiceId", "BillingCountry", "BillingCity"]
+    headers = (
+        dated.join(agents, F.col("support_rep_id") == F.col("_agent"), "left")
+        .join(days, F.to_date("InvoiceDate") == F.col("_day"), "left")
+        .select(*wanted, "customer_key", "date_key", "support_rep_key")
+    )
+    return _booked(lines, headers, tracks)
+
+
 def sales_by_customer(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """Totals per customer key with the attributes of the current version.
 

@@ -204,6 +204,35 @@ union all
 select * replace (date '2024-03-15' as effective_end_date, false as is_current)
   from current_day2 where customer_id in (select customer_id from changed_day3)
 union all select * from opened_day3""",
+    "years_3": """
+select * replace (
+         case effective_start_date when date '2024-01-15' then date '1996-02-01'
+           when date '2024-02-15' then date '1998-03-01' else date '2000-04-01' end
+         as effective_start_date
+       , case effective_end_date when date '2024-02-15' then date '1998-03-01'
+           when date '2024-03-15' then date '2000-04-01' end as effective_end_date)
+  from versions_day3""",
+    "planted": """
+select customer_id, effective_start_date as s
+     , case when customer_id % 10 = 1 then effective_end_date + 20
+            when customer_id % 10 = 3 then effective_end_date - 20
+            when customer_id % 15 = 5 then effective_start_date - 1
+            else effective_end_date end as e
+     , case when customer_id % 37 = 0 then not is_current else is_current end as c
+  from years_3""",
+    "faulty": """
+select * from planted union all select * from planted where customer_id % 29 = 0 and c""",
+    "boundary": """
+select distinct customer_id, s as d from faulty where e is null or s <= e
+union
+select customer_id, e from faulty where s <= e""",
+    "stretch": """
+select b.customer_id, d, lead(d) over (partition by b.customer_id order by d) as next_d
+     , (select count(*) from faulty f where f.customer_id = b.customer_id
+           and (f.e is null or f.s <= f.e) and f.s <= d and (f.e is null or d < f.e)) as n
+     , (select count(*) from faulty f where f.customer_id = b.customer_id
+           and (f.e is null or f.s <= f.e) and f.s <= d) as begun
+  from boundary b""",
     "gold_track_first": """
 select row_number() over (order by TrackId) as track_key, TrackId as track_id
   from role_track where TrackId is not null and Name is not null and Composer is not null""",
@@ -507,6 +536,18 @@ select * from current_day2
     "scd2_as_of": """
 select * from versions_day2 where effective_start_date <= date '2024-02-01'
    and (effective_end_date is null or effective_end_date > date '2024-02-01')""",
+    "scd2_history_shape": """
+select customer_id, case when n > 1 then 'overlap' else 'gap' end as fault, d as from_date
+     , next_d as to_date, n as versions
+  from stretch where n > 1 or (n = 0 and next_d is not null)
+union all
+select customer_id, 'several_current', null, null, count(*) from faulty where c
+ group by customer_id having count(*) > 1
+union all
+select customer_id, 'reversed', s, e, count(*) from faulty where e < s group by customer_id, s, e
+union all
+select customer_id, 'flag', s, e, count(*) from faulty where c <> (e is null)
+ group by customer_id, s, e""",
     "join_inner": """
 select InvoiceLineId, l.InvoiceId, CustomerId, Quantity, UnitPrice
   from role_invoiceline l join role_invoice i on l.InvoiceId = i.InvoiceId""",
@@ -519,6 +560,19 @@ select InvoiceId, date_key
     "semi_join_changed": "select * from changed_day2",
     "anti_join_new": "select * from new_day2",
     "fact_sales": "select * from gold_fact",
+    "fact_sales_as_of": """
+select il.InvoiceLineId as invoice_line_id, inv.InvoiceId as invoice_id, dc.customer_key
+     , dt.track_key, dd.date_key, de.employee_key as support_rep_key
+     , il.Quantity as quantity, il.UnitPrice as unit_price
+     , cast(il.Quantity * il.UnitPrice as decimal(21,2)) as line_total
+     , inv.BillingCountry as billing_country, inv.BillingCity as billing_city
+  from good_line il join good_invoice inv on il.InvoiceId = inv.InvoiceId
+  left join years_3 dc on inv.CustomerId = dc.customer_id
+    and dc.effective_start_date <= cast(inv.InvoiceDate as date)
+    and (dc.effective_end_date is null or cast(inv.InvoiceDate as date) < dc.effective_end_date)
+  left join gold_track dt on il.TrackId = dt.track_id
+  left join gold_date dd on cast(inv.InvoiceDate as date) = dd.full_date
+  left join gold_employee de on dc.support_rep_id = de.employee_id""",
     "fact_sales_customer_agg": "select * from gold_fact_by_customer",
     "surrogate_key": """
 select *, row_number() over (order by AlbumId) as album_key from role_album""",

@@ -22,6 +22,7 @@ from ..operators import (
     profiling,
     quality,
     scd2,
+    temporal,
 )
 from ..session import shared_dir, stage
 from ..sources import registry, runlog, snapshots
@@ -33,6 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 RUN_AT = dt.datetime(2024, 1, 15, 6, 30, tzinfo=dt.timezone.utc)
 DAY1, DAY2, DAY3 = dt.date(2024, 1, 15), dt.date(2024, 2, 15), dt.date(2024, 3, 15)
 BETWEEN = dt.date(2024, 2, 1)
+YEAR1, YEAR2, YEAR3 = dt.date(1996, 2, 1), dt.date(1998, 3, 1), dt.date(2000, 4, 1)
 
 _queries: dict[str, Query] = {}
 
@@ -82,6 +84,13 @@ class Store:
         """The customer dimension after the second snapshot."""
         return scd2.apply(self.day1, self.incoming, self.spec, DAY2)
 
+    @cached_property
+    def history(self) -> DataFrame:
+        """Customer versions over the years of the invoices, from three snapshots."""
+        first = stage(scd2.initial(self.customers("customer_day1"), self.spec, YEAR1), "dim")
+        second = stage(scd2.apply(first, self.incoming, self.spec, YEAR2), "dim")
+        return stage(scd2.apply(second, self.customers("customer"), self.spec, YEAR3), "dim")
+
     def fact(self) -> DataFrame:
         """The sales fact over written dimensions, whose sizes Spark knows."""
         self.write_gold("dim_customer", "dim_track", "dim_date", "dim_employee")
@@ -464,6 +473,22 @@ def scd2_as_of(store: Store) -> DataFrame:
     return scd2.as_of(store.day2(), BETWEEN)
 
 
+@query
+def scd2_history_shape(store: Store) -> DataFrame:
+    """Faults of a history in which ends were moved, versions repeated and flags turned."""
+    id_, end = F.col("customer_id"), F.col(scd2.END)
+    moved = (
+        F.when(id_ % 10 == 1, F.date_add(end, 20))  # into the next version
+        .when(id_ % 10 == 3, F.date_add(end, -20))  # leaves a gap
+        .when(id_ % 15 == 5, F.date_add(F.col(scd2.START), -1))  # before its start
+        .otherwise(end)
+    )
+    turned = F.when(id_ % 37 == 0, ~F.col(scd2.CURRENT)).otherwise(F.col(scd2.CURRENT))
+    rows = store.history.withColumns({scd2.END: moved, scd2.CURRENT: turned})
+    again = rows.filter((id_ % 29 == 0) & F.col(scd2.CURRENT))
+    return temporal.history_faults(rows.unionByName(again), store.spec)
+
+
 # --- joins, fact and aggregate ---------------------------------------------------
 
 
@@ -513,6 +538,20 @@ def fact_sales(store: Store) -> DataFrame:
     return store.fact()
 
 
+@query
+def fact_sales_as_of(store: Store) -> DataFrame:
+    """Each invoice on the customer version of its day, not on today's."""
+    store.write_gold("dim_track", "dim_date", "dim_employee")
+    return facts.sales_as_of(
+        store.cleaned("invoiceline"),
+        store.cleaned("invoice"),
+        store.history,
+        store.gold("dim_track"),
+        store.gold("dim_date"),
+        store.gold("dim_employee"),
+    )
+
+
 @query
 def fact_sales_customer_agg(store: Store) -> DataFrame:
     """Totals over the written fact.
