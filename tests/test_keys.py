@@ -80,3 +80,26 @@ def test_no_window_and_nulls_first(spark):
     keyed = keys.dense_key(df, "k", "id")
     assert "Window" not in keyed._jdf.queryExecution().toString()
     assert {r["id"]: r["k"] for r in keyed.collect()} == {None: 1, 1: 2, 2: 3}
+
+
+def test_rows_from_files_are_written_once(spark, tmp_path, monkeypatch):
+    """A scan is settled: no copy before the slices, and none at all for a single slice."""
+    written = []
+    counted, staged = keys.stage_counted, keys.stage
+    monkeypatch.setattr(keys, "stage_counted", lambda df, label: written.append(label) or counted(df, label))
+    monkeypatch.setattr(keys, "stage", lambda df, label: written.append(label) or staged(df, label))
+    spark.range(3000).selectExpr("pmod(xxhash64(id), 900) as id", "'x' as text").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t").filter("id <> 5")
+    expected = df.count()
+    for rows, labels in ((500, ["slices"]), (10_000, [])):
+        written.clear()
+        keyed = keys.dense_key(df, "k", "id", rows_per_slice=rows)
+        assert written == labels
+        assert numbers(keyed) == list(range(1, expected + 1))
+        ranked = [r["id"] for r in keyed.orderBy("k").collect()]
+        assert ranked == sorted(ranked)
+    for other in (df.distinct(), df.join(df.select("id").limit(3), "id"), spark.createDataFrame([(1,)], "id int")):
+        assert not keys.settled(other)
+        written.clear()
+        keys.dense_key(other, "k", "id")
+        assert written == ["rows"]

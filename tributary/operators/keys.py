@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,17 @@ def unique_key(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(key, F.monotonically_increasing_id())
 
 
+#: Parts of a plan behind which rows may come in another order, or be others, when a task runs again.
+_UNSETTLED = re.compile(
+    r"Exchange|Python|Pandas|Arrow|JDBC|BatchScan|ExistingRDD|InMemory(Relation|TableScan)|uuid\(|shuffle\("
+)
+
+
+def settled(df: DataFrame) -> bool:
+    """Does every run of a task see the same rows in the same order, as a scan of files does?"""
+    return not _UNSETTLED.search(df._jdf.queryExecution().executedPlan().toString())
+
+
 def dense_key(
     df: DataFrame,
     key: str,
@@ -32,18 +44,21 @@ def dense_key(
     the size of the slices before its own plus its position. Rows that tie on
     ``order_by`` are ordered by a hash of their other columns and exact copies
     by a row id, so neither a hot key nor a hot group of copies ends up in one
-    slice. Row ids and slices are written before they are read twice: a lost
-    executor cannot move a row between the count and the numbering. The driver
+    slice. Slices are written before they are read twice, and so are the rows with
+    their ids unless the frame is ``settled``: a lost executor cannot move a row between the
+    count and the numbering. So rows that come straight from files are moved once and written
+    once, or not at all if one slice holds them. The driver
     adds up one size a slice, which is 16 bytes for ``rows_per_slice`` rows.
     """
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     columns = df.columns
-    rows, count = stage_counted(
-        df.withColumn("_tie", row_hash(df, order_by)).withColumn(
-            "_row", F.monotonically_increasing_id()
-        ),
-        "rows",
+    rows = df.withColumn("_tie", row_hash(df, order_by)).withColumn(
+        "_row", F.monotonically_increasing_id()
     )
+    if settled(df):
+        count = df.count()
+    else:
+        rows, count = stage_counted(rows, "rows")
     slices = max(1, math.ceil(count / rows_per_slice))
     order = [*order_by, "_tie", "_row"]
     ranked = (

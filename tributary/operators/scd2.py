@@ -123,7 +123,7 @@ def expire(dim: DataFrame, ids: DataFrame, spec: Versioned, run_date: dt.date) -
     )
 
 
-def apply(
+def touched(
     dim: DataFrame,
     incoming: DataFrame,
     spec: Versioned,
@@ -131,12 +131,10 @@ def apply(
     null_safe: bool = True,
     check_unique: bool = True,
 ) -> DataFrame:
-    """The dimension after a snapshot: changed ids get a new version, new ids one.
+    """The current rows of ``dim`` after a snapshot: kept, closed now, and opened.
 
-    Ids missing from the snapshot stay current. Closed history only passes
-    through, so it is never shuffled; current rows are joined with the changed
-    ids alone, which Catalyst broadcasts when their files are small. Rows without an
-    id open no version and count as no repetition.
+    What was closed before is not among them and need not be written again. Of closed rows only
+    the id is read, to tell new ids from those that were seen once.
     """
     incoming = incoming.filter(F.col(spec.natural_key).isNotNull())
     if check_unique:
@@ -144,7 +142,6 @@ def apply(
     opened = arrivals(dim, incoming, spec, run_date, null_safe)
     ids = opened.filter(~F.col("_is_new")).select(F.col(spec.natural_key).alias("_changed"))
     is_changed = F.col("_changed").isNotNull()
-    history = dim.filter(F.col(CURRENT).isNull() | ~F.col(CURRENT))
     kept = (
         current(dim)
         .join(ids.distinct(), F.col(spec.natural_key) == F.col("_changed"), "left")
@@ -152,5 +149,29 @@ def apply(
             {END: F.when(is_changed, F.lit(run_date)).otherwise(F.col(END)), CURRENT: ~is_changed}
         )
     )
-    parts = [history.select(*spec.columns), kept.select(*spec.columns), opened.drop("_is_new")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return kept.select(*spec.columns).unionByName(opened.drop("_is_new"))
+
+
+def closed(dim: DataFrame) -> DataFrame:
+    """The rows that no snapshot changes any more."""
+    return dim.filter(F.col(CURRENT).isNull() | ~F.col(CURRENT))
+
+
+def apply(
+    dim: DataFrame,
+    incoming: DataFrame,
+    spec: Versioned,
+    run_date: dt.date,
+    null_safe: bool = True,
+    check_unique: bool = True,
+) -> DataFrame:
+    """The dimension after a snapshot: changed ids get a new version, new ids one.
+
+    Ids missing from the snapshot stay current. Closed history only passes
+    through, so it is never shuffled; current rows are joined with the changed
+    ids alone, which Catalyst broadcasts when their files are small. Rows without an
+    id open no version and count as no repetition. A table with closed rows in partitions of
+    their own takes ``touched`` instead and leaves those as they lie (``Lake.part_image``).
+    """
+    now = touched(dim, incoming, spec, run_date, null_safe, check_unique)
+    return closed(dim).select(*spec.columns).unionByName(now)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..operators import cleaning, contracts, dimensions, facts, profiling, quality, scd2
 from ..session import qualified
 from ..sources import registry, relational, runlog, snapshots
-from ..sources.tables import Image, Lake
+from ..sources.tables import Image, Lake, PartImage
 from . import settings
 
 # The bookkeeping tables.
@@ -266,7 +266,9 @@ def publish(
     """Build the Gold tables from Silver; returns row counts.
 
     Every table is written whole as an image, and the images are swapped in when all
-    are there, so a failure leaves all Gold tables as they were. Known ids keep the keys
+    are there, so a failure leaves all Gold tables as they were. The versions of customers lie in
+    partitions by end date: closed ones stay where they were written, and a merge
+    writes current and newly closed rows alone. Known ids keep the keys
     they have in the present dimensions. The fact books on
     the current customer versions; its aggregate reads the written fact. The types
     are those that Spark derives, which are wide enough for any total; ``violations``
@@ -278,7 +280,7 @@ def publish(
     def silver(name: str) -> DataFrame:
         return lake.read(f"{lake.silver}.{name}")
 
-    images: dict[str, Image] = {}
+    images: dict[str, Image | PartImage] = {}
 
     def gold(name: str) -> DataFrame:
         return images[name].df
@@ -299,11 +301,24 @@ def publish(
     def customers(d: settings.Dimension) -> None:
         spec = settings.customer_versions()
         incoming = dimensions.project(silver(d.source), d.mapping)
-        if lake.exists(f"{lake.gold}.{d.name}"):
-            present = lake.read(f"{lake.gold}.{d.name}")
-            put(d.name, scd2.apply(present, incoming, spec, run_date))
+        name, parts = f"{lake.gold}.{d.name}", {}
+        if not lake.exists(name):
+            rows = scd2.initial(incoming, spec, run_date)
         else:
-            put(d.name, scd2.initial(incoming, spec, run_date))
+            present = lake.read(name)
+            parts = lake.parts(name)
+            merge = scd2.touched if parts else scd2.apply
+            rows = merge(present, incoming, spec, run_date)
+        if conform:
+            rows = contracts.conform(rows, known[d.name])
+        if not lake.plain_files:
+            images[d.name] = lake.image(rows, name)
+            return
+        if parts and rows.dtypes != present.dtypes:  # other types: nothing can stay where it is
+            whole = scd2.apply(present, incoming, spec, run_date)
+            rows, parts = contracts.conform(whole, known[d.name]) if conform else whole, {}
+        past = {values: place for values, place in parts.items() if values[1] != "true"}
+        images[d.name] = lake.part_image(rows, name, (scd2.END, scd2.CURRENT), past)
 
     work = [(dates, None)] + [
         (customers if name == "dim_customer" else dimension, d)
@@ -322,7 +337,15 @@ def publish(
     put("fact_sales", fact)
     by_customer = facts.sales_by_customer(gold("fact_sales"), current)
     put("fact_sales_customer_agg", by_customer)
-    return {name: lake.swap(image, f"{lake.gold}.{name}") for name, image in images.items()}
+    return {name: _swap(lake, image, f"{lake.gold}.{name}") for name, image in images.items()}
+
+
+def _swap(lake: Lake, image: Image | PartImage, name: str) -> int:
+    """Show an image; returns the rows of the whole table."""
+    if isinstance(image, PartImage):
+        lake.swap_parts(image, name)
+        return lake.read(name).count()  # from the footers of the files
+    return lake.swap(image, name)
 
 
 def violations(lake: Lake) -> DataFrame:
