@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .temporal import as_of_join
 
 # The columns of the fact, and the invoice, line or key each comes from.
@@ -129,3 +132,77 @@ def sales_by_customer(fact: DataFrame, customers: DataFrame) -> DataFrame:
     totals = [F.expr(total).alias(name) for name, total in CUSTOMER_TOTALS.items()]
     attributes = customers.select("customer_key", *CUSTOMER_ATTRIBUTES)
     return fact.groupBy("customer_key").agg(*totals).join(attributes, "customer_key", "left")
+
+
+def customer_state(fact: DataFrame) -> DataFrame:
+    """One row per customer key and invoice: what any later total of the customer needs.
+
+    States of different days add up (``merge_states``); an invoice whose lines come on several
+    days is still one invoice. A customer with a large share of the lines is spread
+    by invoice.
+    """
+    return fact.groupBy("customer_key", "invoice_id").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum(F.col("quantity").cast("long")).alias("quantity"),
+        F.count("line_total").alias("priced"),
+        F.sum(F.col("line_total").cast("decimal(31,2)")).cast("decimal(31,2)").alias("revenue"),
+        F.max("date_key").alias("last_date_key"),
+    )
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """States of disjoint lines as one."""
+    return (
+        reduce(DataFrame.unionByName, states)
+        .groupBy("customer_key", "invoice_id")
+        .agg(
+            *(F.sum(c).alias(c) for c in ("lines", "quantity", "priced")),
+            F.sum("revenue").cast("decimal(31,2)").alias("revenue"),
+            F.max("last_date_key").alias("last_date_key"),
+        )
+        .select("customer_key", "invoice_id", "lines", "quantity", "priced", "revenue", "last_date_key")
+    )
+
+
+def totals_of(state: DataFrame, customers: DataFrame) -> DataFrame:
+    """As ``sales_by_customer``, from a state.
+
+    The average is rounded half up to six digits, as the average of the lines is.
+    """
+    cents = F.abs(F.col("total_revenue") * 100).cast("decimal(33,0)")
+    rounded = F.expr("(_cents * 20000 + priced) div (2 * priced)") * F.signum("total_revenue").cast("long")
+    micros = F.lit("0.000001").cast("decimal(7,6)")
+    summed = state.groupBy("customer_key").agg(
+        F.count("invoice_id").alias("total_invoices"),
+        F.sum("quantity").alias("total_quantity"),
+        F.sum("revenue").cast("decimal(31,2)").alias("total_revenue"),
+        F.sum("priced").alias("priced"),
+        F.max("last_date_key").alias("last_purchase_date_key"),
+    )
+    average = F.when(F.col("priced") > 0, (rounded.cast("decimal(30,0)") * micros).cast("decimal(25,6)"))
+    attributes = customers.select("customer_key", *CUSTOMER_ATTRIBUTES)
+    return (
+        summed.withColumn("_cents", cents)
+        .withColumn("avg_line_total", average)
+        .join(attributes, "customer_key", "left")
+        .select("customer_key", *CUSTOMER_TOTALS, *CUSTOMER_ATTRIBUTES)
+    )
+
+
+def refresh_totals(
+    totals: DataFrame, state: DataFrame, news: DataFrame, customers: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Totals and state after new lines: only customers who have some are computed again.
+
+    ``news`` are fact rows that ``state`` does not hold yet. What others have passes through; their
+    lines are not read, nor is the fact behind ``state``. ``customers`` gives the attributes
+    beside the new totals.
+    """
+    added = stage(customer_state(news), "news")
+    keys = added.select(F.col("customer_key").alias("_touched")).distinct()
+    is_touched = F.col("customer_key").eqNullSafe(F.col("_touched"))
+    mine = merge_states(state.join(keys, is_touched, "left_semi"), added)
+    mine = stage(mine, "state")
+    new_state = state.join(keys, is_touched, "left_anti").unionByName(mine)
+    kept = totals.join(keys, is_touched, "left_anti")
+    return kept.unionByName(totals_of(mine, customers)), new_state

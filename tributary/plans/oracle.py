@@ -378,6 +378,26 @@ _BLANK = "Email is null or trim(Email) = ''"
 
 QUERIES = {
     "scan_snapshot": "select InvoiceLineId, InvoiceId, Quantity, UnitPrice from role_invoiceline",
+    "snapshot_fingerprint": """
+select 'invoice' as table_name, 'as written' as copy, count(*) as rows, true as is_same
+     , '' as columns from role_invoice
+union all
+select 'invoice', 'totals moved', count(*), count(*) filter (a.Total <> b.Total) = 0, ''
+  from role_invoice a join role_invoice b on a.InvoiceId = xor(b.InvoiceId, 1)
+union all
+select 'customer', 'as written', count(*), true, '' from role_customer
+union all
+select 'customer', 'blank fax', count(*), count(*) filter (Fax is null) = 0
+     , case when count(*) filter (Fax is null) = 0 then '' else 'Fax' end from role_customer
+union all
+select 'customer', 'places changed', count(*), false, 'City,Country' from role_customer""",
+    "snapshot_diff": """
+select coalesce(a.CustomerId, b.CustomerId) as CustomerId
+     , case when a.CustomerId is null then 'added' when b.CustomerId is null then 'removed'
+            when a is not distinct from b then 'unchanged' else 'changed' end as change
+     , cast(a.CustomerId is not null as bigint) as rows_before
+     , cast(b.CustomerId is not null as bigint) as rows_after
+  from role_customer_day1 a full join role_customer_day2 b on a.CustomerId = b.CustomerId""",
     "row_count_reconcile": """
 select table_name, count(*) as runs, cast(sum(source_row_count) as bigint) as source_rows
      , cast(sum(target_row_count) as bigint) as target_rows
@@ -530,6 +550,7 @@ select distinct n.customer_id
     "scd2_inserts": "select * from opened_new",
     "scd2_merge": "select * from versions_day2",
     "scd2_merge_again": "select * from versions_day3",
+    "scd2_merge_by_diff": "select * from versions_day3",
     "scd2_missing_kept": """
 select * from current_day2
  where customer_id not in (select customer_id from silver_day2)""",
@@ -574,6 +595,13 @@ select il.InvoiceLineId as invoice_line_id, inv.InvoiceId as invoice_id, dc.cust
   left join gold_date dd on cast(inv.InvoiceDate as date) = dd.full_date
   left join gold_employee de on dc.support_rep_id = de.employee_id""",
     "fact_sales_customer_agg": "select * from gold_fact_by_customer",
+    "fact_sales_customer_agg_refresh": "select * from gold_fact_by_customer",
+    "join_heavy_keys": """
+select l.TrackId, t.AlbumId, count(*) as lines, cast(sum(Quantity) as bigint) as pieces
+  from (select case when Quantity >= 40 then 0 else TrackId end as TrackId, Quantity
+          from role_invoiceline) l
+  left join role_track t on l.TrackId = t.TrackId
+ group by l.TrackId, t.AlbumId""",
     "surrogate_key": """
 select *, row_number() over (order by AlbumId) as album_key from role_album""",
     "row_number_key": """

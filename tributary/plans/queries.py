@@ -15,9 +15,11 @@ from ..functions.columns import date_parts
 from ..operators import (
     changes,
     cleaning,
+    comparison,
     contracts,
     dimensions,
     facts,
+    joins,
     keys,
     profiling,
     quality,
@@ -151,6 +153,43 @@ def scan_snapshot(store: Store) -> DataFrame:
     return lines.select("InvoiceLineId", "InvoiceId", "Quantity", "UnitPrice")
 
 
+@query
+def snapshot_fingerprint(store: Store) -> DataFrame:
+    """Snapshots against what was written, and against copies of equal counts with other contents."""
+    base = f"{shared_dir(store.spark)}/raw-{uuid.uuid4().hex}"
+    invoices, customers = store.roles["invoice"], store.roles["customer"]
+    other = invoices.select((F.col("InvoiceId").bitwiseXOR(F.lit(1))).alias("InvoiceId"), F.col("Total").alias("_total"))
+    copies = {
+        ("invoice", "as written"): invoices,
+        # totals change places between neighbours, so no column is other by itself
+        ("invoice", "totals moved"): invoices.join(other, "InvoiceId").select(
+            *[F.col("_total").alias(c) if c == "Total" else c for c in invoices.columns]
+        ),
+        ("customer", "as written"): customers,
+        ("customer", "blank fax"): customers.fillna({"Fax": ""}),
+        ("customer", "places changed"): customers.withColumns({"City": F.col("Country"), "Country": F.col("City")}),
+    }
+    written = {
+        "invoice": snapshots.reconcile_content(invoices, snapshots.location(base, "Invoice", RUN_AT)),
+        "customer": snapshots.reconcile_content(customers, snapshots.location(base, "Customer", RUN_AT)),
+    }
+    rows = []
+    for (table, case), copy in copies.items():
+        found, known = comparison.fingerprint(copy), written[table]
+        rows.append((table, case, found.rows, found == known, ",".join(known.differing(found))))
+    return store.spark.createDataFrame(
+        rows, "table_name string, copy string, rows long, is_same boolean, columns string"
+    )
+
+
+@query
+def snapshot_diff(store: Store) -> DataFrame:
+    """What the second customer snapshot adds, removes and changes."""
+    return comparison.differences(
+        store.roles["customer_day1"], store.roles["customer_day2"], "CustomerId"
+    )
+
+
 @query
 def row_count_reconcile(store: Store) -> DataFrame:
     return runlog.reconcile(store.roles["runlog"])
@@ -460,6 +499,15 @@ def scd2_merge_again(store: Store) -> DataFrame:
     return scd2.apply(present, incoming, store.spec, DAY3)
 
 
+@query
+def scd2_merge_by_diff(store: Store) -> DataFrame:
+    """The third merge again, fed by what differs from the second snapshot."""
+    present = stage(store.day2(), "dim")
+    incoming = stage(store.customers("customer"), "silver")
+    now = scd2.touched_since(present, store.incoming, incoming, store.spec, DAY3)
+    return scd2.closed(present).unionByName(now)
+
+
 @query
 def scd2_missing_kept(store: Store) -> DataFrame:
     """Customers that left the source are still current."""
@@ -563,6 +611,29 @@ def fact_sales_customer_agg(store: Store) -> DataFrame:
     return facts.sales_by_customer(fact, scd2.current(store.gold("dim_customer")))
 
 
+@query
+def fact_sales_customer_agg_refresh(store: Store) -> DataFrame:
+    """Totals of the small lines, brought up to date by the others; invoices have lines of both."""
+    fact = stage(store.fact(), "fact")
+    customers = scd2.current(store.gold("dim_customer"))
+    first, news = fact.filter("quantity < 25"), fact.filter("quantity >= 25")
+    state = stage(facts.customer_state(first), "state")
+    totals = stage(facts.totals_of(state, customers), "totals")
+    return facts.refresh_totals(totals, state, news, customers)[0]
+
+
+@query
+def join_heavy_keys(store: Store) -> DataFrame:
+    """Pieces per album, where large orders are all booked on one track."""
+    booked = F.when(F.col("Quantity") >= 40, F.lit(0)).otherwise(F.col("TrackId"))
+    lines = store.roles["invoiceline"].select(booked.alias("TrackId"), "Quantity")
+    tracks = store.roles["track"].select("TrackId", "AlbumId")
+    joined = joins.split_join(lines, tracks, "TrackId", "left")
+    return joined.groupBy("TrackId", "AlbumId").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("Quantity").alias("pieces")
+    )
+
+
 # --- surrogate keys --------------------------------------------------------------
 
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import comparison
 
 FORMAT = "parquet"
 
@@ -19,6 +20,15 @@ class CountMismatch(ValueError):
         self.source_rows, self.target_rows = source_rows, target_rows
 
 
+class ContentMismatch(ValueError):
+    """A snapshot holds as many rows as were read from its source, but not the same."""
+
+    def __init__(self, source: comparison.Fingerprint, target: comparison.Fingerprint):
+        columns = source.differing(target) or ["values moved between rows"]
+        super().__init__(f"contents differ: {', '.join(columns)}")
+        self.source, self.target = source, target
+
+
 def location(base: str, table: str, run_at: dt.datetime) -> str:
     """``base/table/yyyy/MM/dd/table_yyyyMMdd_HHmmss.parquet``, the stamp in UTC."""
     if run_at.tzinfo is not None:
@@ -48,3 +58,25 @@ def reconcile(df: DataFrame, path: str) -> tuple[int, int]:
     if source_rows != target_rows:
         raise CountMismatch(source_rows, target_rows)
     return source_rows, target_rows
+
+
+def write_fingerprinted(df: DataFrame, path: str) -> comparison.Fingerprint:
+    """As ``write``, but returns the fingerprint of the rows as they were read from the source."""
+    seen = Observation()
+    metrics = comparison.fingerprint_metrics(df)
+    df.observe(seen, *metrics).write.mode("errorifexists").parquet(path)
+    return comparison.as_fingerprint(df, seen.get)
+
+
+def reconcile_content(df: DataFrame, path: str) -> comparison.Fingerprint:
+    """Write a snapshot and compare what a reader finds with what was written, value by value.
+
+    The source is read once and the snapshot once; raises if a row is lost, gained or other.
+    """
+    source = write_fingerprinted(df, path)
+    target = comparison.fingerprint(read(df.sparkSession, path).select(*df.columns))
+    if source.rows != target.rows:
+        raise CountMismatch(source.rows, target.rows)
+    if source != target:
+        raise ContentMismatch(source, target)
+    return source
