@@ -212,28 +212,37 @@ select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id
 from doc left join n using (r) join least on x = doc.r
 """
 
+# Texts as hex digits; blocks of 1,000 bytes carry the 99 behind them, so that no row holds a whole text.
 STATEMENTS["op7_prefix_free_parsing"] = """
 with doc as (
   select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents
-), byte as (
-  select r, doc_id, h, unnest(range(0, len(h) // 2)) as p from doc
-), seen as (
-  select r, p, row_number() over (partition by md5(substr(h, 2 * p + 1, 200)) order by doc_id, p) > 1 as again
-  from byte where 2 * p + 200 <= len(h)
-), gone as (
-  select byte.r, byte.p, substr(h, 2 * byte.p + 1, 2) as b,
-         coalesce(max(case when again then 1 else 0 end)
-           over (partition by byte.r order by byte.p rows between 99 preceding and current row), 0) = 1 as out
-  from byte left join seen using (r, p)
-), run as (
-  select *, out and not coalesce(lag(out) over (partition by r order by p), false) as begins from gone
+), block as (
+  select r, doc_id, b, substr(h, 2000 * b + 1, 2198) as t
+  from (select r, doc_id, h, unnest(range(0, len(h) // 2000 + 1)) as b from doc)
+), string as (
+  select r, doc_id, 1000 * b + q as p, md5_number(substr(t, 2 * q + 1, 200)) as d
+  from (select r, doc_id, b, t, unnest(range(0, least(1000, len(t) // 2 - 99))) as q
+        from block where len(t) >= 200)
+), late as (
+  select r, p from (select r, p, row_number() over (partition by d order by doc_id, p) as n from string)
+  where n > 1
+), island as (
+  select r, p, sum(begins) over (partition by r order by p) as i
+  from (select r, p, case when p <= lag(p) over (partition by r order by p) + 100 then 0 else 1 end as begins
+        from late)
+), run as (select r, min(p) as s, max(p) + 100 as e from island group by r, i
+), gap as (
+  select r, s, e, substr(h, 2 * coalesce(lag(e) over (partition by r order by s), 0) + 1,
+                         2 * (s - coalesce(lag(e) over (partition by r order by s), 0))) as before
+  from run join doc using (r)
 ), each as (
-  select r, count(*) filter (out) as n_removed, count(*) filter (begins) as n_spans,
-         sha256(unhex(coalesce(string_agg(b, '' order by p) filter (not out), ''))) as kept_sha256
-  from run group by r
+  select r, cast(sum(e - s) as bigint) as n_removed, count(*) as n_spans, max(e) as last,
+         string_agg(before, '' order by s) as front
+  from gap group by r
 )
 select doc_id, cast(len(h) // 2 as bigint) as n_bytes, coalesce(n_removed, 0) as n_removed,
-       coalesce(n_spans, 0) as n_spans, coalesce(kept_sha256, sha256('')) as kept_sha256
+       coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
 from doc left join each using (r)
 """
 
