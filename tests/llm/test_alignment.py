@@ -1,6 +1,7 @@
 """Alignment of two tokenizers against a plain walk over offsets."""
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -97,6 +98,22 @@ def test_cuts_between_words_change_no_id(monkeypatch):
     assert own.encode([text, "short"]) == whole
 
 
+def test_side_a_is_the_file_as_its_library_reads_it():
+    file = alignment.files()[0]
+    library = Tokenizer.from_str(file.decode())
+    library.encode_special_tokens = True
+    own = alignment.sides(alignment.files())
+    some = random.Random(4)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b 1{c}{c} {c}!{c}" for c in map(chr, points[::7])]  # letters and blanks of all scripts
+    letters = [chr(c) for c in range(0x250)] + [" "] * 80 + ["\n", "\t", "'s", "'ll", "漢", "\U0001f600"] * 9
+    texts += ["".join(some.choice(letters) for _ in range(40)) for _ in range(3000)]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [own.a.encode_ordinary(t) for t in texts] == expected
+    with pytest.raises(ValueError):
+        alignment._merges(file.replace(b'"use_regex":true', b'"use_regex":false'))
+
+
 def test_merge_counts_like_a_dictionary(monkeypatch):
     monkeypatch.setattr(alignment, "STEP", 3)
     some = np.random.default_rng(3)

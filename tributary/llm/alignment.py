@@ -25,8 +25,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import math
-import os
 import re
 from collections.abc import Iterator
 from pathlib import Path
@@ -77,21 +77,39 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
+def _merges(file: bytes) -> dict[bytes, int]:
+    """Bytes and id of each token of a byte-level merge file, where ids follow the merges.
+
+    In such a file the pair whose union has the least id is merged first, so ids are ranks.
+    Special tokens are none of these, so their strings are plain text.
+    """
+    read = json.loads(file)
+    own, split = read["model"], read["pre_tokenizer"]
+    ids = [own["vocab"]["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in own["merges"]]
+    plain = own["type"] == "BPE" and not (own["dropout"] or own["ignore_merges"] or read["normalizer"])
+    plain &= split["type"] == "ByteLevel" and split["use_regex"] and not split["add_prefix_space"]
+    if not plain or ids != sorted(set(ids)) or len(ids) + 256 != len(own["vocab"]):
+        raise ValueError("the file is no byte-level vocabulary with ids in the order of its merges")
+    letters = _byte_letters()
+    return {bytes(letters[c] for c in token): i for token, i in own["vocab"].items()}
+
+
 class Sides:
     """Ids of texts on both sides, and the bytes of each id."""
 
     def __init__(self, a: bytes, b: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallel part
+        import public_tokenizers
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_str(a.decode())
-        self.a.encode_special_tokens = True
+        merges = _merges(a)
+        self.a = tiktoken.Encoding(
+            "a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={}
+        )
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
-        letters, known = _byte_letters(), self.a.get_vocab()
-        self.a_bytes = [b""] * (max(known.values()) + 1)
-        for token, i in known.items():
-            self.a_bytes[i] = bytes(letters.get(c, 0x3F) for c in token)
+        self.a_bytes = [b""] * (max(merges.values()) + 1)
+        for token, i in merges.items():
+            self.a_bytes[i] = token
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -114,7 +132,7 @@ class Sides:
             for part in _segments(text):
                 cut.append(part)
                 owner.append(i)
-        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + p for p in cut], add_special_tokens=False)]
+        ids_a = [self.a.encode_ordinary(" " + p) for p in cut]
         ids_b = self.b.encode(cut, num_threads=1) if cut else []
         if len(cut) == len(texts):
             return ids_a, ids_b
