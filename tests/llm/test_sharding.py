@@ -1,7 +1,9 @@
 """Shards: balance, slots, links kept, and hot groups."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import pytest
 
@@ -58,3 +60,41 @@ def test_rows_with_several_hubs(spark):
     assert sorted(Counter(state.values()).values()) in ([10, 10], [9, 11])
     cut = sum((state[r] == state[0]) != (r < 10) for r in range(20))
     assert cut <= 4
+
+
+def plain_cut(links, state):
+    hubs = defaultdict(list)
+    for row, hub in links:
+        hubs[hub].append(state[row])
+    return sum(a != b for held in hubs.values() for i, a in enumerate(held) for b in held[:i])
+
+
+def test_cut_against_all_assignments(spark):
+    """On a small graph: never worse than the start, and close to the best of all halves."""
+    links = [(r, "a") for r in range(4)] + [(r, "b") for r in range(4, 9)] + [(3, "c"), (4, "c"), (9, "d"), (0, "d")]
+    frame = spark.createDataFrame(links, "_row long, _hub string")
+    state = dict(sharding.propagate(frame, [5, 5]).collect())
+    best = min(plain_cut(links, [int(r in half) for r in range(10)]) for half in combinations(range(10), 5))
+    found = plain_cut(links, state)
+    assert best == 1 and found <= 3
+    placed = spark.createDataFrame(list(state.items()), "_row long, _shard int")
+    assert sharding.cut(frame, placed, 2) == found
+
+
+def test_cut_shrinks_and_rounds_end_by_themselves(spark):
+    """More rounds than any small limit are taken while they help."""
+    some = random.Random(2)
+    links = [(r, f"g{r // 5}") for r in range(400)] + [(some.randrange(400), f"x{n % 60}") for n in range(180)]
+    frame = spark.createDataFrame(links, "_row long, _hub string")
+    start = frame.select("_row").distinct().selectExpr("_row", "cast(pmod(xxhash64(_row), 8) as int) as _shard")
+    before = sharding.cut(frame, start, 8)
+    state = sharding.propagate(frame, [50] * 8)
+    after = sharding.cut(frame, state, 8)
+    assert after == plain_cut(links, dict(state.collect()))
+    assert after < before / 2
+
+
+def test_no_links(spark):
+    frame = spark.createDataFrame([], "_row long, _hub string")
+    assert sharding.propagate(frame, [1, 1]).count() == 0
+    assert sharding.cut(frame, spark.createDataFrame([], "_row long, _shard int"), 2) == 0

@@ -3,8 +3,9 @@
 Documents that share a hub (here: equal texts) are linked. Every linked document
 starts in a shard given by its row id; then, round by round, joins tell each one how
 many of its neighbours are in which shard, and it moves to the fullest of those that
-have room. When nothing moves any more, documents without links fill the shards
-up to their quotas, which cuts no link, and only then linked ones go where room is.
+have room. This goes on while more neighbours come together; the state in which most are is the
+result. Then documents without links fill the shards up to their quotas, which cuts no link,
+and only then linked ones go where room is.
 
 All tables are narrow and written between rounds, so a lost executor cannot change a
 decision that others built on. A hub's counts are combined before they are shuffled
@@ -14,7 +15,7 @@ and come back as one row, so links are never expanded into pairs.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
+from itertools import accumulate, count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from ..session import stage, stage_counted
 from .numbering import positions
 
 SHARDS = 16
-ROUNDS = 10
+PATIENCE = 4  # rounds without a better state, both kinds of rounds twice
 
 
 def _pick(values: Sequence[int], index: Column | str) -> Column:
@@ -51,29 +52,53 @@ def _flows(wanted: Sequence[int], room: Sequence[int], shards: int) -> list[int]
     return allowed
 
 
-def propagate(
-    links: DataFrame, quotas: Sequence[int], rounds: int = ROUNDS, rows_per_slice: int = 200_000
-) -> DataFrame:
+def _together(cells: DataFrame, shards: int) -> int:
+    """Pairs of rows with a common hub and shard, counted for each hub, and each row with itself."""
+    squares = sum((F.col(f"_n{i}").cast("decimal(19,0)") * F.col(f"_n{i}") for i in range(shards)), F.lit(0))
+    return int(cells.agg(F.coalesce(F.sum(squares), F.lit(0)).alias("n")).first()["n"])
+
+
+def _cells(links: DataFrame, state: DataFrame, shards: int) -> DataFrame:
+    """``_hub``, ``_n0`` ...: how many of its rows are in each shard."""
+    return links.join(state, "_row").groupBy("_hub").agg(
+        *(F.count_if(F.col("_shard") == i).alias(f"_n{i}") for i in range(shards))
+    )
+
+
+def cut(links: DataFrame, state: DataFrame, shards: int) -> int:
+    """Pairs of rows with a common hub in different shards, counted for each hub."""
+    cells = stage(_cells(links, state, shards), "cells")
+    held = sum((F.col(f"_n{i}") for i in range(shards)), F.lit(0))
+    square = held.cast("decimal(19,0)") * held
+    everything = int(cells.agg(F.coalesce(F.sum(square), F.lit(0)).alias("n")).first()["n"])
+    return (everything - _together(cells, shards)) // 2
+
+
+def propagate(links: DataFrame, quotas: Sequence[int], rows_per_slice: int = 200_000) -> DataFrame:
     """The shard of each linked row: ``_row``, ``_shard``.
 
     ``links`` has ``_row``, ``_hub`` for each membership and is written already. Rows with
     a hub in common are neighbours; a pair of rows is a hub of two. A shard takes in no
     more rows than its quota leaves room for, but for swaps. Rounds take turns: in one
     every row may wish for any shard, in the next only for those with room, so that
-    what does not fit into the best shard gathers in another one.
+    what does not fit into the best shard gathers in another one. As rows move side by side, a round
+    can make things worse; it ends when nothing moves in both kinds of rounds, or ``PATIENCE``
+    rounds have not brought more neighbours together than the best state had. That number
+    is whole and bounded, so it ends; no other limit is set.
     """
     shards = len(quotas)
     start = F.pmod(F.xxhash64("_row"), F.lit(shards)).cast("int")
     state, _ = stage_counted(
         links.select("_row").distinct().select("_row", start.alias("_shard")), "shards"
     )
-    quiet = 0
-    for number in range(rounds):
+    quiet, best_state, most, since = 0, state, -1, 0
+    for number in count():
         room = [q - n for q, n in zip(quotas, _per_shard(state, "_shard", shards))]
-        cells = links.join(state, "_row").groupBy("_hub").agg(
-            *(F.count_if(F.col("_shard") == i).alias(f"_n{i}") for i in range(shards))
-        )
-        cells = stage(cells, "cells")  # so that the join below can split a hot hub
+        cells = stage(_cells(links, state, shards), "cells")  # so that the join below can split a hot hub
+        now = _together(cells, shards)
+        best_state, most, since = (state, now, 0) if now > most else (best_state, most, since + 1)
+        if since == PATIENCE:
+            break
         votes = links.join(cells, "_hub").groupBy("_row").agg(
             *(F.sum(f"_n{i}").alias(f"_n{i}") for i in range(shards))
         )
@@ -104,6 +129,7 @@ def propagate(
         if quiet == 2:
             break
         if quiet:
+            since -= 1  # the state is the same, so it is no attempt
             continue
         ranked = positions(moving, "_path", sum(allowed), rows_per_slice=rows_per_slice)
         accepted = ranked.filter(F.col("_pos") < _pick(allowed, "_path")).select(
@@ -113,13 +139,12 @@ def propagate(
         state = stage(
             moved.select("_row", F.coalesce("_new", "_shard").alias("_shard")), "shards"
         )
-    return state
+    return best_state
 
 
 def assign(
     docs: DataFrame,
     shards: int = SHARDS,
-    rounds: int = ROUNDS,
     text: str = "text",
     key: str = "doc_id",
     rows_per_slice: int = 200_000,
@@ -133,7 +158,7 @@ def assign(
     """
     column = F.col(f"`{text}`")
     bytes_ = F.encode(F.coalesce(column, F.lit("")), "UTF-8")
-    rows, count = stage_counted(
+    rows, number = stage_counted(
         docs.select(
             F.col(f"`{key}`").alias("_key"),
             (F.octet_length(bytes_) + 1).cast("long").alias("size"),
@@ -146,8 +171,8 @@ def assign(
     groups = rows.groupBy("_hub").count().filter("_hub is not null and count > 1").select("_hub")
     groups = stage(groups, "hubs")
     links = stage(rows.select("_row", "_hub").join(groups, "_hub").select("_row", "_hub"), "links")
-    quotas = [count // shards + (i < count % shards) for i in range(shards)]
-    state = propagate(links, quotas, rounds, rows_per_slice)
+    quotas = [number // shards + (i < number % shards) for i in range(shards)]
+    state = propagate(links, quotas, rows_per_slice)
 
     start = F.pmod(F.xxhash64("_row"), F.lit(shards)).cast("int")
     placed = rows.drop("_hub").join(state, "_row", "left").select(
@@ -166,7 +191,7 @@ def assign(
     over_before = [0, *accumulate(over)][:-1]
     free_before = [0, *accumulate(free)][:-1]
 
-    ranked = positions(placed, "_group", count, rows_per_slice=rows_per_slice)
+    ranked = positions(placed, "_group", number, rows_per_slice=rows_per_slice)
     at = F.col("_pos") + F.when(F.col("linked"), 0).otherwise(_pick(sizes[::2], "_shard"))
     surplus = at - _pick(quotas, "_shard")
     ranked = ranked.withColumn("_place", at).withColumn(
