@@ -53,6 +53,36 @@ def test_pack(spark):
     assert [e for _, e in used] == packing.boundaries(*zip(*histogram), 3)
 
 
+def plain_tokens(text):
+    """Where tokens begin, character by character."""
+    starts, length = [], 0
+    for i, c in enumerate(text):
+        if c in " \t\n\r\v\f":
+            length = 0
+        elif any(low <= ord(c) <= high for low, high in packing.ALONE):
+            starts.append(i)
+            length = 0
+        else:
+            if length % packing.WORD_CHARS == 0:
+                starts.append(i)
+            length += 1
+    return starts
+
+
+def test_texts_without_blanks(spark):
+    """Scripts without blanks, and endless words, are cut by the budget as well."""
+    texts = ["漢字" * 9000, "ab漢cd 字e ไทย 😀x", "q" * 5000, "é" * 100 + " " + "w" * 24 + " " + "w" * 25, "", " ", "字"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.pack(docs, 4, 4096, 512, with_text=True).collect()
+    for key, text in enumerate(texts):
+        parts = sorted((r for r in rows if r.doc_id == key), key=lambda r: r.piece)
+        starts = plain_tokens(text)
+        assert "".join(p.piece_text for p in parts) == text
+        assert [p.n_tokens for p in parts] == [len(starts[i : i + 512]) for i in range(0, max(1, len(starts)), 512)]
+        assert [p.start for p in parts[1:]] == starts[512::512]
+    assert max(r.n_tokens for r in rows) == 512
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack(docs).count() == 0

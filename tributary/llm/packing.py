@@ -1,9 +1,11 @@
 """Length buckets with the least padding, and token-budget batches inside each.
 
-Texts are cut into pieces of at most ``longest`` tokens (words between white space),
-so the histogram of lengths has a fixed number of bins whatever the data; dynamic
+Texts are cut into pieces of at most ``longest`` tokens, so the histogram of lengths has a fixed number of bins whatever the data; dynamic
 programming over it finds the bucket boundaries that pad least. The pieces
 of a bucket are numbered by many tasks and dealt out to batches by number.
+
+A token is a word between white space, or each ``WORD_CHARS`` characters of a longer one. Scripts
+that write no blanks between words (``ALONE``) have a token for each character.
 """
 
 from __future__ import annotations
@@ -24,10 +26,55 @@ LONGEST = 2048  # tokens of a piece
 BUCKETS = 12
 BUDGET = 32_768  # padded tokens of a batch
 
+WORD_CHARS = 24  # characters of a word that count as one token
+
+# First and last code points of scripts without blanks, and of pictographs.
+ALONE = [
+    (0x0E00, 0x0EFF),  # Thai, Lao
+    (0x1000, 0x109F),  # Myanmar
+    (0x1780, 0x17FF),  # Khmer
+    (0x2E80, 0xA4CF),  # Chinese, Japanese, Yi
+    (0xF900, 0xFAFF),  # compatibility ideographs
+    (0x1F000, 0x3FFFF),  # pictographs, rare ideographs
+]
+
 _WORD = np.ones(256, bool)
 _WORD[[0x20, *range(0x09, 0x0E)]] = False
 
 
+def _alone(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which of the characters that begin at these bytes stand for themselves."""
+    out = np.zeros(len(starts), bool)
+    wide = np.flatnonzero(data[starts] >= 0xE0)  # three bytes and four
+    if len(wide):
+        at = starts[wide]
+        byte = [data[np.minimum(at + i, len(data) - 1)].astype(np.int64) for i in range(4)]
+        three = (byte[0] & 0x0F) << 12 | (byte[1] & 0x3F) << 6 | byte[2] & 0x3F
+        four = (byte[0] & 0x07) << 18 | (byte[1] & 0x3F) << 12 | (byte[2] & 0x3F) << 6 | byte[3] & 0x3F
+        point = np.where(byte[0] >= 0xF0, four, three)
+        for low, high in ALONE:
+            out[wide] |= (point >= low) & (point <= high)
+    return out
+
+
+def token_starts(chunk: rolling.Chunk) -> np.ndarray:
+    """The byte at which each token begins."""
+    data, word = chunk.data, _WORD[chunk.data]
+    starts = np.flatnonzero((data & 0xC0) != 0x80)  # of characters
+    alone = starts[_alone(data, starts)]
+    if len(alone):
+        change = np.zeros(len(data) + 1, np.int64)
+        np.add.at(change, alone, 1)
+        np.add.at(change, np.append(starts, len(data))[np.searchsorted(starts, alone) + 1], -1)
+        word &= np.cumsum(change[:-1]) == 0
+    words = rolling.runs(chunk, word)
+    first = np.searchsorted(starts, words.starts)
+    parts = -(-(np.searchsorted(starts, words.ends) - first) // WORD_CHARS)
+    inside = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    found = starts[np.repeat(first, parts) + WORD_CHARS * inside]
+    return np.sort(np.concatenate((found, alone)), kind="stable") if len(alone) else found
+
+
 def pieces(
     docs: DataFrame,
     longest: int = LONGEST,
@@ -37,7 +84,7 @@ def pieces(
 ) -> DataFrame:
     """``key``, ``piece``, ``start``, ``n_chars``, ``n_tokens`` and, on request, the piece itself.
 
-    A piece ends where the first word of the next begins, so the pieces of a text
+    A piece ends where the first token of the next begins, so the pieces of a text
     joined give the text. NULL and empty texts, and those of white space, are one
     piece of no tokens.
     """
@@ -50,16 +97,17 @@ def pieces(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in rolling.chunks(batch.column(1)):
-                words = rolling.runs(chunk, _WORD[chunk.data])
+                found = token_starts(chunk)
+                own = np.searchsorted(found, chunk.offsets)  # the first token of each text
                 lead = np.concatenate(([0], np.cumsum((chunk.data & 0xC0) != 0x80)))
-                tokens = np.diff(words.first)
+                tokens = np.diff(own)
                 n = np.maximum(1, -(-tokens // longest))
                 row = np.repeat(np.arange(chunk.rows), n)
                 piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-                # bytes where pieces begin: the text's own begin, or that of a word
+                # bytes where pieces begin: the text's own begin, or that of a token
                 begin = chunk.offsets[row].copy()
                 later = piece > 0
-                begin[later] = words.starts[words.first[row[later]] + piece[later] * longest]
+                begin[later] = found[own[row[later]] + piece[later] * longest]
                 end = np.append(begin[1:], chunk.offsets[-1])
                 last = np.append(piece[1:] == 0, True)
                 end[last] = chunk.offsets[row[last] + 1]
