@@ -111,3 +111,59 @@ def test_values_are_counted_in_one_scan(spark):
     assert [tuple(r) for r in contracts.key_counts(df.unionByName(df), THINGS).collect()] == [
         ("things", "id", "primary_key", 4)
     ]
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.mark.parametrize("keys, dense", [
+    (list(range(-50, 70_000)), True),
+    (list(range(1, 70_001)) + [5, 5, 40_000], True),
+    ([None, None, *range(10), 3], True),
+    ([i * 1_000_003 for i in range(100)] + [0], False),  # too sparse for bitmaps
+    ([None], False),
+    ([], False),
+])
+def test_repeated_keys_by_bitmaps(spark, monkeypatch, keys, dense):
+    monkeypatch.setattr(contracts, "BITMAP_ROWS", 1)
+    df = spark.createDataFrame([(k,) for k in keys], "id bigint").repartition(3)
+    assert (contracts._range(df, "id") is not None) == dense
+    found = contracts.duplicates(df, ["id"])
+    assert rows_of(found) == rows_of(df.groupBy("id").count().filter("count > 1"))
+    assert found.dtypes == [("id", "bigint"), ("rows", "bigint")]
+
+
+def test_only_rows_near_a_repetition_are_moved(spark, monkeypatch):
+    monkeypatch.setattr(contracts, "BITMAP_ROWS", 1)
+    ids = spark.range(1, 300_001, 1, 4).withColumnRenamed("id", "key")
+    clean = contracts._suspects(ids, "key")
+    assert clean.count() == 0
+    twice = ids.unionByName(ids.filter("key = 70000"))
+    assert contracts._suspects(twice, "key").count() == 32_768 + 1
+    assert rows_of(contracts.duplicates(twice, ["key"])) == [(70_000, 2)]
+
+
+@pytest.mark.parametrize("extra", [[], [(0, 1), (200_001, 2)], [(50_000, 50_000)], [(-5, None), (2**40, 3)], [(None, None)]])
+def test_missing_parents_by_bitmaps(spark, extra):
+    """Keys outside the parent's range, in its holes, and in places that the other parent fills."""
+    p = spark.range(1, 200_001).filter("id <> 50000").selectExpr("cast(id as int) as id")
+    q = spark.range(1, 100_001).filter("id % 3 <> 0")
+    child = spark.range(1, 200_001).filter("id <> 50000").selectExpr("id as x", "case when id % 3 <> 0 and id <= 100000 then id end as y")
+    child = child.unionByName(spark.createDataFrame(extra, "x bigint, y bigint"))
+    contract = Contract("child", T.StructType([]), ("x",), {}, (Reference("x", "p", "id"), Reference("y", "q", "id")))
+    parents = {"p": p, "q": q}
+    assert all(contracts._range(df, "id") for df in parents.values())
+    found = contracts.foreign_keys(child, contract, parents)
+    known = [set(r.id for r in df.collect()) for df in (p, q)]
+    missing = [(c, k, 1) for row in extra for c, k, ids in zip("xy", row, known) if k is not None and k not in ids]
+    assert rows_of(found.select("column_name", "missing_key", "rows")) == sorted(missing, key=str)
+
+
+def test_child_without_orphans_is_read_once(spark, tmp_path):
+    spark.range(1, 1001).selectExpr("id as x").write.parquet(f"{tmp_path}/child")
+    child = spark.read.parquet(f"{tmp_path}/child")
+    contract = Contract("child", T.StructType([]), ("x",), {}, (Reference("x", "p", "id"),))
+    found = contracts.foreign_keys(child, contract, {"p": spark.range(1, 1001)})
+    assert found._jdf.queryExecution().optimizedPlan().toString().startswith("LocalRelation <empty>")
+    assert found.count() == 0

@@ -6,6 +6,7 @@ that return the violations as rows.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -14,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import any_of
+
 
 @dataclass(frozen=True)
 class Reference:
@@ -121,9 +124,58 @@ def values(df: DataFrame, contract: Contract) -> DataFrame:
     return _counts(df, contract, tests)
 
 
+BITMAP_KEYS = 1 << 25  # widest range of keys that is kept as bitmaps: 1,024 of them, 4 KB each
+BITMAP_ROWS = 100_000  # of a table whose keys are looked for twice; fewer are soon counted
+BITMAP_SPARSE = 64  # places in the range for each row that has a key
+
+
+def _range(df: DataFrame, column: str, least_rows: int = 1) -> tuple[int, int] | None:
+    """The least and greatest key if bitmaps over them are small and not almost empty."""
+    if not isinstance(df.schema[column].dataType, T.IntegralType):
+        return None
+    key = F.col(column).cast("bigint")
+    low, high, n = df.agg(F.min(key), F.max(key), F.count(key)).first()
+    if n < least_rows or high - low >= min(BITMAP_KEYS, BITMAP_SPARSE * n):
+        return None
+    return low, high
+
+
+def _bits(column: str) -> tuple[Column, Column]:
+    """Which bitmap of 32,768 keys a key belongs to, and where."""
+    return F.bitmap_bucket_number(column), F.bitmap_bit_position(column)
+
+
+def _suspects(df: DataFrame, column: str) -> DataFrame | None:
+    """The rows among which a key can repeat, by bitmaps; None if that takes more than it saves.
+
+    A bitmap with fewer bits than rows has repetitions, and only its rows are counted by key.
+    """
+    if _range(df, column, BITMAP_ROWS) is None:
+        return None
+    bucket, bit = _bits("_key")
+    keyed = df.withColumn("_key", F.col(column).cast("bigint"))
+    maps = keyed.groupBy(bucket.alias("_bucket")).agg(
+        F.bitmap_count(F.bitmap_construct_agg(bit)).alias("_bits"), F.count(F.lit(1)).alias("_rows")
+    )
+    dirty = [r["_bucket"] for r in maps.filter("_bits < _rows").collect()]  # one row a bitmap
+    return keyed.filter(_in(bucket, dirty)).drop("_key")
+
+
+def _in(value: Column, found: Sequence[int | None]) -> Column:
+    """Is the value among these, of which one may be NULL?"""
+    known = F.coalesce(value.isin([v for v in found if v is not None]), F.lit(False))
+    return known | value.isNull() if None in found else known
+
+
 def duplicates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Key values that occur more than once, with their row counts."""
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    """Key values that occur more than once, with their row counts.
+
+    Keys that are dense whole numbers are first marked in bitmaps, so that only
+    rows near a repetition are moved by key.
+    """
+    suspects = _suspects(df, columns[0]) if len(columns) == 1 else None
+    rows = df if suspects is None else suspects
+    return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
 
 
 def primary_key(df: DataFrame, contract: Contract) -> DataFrame:
@@ -165,35 +217,93 @@ def foreign_keys(
 ) -> DataFrame:
     """``column_name``, ``missing_key``, ``rows``: ``foreign_key`` for all references of a table.
 
-    The child is scanned and shuffled once, whatever the number of references: the keys of
-    all columns are counted together and meet those of all parents in one join. Keys
-    are BIGINT, or text if a column of the references is no integer.
+    References to dense whole numbers go by bitmaps (``_near_orphans``), which move no keys unless
+    some have no parent. For the others the child is scanned and shuffled once, whatever their
+    number: the keys of all columns are counted together and meet those of all parents in
+    one join. Keys are BIGINT, or text if a column of the references is no integer.
     """
-    kinds = [child.schema[r.column].dataType for r in contract.references]
-    kinds += [parents[r.parent].schema[r.parent_column].dataType for r in contract.references]
-    kind = "bigint" if all(isinstance(k, T.IntegralType) for k in kinds) else "string"
+    ranges = [_range(parents[r.parent], r.parent_column) for r in contract.references]
+    whole = [isinstance(child.schema[r.column].dataType, T.IntegralType) for r in contract.references]
+    marked = {r: b for r, b, w in zip(contract.references, ranges, whole) if b and w}
+    rest = [r for r in contract.references if r not in marked]
+    parts = []
+    if marked:
+        parts.append(_missing(_near_orphans(child, marked, parents), list(marked), parents, "bigint"))
+    if rest:
+        kinds = [child.schema[r.column].dataType for r in rest]
+        kinds += [parents[r.parent].schema[r.parent_column].dataType for r in rest]
+        kind = "bigint" if all(isinstance(k, T.IntegralType) for k in kinds) else "string"
+        parts.append(_missing(_keys(child, rest, kind), rest, parents, kind))
+    if len(parts) == 2 and parts[1].schema["missing_key"].dataType == T.StringType():
+        parts[0] = parts[0].withColumn("missing_key", F.col("missing_key").cast("string"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _keys(child: DataFrame, references: Sequence[Reference], kind: str) -> DataFrame:
+    """``column_name``, ``missing_key``: the keys of all references, without NULLs."""
     keys = [
         F.struct(F.lit(r.column).alias("column_name"), F.col(r.column).cast(kind).alias("missing_key"))
-        for r in contract.references
+        for r in references
     ]
-    counted = (
-        child.select(F.inline(F.array(*keys)))
-        .filter("missing_key is not null")
-        .groupBy("column_name", "missing_key")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    return child.select(F.inline(F.array(*keys))).filter("missing_key is not null")
+
+
+def _missing(
+    keys: DataFrame, references: Sequence[Reference], parents: Mapping[str, DataFrame], kind: str
+) -> DataFrame:
+    """Keys without a parent, counted before they meet the parents' keys."""
+    counted = keys.groupBy("column_name", "missing_key").agg(F.count(F.lit(1)).alias("rows"))
     known = [
         parents[r.parent].select(
             F.lit(r.column).alias("column_name"),
             F.col(r.parent_column).cast(kind).alias("missing_key"),
         )
-        for r in contract.references
+        for r in references
     ]
     return counted.join(
         reduce(DataFrame.unionByName, known), ["column_name", "missing_key"], "left_anti"
     )
 
 
+def _near_orphans(
+    child: DataFrame,
+    ranges: Mapping[Reference, tuple[int, int]],
+    parents: Mapping[str, DataFrame],
+) -> DataFrame:
+    """Keys that lie outside their parent's range, or share a bitmap with one that has no parent.
+
+    Both sides are marked in bitmaps, and only those are moved. Where the child's bits add none to
+    the parent's, no key of theirs is looked at again; if that is so for all, the child is
+    read once.
+    """
+    bucket, bit = _bits("missing_key")
+    inside = F.lit(False)
+    for r, (low, high) in ranges.items():
+        inside |= (F.col("column_name") == r.column) & F.col("missing_key").between(low, high)
+    place = F.when(inside, bucket)  # NULL is outside
+    keys = _keys(child, list(ranges), "bigint")
+    bits = F.bitmap_construct_agg(F.when(inside, bit))
+    mine = keys.groupBy("column_name", place.alias("_bucket")).agg(bits.alias("_mine"))
+    nothing = F.lit(None).cast("binary")
+    maps = mine.withColumn("_theirs", nothing)
+    for r in ranges:
+        own = parents[r.parent].select(F.col(r.parent_column).cast("bigint").alias("missing_key"))
+        own = own.filter("missing_key is not null").groupBy(bucket.alias("_bucket"))
+        theirs = own.agg(F.bitmap_construct_agg(bit).alias("_theirs"))
+        maps = maps.unionByName(
+            theirs.select(F.lit(r.column).alias("column_name"), "_bucket", nothing.alias("_mine"), "_theirs")
+        )
+    both = maps.groupBy("column_name", "_bucket").agg(
+        F.bitmap_count(F.bitmap_or_agg(F.coalesce("_mine", "_theirs"))).alias("_both"),
+        F.bitmap_count(F.bitmap_or_agg("_theirs")).alias("_known"),
+    )
+    dirty = defaultdict(list)
+    for row in both.filter("_bucket is null or _both > _known").collect():  # one row a bitmap
+        dirty[row["column_name"]].append(row["_bucket"])
+    near = [(F.col("column_name") == c) & _in(place, found) for c, found in dirty.items()]
+    return keys.filter(any_of(near))
+
+
 def reference_counts(
     child: DataFrame, contract: Contract, parents: Mapping[str, DataFrame]
 ) -> DataFrame:

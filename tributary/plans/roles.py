@@ -210,11 +210,18 @@ class Roles:
 
     def invoiceline(self) -> DataFrame:
         line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+        # an id is a BIGINT, so four keys fit only while they are small; larger ones raise
+        fits = (
+            F.col("l_orderkey").between(0, 1_152_921_503)
+            & F.col("l_linenumber").between(0, 7)
+            & F.col("l_partkey").between(0, 99_999)
+            & F.col("l_suppkey").between(0, 9_999)
+        )
         none_sold = (F.col("l_orderkey") + F.col("l_partkey")) % 41 == 0
         return self.base("lineitem").select(
-            ((line * 100000 + F.col("l_partkey")) * 10000 + F.col("l_suppkey")).alias(
-                "InvoiceLineId"
-            ),
+            F.when(fits, (line * 100000 + F.col("l_partkey")) * 10000 + F.col("l_suppkey"))
+            .otherwise(F.raise_error(F.lit("keys too large for a line id")).cast("bigint"))
+            .alias("InvoiceLineId"),
             F.col("l_orderkey").alias("InvoiceId"),
             F.col("l_partkey").cast("int").alias("TrackId"),
             F.when(none_sold, 0).otherwise(F.col("l_quantity").cast("int")).alias("Quantity"),
