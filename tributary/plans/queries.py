@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, reduce
@@ -26,7 +25,7 @@ from ..operators import (
     scd2,
     temporal,
 )
-from ..session import shared_dir, stage
+from ..session import scratch, stage
 from ..sources import registry, runlog, snapshots
 from . import settings
 from .roles import Roles
@@ -146,7 +145,7 @@ def all_queries() -> dict[str, Query]:
 @query
 def scan_snapshot(store: Store) -> DataFrame:
     """Write a counted snapshot of the invoice lines and read some columns back."""
-    base = f"{shared_dir(store.spark)}/raw-{uuid.uuid4().hex}"
+    base = scratch(store.spark, "raw")
     path = snapshots.location(base, "InvoiceLine", RUN_AT)
     snapshots.reconcile(store.roles["invoiceline"], path)
     lines = snapshots.read(store.spark, path)
@@ -156,7 +155,7 @@ def scan_snapshot(store: Store) -> DataFrame:
 @query
 def snapshot_fingerprint(store: Store) -> DataFrame:
     """Snapshots against what was written, and against copies of equal counts with other contents."""
-    base = f"{shared_dir(store.spark)}/raw-{uuid.uuid4().hex}"
+    base = scratch(store.spark, "raw")
     invoices, customers = store.roles["invoice"], store.roles["customer"]
     other = invoices.select((F.col("InvoiceId").bitwiseXOR(F.lit(1))).alias("InvoiceId"), F.col("Total").alias("_total"))
     copies = {

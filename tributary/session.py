@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
-_staged: dict[str, list[str]] = {}  # by application: what ``stage`` has written
+_staged: dict[str, list[str]] = {}  # by application: paths that ``scratch`` has given out
 
 
 def local_session(cores: str = "*", app: str = "tributary", **conf: str) -> SparkSession:
@@ -58,6 +58,13 @@ def qualified(spark: SparkSession, name: str) -> str:
     return files.makeQualified(path).toString()
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, which ``drop_staged`` will delete."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Write ``df`` once to the shared folder; returns it read back, and its rows.
 
@@ -65,8 +72,7 @@ def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     row positions after an executor is lost. The rows are counted by the writing
     tasks, of which Spark takes one success each.
     """
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    _staged.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
+    path = scratch(df.sparkSession, label)
     seen = Observation()
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
@@ -78,7 +84,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def drop_staged(spark: SparkSession) -> int:
-    """Delete what this application has staged so far; returns how many folders.
+    """Delete what this application has written to the shared folder so far; returns how many folders.
 
     To be called when the results that read them are written.
     """
