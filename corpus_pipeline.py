@@ -5,12 +5,10 @@ Each stage reads what its predecessor kept and wrote as Parquet.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tributary.llm import decontamination, near_dup, packing, quality, secrets
-from tributary.session import shared_dir
+from tributary.session import scratch
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +53,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; what lies between them is in the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    root = scratch(spark, "pipeline")  # goes with all that is staged, when the result is written
     for number, (name, stage) in enumerate(STAGES):
         result = stage(spark, docs, sf_dir)
         if number < len(STAGES) - 1:
