@@ -52,6 +52,21 @@ def test_trees(spark, top):
         assert ranked == list(enumerate(best, 1))
 
 
+def test_ties_go_by_content(spark):
+    """The same ranks whatever the files."""
+    rows = [(1, 0, None, "user", "root", 1.0)] + [(1, i, 0, "assistant", f"t{i}", 0.5) for i in range(1, 30)]
+    rows += [(1, 40, 0, "assistant", "b", 0.5), (1, 40, 0, "assistant", "a", 0.5)]
+    found = []
+    for parts in (1, 3, 7):
+        frame = spark.createDataFrame(rows, COLUMNS).orderBy("text", ascending=parts == 3).repartition(parts)
+        best = chat.paths(frame, top=25).filter("pos = 1").select("rank", "text").collect()
+        found.append(sorted(map(tuple, best)))
+        every = chat.paths(frame).filter("pos = 1").select("rank", "text").collect()
+        found.append(sorted(map(tuple, every))[:25])
+    assert all(f == found[0] for f in found)
+    assert [t for _, t in found[0]] == [f"t{i}" for i in range(1, 26)]
+
+
 HARD = ["", "a\\", "\\\\|", "<|", "<\\|", "<<|im_end|>\n", "\\n", "x\n\ny", "<|im_end|><|im_start|>assistant ok",
         "<", "|", "\u4f60\U0001f600<|"]
 

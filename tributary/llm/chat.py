@@ -71,7 +71,8 @@ def paths(messages: DataFrame, top: int | None = None) -> DataFrame:
 
     One row for each turn of each chosen path; ``path`` is an id of the path. Paths of
     a tree are ranked by the mean score of their messages (NULL scores count as
-    0), ties by row id; ``top`` keeps the best ones, NULL all. A message whose
+    0), ties by the id of the leaf, then by a hash of its role and text, and only equal leaves
+    by their place in the files; ``top`` keeps the best ones, NULL all. A message whose
     parent is not there is a root; if ids repeat, the first row is the parent.
     Messages on a cycle or below one are on no path. NULL trees are one tree.
     """
@@ -85,8 +86,9 @@ def paths(messages: DataFrame, top: int | None = None) -> DataFrame:
     same = F.col("tree").eqNullSafe(F.col("_tree")) & (F.col("parent") == F.col("_id"))
     linked = rows.join(stage(ids, "ids"), same, "left")
     score = F.coalesce(F.col("score").cast("double"), F.lit(0.0))
+    leaf = [F.col("id").alias("_leaf"), F.xxhash64("role", F.col("role").isNull(), "text").alias("_tie")]
     jump = stage(
-        linked.select("tree", "_node", "_up", score.alias("_sum"), F.lit(1).alias("_depth")), "jumps"
+        linked.select("tree", "_node", "_up", score.alias("_sum"), F.lit(1).alias("_depth"), *leaf), "jumps"
     )
     # a round works on the messages above which the jump has not passed the root yet
     first, jumps, ended = jump, [], []
@@ -110,6 +112,8 @@ def paths(messages: DataFrame, top: int | None = None) -> DataFrame:
                 F.col("_next").alias("_up"),
                 (F.col("_sum") + F.col("_more")).alias("_sum"),
                 (F.col("_depth") + F.col("_deeper")).alias("_depth"),
+                "_leaf",
+                "_tie",
             ),
             "jumps",
         )
@@ -117,9 +121,10 @@ def paths(messages: DataFrame, top: int | None = None) -> DataFrame:
     leaves = (
         reduce(DataFrame.unionByName, ended)
         .join(parents, "_node", "left_anti")
-        .select("tree", F.col("_node").alias("path"), "_depth", (F.col("_sum") / F.col("_depth")).alias("path_score"))
-    )
-    best = [F.col("path_score").desc(), F.col("path")]
+        .select("tree", F.col("_node").alias("path"), "_depth", "_leaf", "_tie",
+                (F.col("_sum") / F.col("_depth")).alias("path_score"))
+    )
+    best = [F.col("path_score").desc(), F.col("_leaf"), F.col("_tie"), F.col("path")]
     if top is not None:  # a hot tree is ranked in parts first
         salt = F.pmod(F.xxhash64("path"), F.lit(SALTS))
         part = Window.partitionBy("tree", salt).orderBy(*best)
@@ -131,15 +136,15 @@ def paths(messages: DataFrame, top: int | None = None) -> DataFrame:
         leaves = leaves.filter(F.col("rank") <= top)
     leaves = stage(leaves.select("tree", "path", "_depth", "path_score", "rank"), "leaves")
 
-    members = leaves.select("path", F.col("path").alias("_node"), F.lit(0).alias("_back"))
-    for number, jump in enumerate(jumps):
-        far = jump.select("_node", "_up")
-        more = members.join(far, "_node").select(
+    members = [leaves.select("path", F.col("path").alias("_node"), F.lit(0).alias("_back"))]
+    for number, jump in enumerate(jumps):  # a round writes what it adds
+        more = reduce(DataFrame.unionByName, members).join(jump.select("_node", "_up"), "_node").select(
             "path", F.col("_up").alias("_node"), (F.col("_back") + (1 << number)).alias("_back")
         )
-        members = stage(members.unionByName(more), "members")
+        members.append(stage(more, "members"))
     return (
-        members.join(leaves, "path")
+        reduce(DataFrame.unionByName, members)
+        .join(leaves, "path")
         .join(rows.select("_node", "role", "text"), "_node")
         .select("tree", "path", "path_score", "rank",
                 (F.col("_depth") - 1 - F.col("_back")).alias("pos"), "role", "text")
