@@ -225,6 +225,28 @@ def test_report_profiles_the_bronze_table(run):
     assert reports["genre"].schema == [("GenreId", "int"), ("Name", "string")]
 
 
+def test_a_run_repeated_after_a_crash_appends_nothing_twice(run, monkeypatch):
+    """Quarantine and logs are written, then the run dies before any table is swapped."""
+    lake, _ = run
+    at = DAYS[2] + dt.timedelta(minutes=90)
+    monkeypatch.setattr(Lake, "swap", lambda *_: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(RuntimeError, match="crash"):
+        stages.refine(lake, at)
+    monkeypatch.undo()
+
+    def counted():
+        tables = ("quarantine", "dqx_execution_log", "quality_rule_log")
+        stamped = [lake.read(f"silver.{t}").filter(F.col("run_timestamp") == F.lit(at).cast("timestamp")) for t in tables]
+        return [df.count() for df in stamped]
+
+    first = counted()
+    assert all(first)
+    stages.refine(lake, at)
+    assert counted() == first
+    stages.refine(lake, at + dt.timedelta(minutes=1))  # another run adds its own
+    assert counted() == first
+
+
 def test_failed_table_is_logged_and_stops_the_load(run, spark):
     lake, _ = run
     spark.catalog.dropTempView("Genre")

@@ -177,7 +177,8 @@ def refine(
     rows of all tables go to the quarantine, in one append, as concurrent ones to a Parquet
     table would get in each other's way; then the logs are written; and only then
     the images are swapped in. So a failing rule or table loses no row: its Silver table
-    stays, it is logged as FAILED, and it is named in the error raised at the end.
+    stays, it is logged as FAILED, and it is named in the error raised at the end. Quarantine and logs
+    take the rows of a table and run stamp once, so a run cut off by a crash can be repeated.
     """
 
     def work(table: str) -> tuple[Report, DataFrame | None, Image | None]:
@@ -202,7 +203,7 @@ def refine(
         if rows is not None
     ]
     if failed:
-        lake.append(reduce(DataFrame.unionByName, failed), f"{lake.silver}.{QUARANTINE_TABLE}")
+        _append_once(lake, reduce(DataFrame.unionByName, failed), QUARANTINE_TABLE, run_at)
 
     reports, day = [report for report, *_ in results], run_at.date()
     quality_rows = [
@@ -211,9 +212,9 @@ def refine(
     rule_rows = [(r.table, run_at, *counted) for r in reports for counted in r.rules]
     spark = lake.spark
     quality_log = spark.createDataFrame(quality_rows, QUALITY_COLUMNS)
-    lake.append(quality_log, f"{lake.silver}.{QUALITY_TABLE}")
+    _append_once(lake, quality_log, QUALITY_TABLE, run_at, "status")
     rule_log = spark.createDataFrame(rule_rows, RULE_COLUMNS)
-    lake.append(rule_log, f"{lake.silver}.{RULE_TABLE}")
+    _append_once(lake, rule_log, RULE_TABLE, run_at, "rule")
     for report, _, image in results:
         if image is not None:
             lake.swap(image, f"{lake.silver}.{report.table}")
@@ -223,6 +224,20 @@ def refine(
     return reports
 
 
+def _append_once(lake: Lake, rows: DataFrame, table: str, run_at: dt.datetime, *keys: str) -> None:
+    """Append to a log what it does not hold of this run yet, table by table.
+
+    A run that is repeated with its stamp after a crash adds only what was not written.
+    """
+    name = f"{lake.silver}.{table}"
+    stamped = lake.read(name).filter(F.col("run_timestamp") == F.lit(run_at).cast("timestamp"))
+    known = stamped.select("table_name", *keys).distinct().collect()  # a few rows for each table
+    if known:
+        held = lake.spark.createDataFrame(known, rows.select("table_name", *keys).schema)
+        rows = rows.join(held, ["table_name", *keys], "left_anti").select(*rows.columns)
+    lake.append(rows, name)
+
+
 def _refine_table(
     lake: Lake,
     table: str,
