@@ -50,9 +50,9 @@ def test_any_ids(own, library):
 def test_last_piece_of_each_prefix(own, library):
     word = "internationalisation"
     last = own.prefixes(word)
-    for end in range(1, len(word) + 1):
+    for end in range(len(word)):
         # the library puts a blank in front, so the word stands behind a character outside the vocabulary
-        assert last[end] == library.encode("\x01" + word[:end])[-1]
+        assert last[end] == library.encode("\x01" + word[: end + 1])[-1]
 
 
 def test_long_text(own, library):
@@ -67,7 +67,7 @@ def test_memory_starts_anew(own, library, monkeypatch):
     fresh = sentence_pieces.Vocabulary(sentence_pieces.model())
     text = "one two three four five six one two three seven"
     assert ids_of(fresh, text) == library.encode(text) == ids_of(fresh, text)
-    assert len(fresh.known) <= 3 and len(fresh.apart) <= 5
+    assert len(fresh.known) <= 3 and sum(map(len, fresh.apart)) <= 5
 
 
 def test_whole_table(spark, folder, library):

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLANK = "▁"  # stands for a space
-KNOWN_WORDS = 400_000  # words remembered by a worker, then it starts anew
+KNOWN_WORDS = 450_000  # words remembered by a worker; those not met again among as many are dropped
 KNOWN_LENGTH = 64  # characters; longer words are not remembered
 KNOWN_PAIRS = 500_000  # pairs of pieces remembered by a worker
 _BATCH = 1 << 20  # characters handed on at once
@@ -67,12 +67,15 @@ class _Words(dict):
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.older = encode, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word)
         if len(word) <= KNOWN_LENGTH:
             if len(self) >= KNOWN_WORDS:
+                self.older = self.copy()
                 self.clear()
             self[word] = ids
         return ids
@@ -153,7 +156,8 @@ class Vocabulary:
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
         self.known = _Words(self._word)
-        self.apart: dict[int, bool] = {}  # by both ids in one number
+        self.apart: list[dict[int, bool]] = [{} for _ in range(len(self.pieces) + 1)]  # by the first, then the second
+        self.tests = 0  # pairs remembered
 
     def joined(self, text: str) -> list[str]:
         """The rule itself, for short texts: join the best neighbours until none is a piece."""
@@ -170,37 +174,47 @@ class Vocabulary:
         """Whether the two pieces stay as they are beside each other; -1 is the start."""
         wanted = [self.pieces[i] for i in (before, piece) if i >= 0]
         fits = self.joined("".join(wanted)) == wanted
-        if len(self.apart) >= KNOWN_PAIRS:
-            self.apart.clear()
-        self.apart[before << 32 | piece] = fits
+        self.tests += 1
+        if self.tests > KNOWN_PAIRS:
+            self.tests = 0
+            for row in self.apart:
+                row.clear()
+        self.apart[before][piece] = fits
         return fits
 
     def prefixes(self, word: str) -> list[int]:
-        """The last piece of each prefix; ``word`` has characters of the vocabulary only."""
+        """The last piece of each prefix, the shortest first, then -1, which stands for the start.
+
+        ``word`` has characters of the vocabulary only. Index -1 is in front of the word.
+        """
         last = [-1] * (len(word) + 1)
-        known = self.apart.get
+        apart = self.apart
         for end, (piece, length) in self.automaton.iter(word):
-            end += 1
             if last[end] < 0:
                 before = last[end - length]
-                fits = known(before << 32 | piece)
-                if self._fits(before, piece) if fits is None else fits:
+                fits = apart[before].get(piece)
+                if fits or fits is None and self._fits(before, piece):
                     last[end] = piece
         return last
 
     def _word(self, word: str) -> bytes:
-        ids: list[int] = []
+        if self.characters.issuperset(word):
+            return self._ids(word).tobytes()
+        ids = array("i")
         for inside, run in groupby(word, self.characters.__contains__):
             part = "".join(run)
-            if not inside:
-                ids.extend(self.byte_ids[b] for b in part.encode())
-                continue
-            last, at, own = self.prefixes(part), len(part), []
-            while at:
-                own.append(last[at])
-                at -= self.lengths[last[at]]
-            ids.extend(reversed(own))
-        return array("i", ids).tobytes()
+            ids.extend(self._ids(part) if inside else (self.byte_ids[b] for b in part.encode()))
+        return ids.tobytes()
+
+    def _ids(self, word: str) -> array:
+        last, at, lengths = self.prefixes(word), len(word) - 1, self.lengths
+        ids = array("i")
+        while at >= 0:
+            piece = last[at]
+            ids.append(piece)
+            at -= lengths[piece]
+        ids.reverse()
+        return ids
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, 4 bytes each."""
