@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-CHUNK = 1 << 20  # bytes handled at once
+CHUNK = 1 << 19  # bytes handled at once
 
 _PRIMES = (2**31 - 1, 2**31 - 19)  # products of two residues fit 64 bits
 _some = np.random.default_rng(7)
