@@ -20,6 +20,7 @@ KEYS = {
 # queries that read the lines
 OVER_LINES = [
     "changes_patch_in",
+    "conform_fact",
 ]
 
 
