@@ -21,6 +21,7 @@ KEYS = {
 OVER_LINES = [
     "changes_patch_in",
     "conform_fact",
+    "contract_fk",
 ]
 
 
