@@ -22,6 +22,7 @@ OVER_LINES = [
     "changes_patch_in",
     "conform_fact",
     "contract_fk",
+    "contract_length",
 ]
 
 
