@@ -23,6 +23,7 @@ OVER_LINES = [
     "conform_fact",
     "contract_fk",
     "contract_length",
+    "contract_not_null",
 ]
 
 
