@@ -24,6 +24,7 @@ OVER_LINES = [
     "contract_fk",
     "contract_length",
     "contract_not_null",
+    "contract_pk",
 ]
 
 
