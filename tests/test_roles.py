@@ -25,6 +25,7 @@ OVER_LINES = [
     "contract_length",
     "contract_not_null",
     "contract_pk",
+    "dense_key",
 ]
 
 
