@@ -26,6 +26,7 @@ OVER_LINES = [
     "contract_not_null",
     "contract_pk",
     "dense_key",
+    "dq_min_value",
 ]
 
 
