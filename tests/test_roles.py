@@ -27,6 +27,7 @@ OVER_LINES = [
     "contract_pk",
     "dense_key",
     "dq_min_value",
+    "dq_rule_counts",
 ]
 
 
