@@ -28,6 +28,7 @@ OVER_LINES = [
     "dense_key",
     "dq_min_value",
     "dq_rule_counts",
+    "dq_run_summary",
 ]
 
 
