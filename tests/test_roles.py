@@ -29,6 +29,7 @@ OVER_LINES = [
     "dq_min_value",
     "dq_rule_counts",
     "dq_run_summary",
+    "dq_tag_errors",
 ]
 
 
