@@ -30,6 +30,7 @@ OVER_LINES = [
     "dq_rule_counts",
     "dq_run_summary",
     "dq_tag_errors",
+    "dq_valid",
 ]
 
 
