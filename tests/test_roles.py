@@ -31,6 +31,7 @@ OVER_LINES = [
     "dq_run_summary",
     "dq_tag_errors",
     "dq_valid",
+    "fact_sales",
 ]
 
 
