@@ -32,6 +32,7 @@ OVER_LINES = [
     "dq_tag_errors",
     "dq_valid",
     "fact_sales",
+    "fact_sales_as_of",
 ]
 
 
