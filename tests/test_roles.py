@@ -35,6 +35,7 @@ OVER_LINES = [
     "fact_sales_as_of",
     "fact_sales_customer_agg",
     "fact_sales_customer_agg_refresh",
+    "join_inner",
 ]
 
 
