@@ -36,6 +36,7 @@ OVER_LINES = [
     "fact_sales_customer_agg",
     "fact_sales_customer_agg_refresh",
     "join_inner",
+    "profile_schema",
 ]
 
 
