@@ -37,6 +37,7 @@ OVER_LINES = [
     "fact_sales_customer_agg_refresh",
     "join_inner",
     "profile_schema",
+    "quarantine_rows",
 ]
 
 
