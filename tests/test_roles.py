@@ -38,6 +38,7 @@ OVER_LINES = [
     "join_inner",
     "profile_schema",
     "quarantine_rows",
+    "scan_snapshot",
 ]
 
 
